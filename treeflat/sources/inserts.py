@@ -115,16 +115,18 @@ def parse_statements(statements: DataFrame) -> DataFrame:
 def rows_for(parsed: DataFrame, table: str, names: list[str], unquote: bool = True) -> DataFrame:
     """Rows of one table, aligned with its contract; blanks are NULL.
 
-    Columns and values are paired up to the shorter list, as a mismatch is padded.
+    Columns and values are paired up to the shorter list; of a repeated column the last counts.
     """
     from treeflat.functions.text import sql_unliteral
 
     shorter = F.least(F.size("cols"), F.size("vals"))
-    pairs = F.map_from_arrays(F.slice("cols", F.lit(1), shorter), F.slice("vals", F.lit(1), shorter))
+    pairs = F.arrays_zip(
+        F.slice("cols", F.lit(1), shorter).alias("c"), F.slice("vals", F.lit(1), shorter).alias("v")
+    )
     got = parsed.where(F.col("table_name") == table).select(pairs.alias("m"))
 
     def cell(n):
-        c = F.try_element_at("m", F.lit(n))
+        c = F.try_element_at(F.filter("m", lambda p: p.c == n), F.lit(-1)).v
         return (sql_unliteral(c) if unquote else c).alias(n)
 
     return got.select(*[cell(n) for n in names])
