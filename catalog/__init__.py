@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["shredding"]
+MODULES = ["shredding", "changes", "checks", "outputs"]
 
 
 def _merged(attribute: str) -> dict:

@@ -10,7 +10,9 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from treeflat.session import fresh_folder
+from treeflat.session import fresh_folder, ship_with_tasks
+
+ship_with_tasks(__name__)
 
 _written: dict[tuple, str] = {}
 

@@ -231,10 +231,8 @@ def discover_records(spark, sf):
     path = _by_language(spark, sf)
     found = files.discover(spark, path, "*.xml", recursive=True)
     rec = R.read_records(spark, path, recursive=True, glob="*.xml")
-    per_file = quality.records_per_file(rec)
-    ids = rec.agg(F.countDistinct("uid").alias("ids"))
-    total = found.join(per_file, found.file_path == per_file.source_file).agg(F.sum("record_count").alias("records"))
-    return total.withColumn("k", F.lit(1)).join(ids.withColumn("k", F.lit(1)), "k").select("records", "ids")
+    listed = rec.join(found, rec.source_file == found.file_path)
+    return listed.agg(F.count(F.lit(1)).alias("records"), F.countDistinct("uid").alias("ids"))
 
 
 @query("records_per_file", "SELECT count(*) AS record_count FROM documents")

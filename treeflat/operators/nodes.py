@@ -14,6 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treeflat.plans.mapping import Element, Mapping
+from treeflat.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 NODE_COLUMNS = "seq int, parent_seq int, path string, text string, attrs map<string,string>, error string"
 _FLUSH = 20_000

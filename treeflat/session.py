@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: A side is broadcast only when it has at most this many rows ...
@@ -58,3 +60,11 @@ def join_checked(left: DataFrame, right: DataFrame, on, how: str, text_columns:
     if small_enough(right, text_columns):
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def ship_with_tasks(module_name: str) -> None:
+    """Send this module's functions along with the tasks that use them.
+
+    Executors then need no installed copy of the package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

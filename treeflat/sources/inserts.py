@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from treeflat.functions.text import split_quoted, strip_space
+from treeflat.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 #: Quote state between lines: 0 outside, 1 in single quotes, 2 in double quotes.
 _QUOTES = {"'": 1, '"': 2}
