@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treeflat.operators import classify, deadletter, nodes, shred, upkeep, validate
 from treeflat.plans.contracts import Contracts
@@ -99,20 +99,16 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
 
     def write(table: str):
         rows = table_rows(parsed, job, table, bool(flags["ordered"])).withColumn("ingestion_ts", stamp)
-        seen = Observation(f"rows {table}")
-        checked = validate.checked(rows, job.contracts[table]).observe(
-            seen, F.count(F.col("error")).alias("refused"), F.count(F.lit(1)).alias("rows")
-        )
-        good = validate.project(checked.where("error is null"), job.contracts[table])
-        change.upsert(table, good, ids, "id", touched)
-        if not touched:
-            return table, 0, None
-        refused = validate.refused_rows(rows, job.contracts[table], table) if seen.get["refused"] else None
-        return table, seen.get["rows"] - seen.get["refused"], refused
+        contract = job.contracts[table]
+        checked = validate.checked(rows, contract)
+        change.upsert(table, validate.project(checked.where("error is null"), contract), ids, "id", touched)
+        # Tables that cannot refuse a row are not read a second time.
+        if not validate.may_refuse(contract, m, table) or not checked.where("error is not null").take(1):
+            return None
+        return validate.refused_rows(rows, contract, table)
 
     with ThreadPoolExecutor(max(1, job.writers)) as pool:
-        written = list(pool.map(write, job.tables))
-    counts.update({f"rows.{t}": n for t, n, _ in written})
+        refused = [r for r in pool.map(write, job.tables) if r is not None]
 
     letters = [source.split_failures(fragments, job.record_tag, job.id_tag, tails).withColumn("pipeline_step", F.lit("SplitXMLRecords"))]
     bad = shred.malformed(parsed.where("unusable").select("uid", "xml"), m)
@@ -120,7 +116,7 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
     if flags["ordered"]:
         unread = nodes.walk_failures(parsed.where("ordered and not unusable").select("uid", "xml"), m)
         letters.append(unread.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
-    letters += [r for _, _, r in written if r is not None]
+    letters += refused
     dead = staged(deadletter.enriched(deadletter.unified(letters), run_ts), "letters")
     n_dead = dead.count()
     if n_dead and job.dead_letters:

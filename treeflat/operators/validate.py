@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from treeflat.functions.coerce import STORED_TYPE, coerce, coercion_reason
 from treeflat.plans.contracts import Field
+from treeflat.plans.mapping import Mapping
 
 
 def checked(rows: DataFrame, contract: list[Field], strict_dates: bool = False) -> DataFrame:
@@ -41,6 +42,17 @@ def checked(rows: DataFrame, contract: list[Field], strict_dates: bool = False)
     return rows.select(*typed, *extra, error.cast("string").alias("error"))
 
 
+def may_refuse(contract: list[Field], mapping: Mapping, table: str) -> bool:
+    """Whether a shredded row of this table can break its contract at all.
+
+    Keys are always present and typed; plain text columns accept everything.
+    """
+    keys = {k for o in mapping.openings(table) for k in mapping.keys(o)}
+    return any(
+        f.name not in keys and (f.required or STORED_TYPE.get(f.type.upper(), "string") != "string") for f in contract
+    ) or any(f.name in keys and f.required and f.name not in mapping.columns(table) for f in contract)
+
+
 def project(rows: DataFrame, contract: list[Field]) -> DataFrame:
     """Only the declared columns, in contract order; names are matched by case."""
     have = set(rows.columns)

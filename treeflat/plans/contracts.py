@@ -52,7 +52,7 @@ class Contracts:
     def load(cls, spark: SparkSession, path: str) -> "Contracts":
         """Read one JSON object ``{table: [field, ...]}``, or a folder of ``<table>_schema.json`` lists."""
         files = (
-            spark.read.option("wholetext", True).text(path)
+            spark.read.text(path, wholetext=True)
             .select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:_schema)?\.json$", 1).alias("name"), "value")
             .orderBy("name")
         )

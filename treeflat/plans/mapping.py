@@ -143,7 +143,7 @@ class Mapping:
     @classmethod
     def load(cls, spark: SparkSession, path: str, record_path: str | None = None) -> "Mapping":
         """Read the mapping file from any file system Spark can read."""
-        row = spark.read.option("wholetext", True).text(path).first()
+        row = spark.read.text(path, wholetext=True).first()
         return cls.from_xml(row[0], record_path)
 
     # ---- shape -----------------------------------------------------------------
