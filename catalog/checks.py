@@ -11,7 +11,7 @@ from treeflat import Contracts
 from treeflat.functions.coerce import to_boolean, to_float, to_integer
 from treeflat.functions.text import file_safe, strip_space, target_parts
 from treeflat.operators import deadletter, quality, shred, validate
-from treeflat.session import fresh_folder
+from treeflat.session import fresh_folder, staged
 from treeflat.sources import records as R
 
 QUERIES, ORACLE = {}, {}
@@ -287,8 +287,9 @@ def value_range(spark, sf):
 
 
 def _line_tables(spark, sf):
+    """The finished tables the checks run on, stored as Parquet."""
     rec = R.read_records(spark, C.lines_corpus(spark, sf))
-    return {t: shred.shred_table(rec, M.LINES, t) for t in M.LINES.tables()}
+    return {t: staged(shred.shred_table(rec, M.LINES, t), t) for t in M.LINES.tables()}
 
 
 @query("quality_report", """SELECT * FROM (VALUES ('doc', 'populated', 0::BIGINT), ('doc', 'unique key', 0), ('doc', 'types', 0),

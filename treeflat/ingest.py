@@ -101,9 +101,9 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
         rows = table_rows(parsed, job, table, bool(flags["ordered"])).withColumn("ingestion_ts", stamp)
         contract = job.contracts[table]
         checked = validate.checked(rows, contract)
-        change.upsert(table, validate.project(checked.where("error is null"), contract), ids, "id", touched)
+        change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", touched)
         # Tables that cannot refuse a row are not read a second time.
-        if not validate.may_refuse(contract, m, table) or not checked.where("error is not null").take(1):
+        if not validate.may_refuse(contract, m, table) or not validate.failed(checked).take(1):
             return None
         return validate.refused_rows(rows, contract, table)
 

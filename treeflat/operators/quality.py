@@ -85,7 +85,7 @@ def quality_report(tables: dict[str, DataFrame], mapping: Mapping, contracts: Co
         if parent is not None and parent.table in tables:
             add(name, "foreign key", orphans(rows, tables[parent.table], mapping.keys(parent)))
         if name in contracts:
-            add(name, "types", validate.checked(rows, contracts[name]).where("error is not null"))
+            add(name, "types", validate.failed(validate.checked(rows, contracts[name])))
     return reduce(DataFrame.unionByName, found)
 
 

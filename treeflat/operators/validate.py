@@ -8,9 +8,13 @@ from treeflat.functions.coerce import STORED_TYPE, coerce, coercion_reason
 from treeflat.plans.contracts import Field
 from treeflat.plans.mapping import Mapping
 
+#: A column Catalyst may not recompute.  Filters that name it stay above the projection, so
+#: every coercion is evaluated once instead of once in the filter and once in the result.
+MARK = "#at"
+
 
 def checked(rows: DataFrame, contract: list[Field], strict_dates: bool = False) -> DataFrame:
-    """Contract columns (typed), undeclared columns (as they are) and ``error``.
+    """Contract columns (typed), undeclared columns (as they are), ``error`` and the mark.
 
     The first failing field in contract order names the error.
     """
@@ -39,7 +43,15 @@ def checked(rows: DataFrame, contract: list[Field], strict_dates: bool = False)
     declared = {f.name for f in contract}
     extra = [F.col(f"`{c}`") for c in rows.columns if c not in declared]
     error = F.coalesce(*errors) if errors else F.lit(None)
-    return rows.select(*typed, *extra, error.cast("string").alias("error"))
+    return rows.select(*typed, *extra, error.cast("string").alias("error"), F.spark_partition_id().alias(MARK))
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    return judged.where(f"`{MARK}` >= 0 and error is null").drop(MARK)
+
+
+def failed(judged: DataFrame) -> DataFrame:
+    return judged.where(f"`{MARK}` >= 0 and error is not null").drop(MARK)
 
 
 def may_refuse(contract: list[Field], mapping: Mapping, table: str) -> bool:
@@ -66,14 +78,14 @@ def project(rows: DataFrame, contract: list[Field]) -> DataFrame:
 
 
 def valid_rows(rows: DataFrame, contract: list[Field], strict_dates: bool = False) -> DataFrame:
-    return project(checked(rows, contract, strict_dates).where("error is null"), contract)
+    return project(accepted(checked(rows, contract, strict_dates)), contract)
 
 
 def refused_rows(rows: DataFrame, contract: list[Field], table: str, strict_dates: bool = False) -> DataFrame:
     """Dead letters of one table: the row as JSON and the first error."""
     as_json = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
     kept = rows.withColumn("#row", as_json)
-    errors = checked(kept, contract, strict_dates).where("error is not null")
+    errors = failed(checked(kept, contract, strict_dates))
     return errors.select(
         F.lit(table).alias("table_name"),
         F.col("#row").alias("row"),

@@ -8,6 +8,8 @@ split is bounded by ``maxPartitionBytes``), across the splits of a file on one r
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -18,19 +20,26 @@ ship_with_tasks(__name__)
 
 #: Quote state between lines: 0 outside, 1 in single quotes, 2 in double quotes.
 _QUOTES = {"'": 1, '"': 2}
+_MARKS = ["", "'", '"']
+_STOP = re.compile(r"""['";]""")
 
 
 def _scan(line: str, state: int) -> tuple[int, int]:
     """(state after the line, length kept if a statement ends on it else -1)."""
-    for i, ch in enumerate(line):
-        if ch in _QUOTES:
-            if state == 0:
-                state = _QUOTES[ch]
-            elif state == _QUOTES[ch]:
-                state = 0
-        elif ch == ";" and state == 0:
-            return 0, i + 1
-    return state, -1
+    at = 0
+    while True:
+        if state:
+            close = line.find(_MARKS[state], at)
+            if close < 0:
+                return state, -1
+            state, at = 0, close + 1
+        stop = _STOP.search(line, at)
+        if stop is None:
+            return 0, -1
+        at = stop.end()
+        if stop[0] == ";":
+            return 0, at
+        state = _QUOTES[stop[0]]
 
 
 def _scan_split(rows: pd.DataFrame) -> pd.DataFrame:
