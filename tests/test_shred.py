@@ -62,7 +62,9 @@ def test_hoisted_column_climbs_to_the_root(spark, mapping):
 
 def test_shared_counter_follows_the_document(spark, mapping):
     compare(spark, mapping, "<REC><b><l>b1</l></b><a><l>a1</l><l>a2</l></a><b><l>b2</l></b></REC>")
-    assert mapping.needs_document_order("la") and not mapping.needs_document_order("word")
+    assert [[e.table for e in g] for g in mapping.shared_groups()] == [["la", "lb"]]
+    plan = shred.native_table(frame(spark, "<REC/>"), mapping, "la")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_only_leading_text_counts(spark, mapping):

@@ -88,17 +88,14 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
     if job.file_numbers is not None:
         picked = files.with_file_number(picked, job.file_numbers)
     parsed = stage_parsed(picked, job)
-    flags = parsed.agg(
-        F.count(F.when(F.col("ordered") & ~F.col("unusable"), 1)).alias("ordered"),
-        F.count(F.when(F.col("unusable"), 1)).alias("unusable"),
-    ).first()
+    walked = stage_walked(parsed, job)
 
     change = job.store.begin()
     ids = wanted.select("uid")
     touched = change.touched(ids, "uid")
 
     def write(table: str):
-        rows = table_rows(parsed, job, table, bool(flags["ordered"])).withColumn("ingestion_ts", stamp)
+        rows = table_rows(parsed, walked, job, table).withColumn("ingestion_ts", stamp)
         contract = job.contracts[table]
         checked = validate.checked(rows, contract)
         change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", touched)
@@ -113,8 +110,8 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
     letters = [source.split_failures(fragments, job.record_tag, job.id_tag, tails).withColumn("pipeline_step", F.lit("SplitXMLRecords"))]
     bad = shred.malformed(parsed.where("unusable").select("uid", "xml"), m)
     letters.append(bad.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
-    if flags["ordered"]:
-        unread = nodes.walk_failures(parsed.where("ordered and not unusable").select("uid", "xml"), m)
+    if walked is not None:
+        unread = walked.where("error is not null").select("uid", "error", F.lit("XMLSyntaxError").alias("error_type"))
         letters.append(unread.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
     letters += refused
     dead = staged(deadletter.enriched(deadletter.unified(letters), run_ts), "letters")
@@ -161,25 +158,33 @@ def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def stage_parsed(picked: DataFrame, job: Job) -> DataFrame:
-    """Parse once, write once: an array column per table plus what the general path needs."""
+    """Parse once, write once: an array column per table plus the text the node walk needs."""
     arrays = shred.staged_arrays(picked, job.mapping, job.tables, job.file_number)
-    general = any(job.mapping.needs_document_order(t) for t in job.tables)
-    if not general:  # the text is needed again only where the parser could not be used
-        arrays = arrays.withColumn("xml", F.when(F.col("ordered") | F.col("unusable"), F.col("xml")))
-    return staged(arrays, "parsed")
+    again = F.col("routes").isNotNull() | F.col("unusable")
+    return staged(arrays.withColumn("xml", F.when(again, F.col("xml"))), "parsed")
+
+
+def stage_walked(parsed: DataFrame, job: Job) -> DataFrame | None:
+    """One node walk for all tables, over the routed records only; None if there are none."""
+    routed = parsed.where("routes is not null and not unusable")
+    if not routed.take(1):
+        return None
+    return staged(nodes.walk_tables(routed, job.mapping, job.tables), "walked")
 
 
-def table_rows(parsed: DataFrame, job: Job, table: str, any_ordered: bool) -> DataFrame:
-    """Rows of one table from the staged records: its own column, and the general path."""
-    m = job.mapping
-    carried = [c for c in ("uid", "xml", "record_hash", "source_file", "pos", "file_number") if c in parsed.columns]
-    if m.needs_document_order(table):
-        return nodes.node_table(parsed.where("not unusable").select(*carried), m, table, job.file_number)
-    rows = shred.rows_of(parsed, m, table)
-    if any_ordered:
-        rest = parsed.where("ordered and not unusable").select(*carried)
-        rows = rows.unionByName(nodes.node_table(rest, m, table, job.file_number))
-    return rows
+def table_rows(parsed: DataFrame, walked: DataFrame | None, job: Job, table: str) -> DataFrame:
+    """Rows of one table from the staged records: its own column, and the walked nodes."""
+    m, at = job.mapping, job.tables.index(table)
+    parts = []
+    if not m.needs_document_order(table):
+        parts.append(shred.rows_of(parsed, m, table, at))
+    if walked is not None:
+        mine = walked.where(shred.routed_to_nodes(at))
+        parts.append(nodes.assemble(mine, m, table, job.file_number))
+    if not parts:
+        schema = ", ".join(["id string"] + [f"`{n}` {k}" for n, k in shred.row_fields(m, table)])
+        return parsed.sparkSession.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def bulk_load(
@@ -187,10 +192,10 @@ def bulk_load(
 ) -> dict[str, str]:
     """Load without change detection: one parse, one write per contract table below ``out``."""
     parsed = stage_parsed(records, job)
-    ordered = bool(parsed.where("ordered and not unusable").take(1))
+    walked = stage_walked(parsed, job)
 
     def write(table):
-        rows = table_rows(parsed, job, table, ordered).withColumn("ingestion_ts", F.lit(run_ts).cast("timestamp"))
+        rows = table_rows(parsed, walked, job, table).withColumn("ingestion_ts", F.lit(run_ts).cast("timestamp"))
         path = f"{out}/{table}"
         sinks.write_table(validate.valid_rows(rows, job.contracts[table]), path, disposition)
         return table, path

@@ -133,36 +133,86 @@ def _at(elements: list[Element]) -> Column:
     return F.col("path").isin([e.path for e in elements])
 
 
+def sibling_order(xml: Column, mapping: Mapping, groups: list[list[Element]]) -> Column:
+    """For each group of openings that share a counter: their member numbers in document order.
+
+    A small Arrow function over the text of the row; nothing is shuffled.  NULL if the record
+    cannot be read.
+    """
+    root = mapping.record.path
+    member = {e.path: (g, i) for g, group in enumerate(groups) for i, e in enumerate(group)}
+    wanted, width = frozenset(member), len(groups)
+
+    def order(text: pa.Array) -> pa.Array:
+        out = []
+        for xml_text in text.to_pylist():
+            try:
+                found = [[] for _ in range(width)]
+                for node in _walk(xml_text, root, wanted):
+                    g, i = member[node[2]]
+                    found[g].append(i)
+                out.append(found)
+            except (expat.ExpatError, ValueError, TypeError, AttributeError):
+                out.append(None)
+        return pa.array(out, pa.list_(pa.list_(pa.int32())))
+
+    return F.arrow_udf(order, "array<array<int>>")(xml)
+
+
+def wanted_paths(mapping: Mapping, tables: list[str]) -> list[str]:
+    """The element paths that take part in the assembly of these tables."""
+    from treeflat.operators.shred import uncounted
+
+    wanted = {e.path for e in uncounted(mapping)}
+    for table in tables:
+        for opening in mapping.openings(table):
+            chain = mapping.chain(opening)
+            wanted |= {e.path for e in chain} | {w.source.path for w in mapping.writes(opening)}
+            for step in chain[1:]:
+                wanted |= {e.path for e in mapping.sharing(step)}
+    return sorted(wanted)
+
+
+def walk_tables(records: DataFrame, mapping: Mapping, tables: list[str]) -> DataFrame:
+    """The nodes these tables need, with as few record columns as possible.  One walk serves all."""
+    slim = [c for c in ("source_file", "pos", "uid", "file_number", "routes") if c in records.columns]
+    if mapping.root_table in tables and "record_hash" in records.columns:
+        slim.append("record_hash")
+    return walk_records(records.select(*slim, "xml"), mapping.record.path, wanted_paths(mapping, tables))
+
+
 def node_table(records: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
     """Rows of one table from the node walk (same columns as the native path)."""
+    return assemble(walk_tables(records, mapping, [table]), mapping, table, file_number)
+
+
+def assemble(walked: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
+    """Rows of one table from walked nodes (which may hold more than this table needs)."""
     from treeflat.operators import shred
 
-    parts = [_opening_rows(records, mapping, table, o, file_number) for o in mapping.openings(table)]
+    nodes = walked.where(F.col("path").isin(wanted_paths(mapping, [table])))
+    parts = [_opening_rows(nodes, mapping, table, o, file_number) for o in mapping.openings(table)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    keep = ["record_hash"] if table == mapping.root_table and "record_hash" in records.columns else []
+    keep = ["record_hash"] if table == mapping.root_table and "record_hash" in walked.columns else []
     names = [
         (F.col(n) if n in out.columns else F.lit(None)).cast(k).alias(n) for n, k in shred.row_fields(mapping, table)
     ]
     return out.select("id", *names, *keep)
 
 
-def _opening_rows(records, mapping: Mapping, table: str, opening: Element, file_number: int) -> DataFrame:
+def _opening_rows(nodes: DataFrame, mapping: Mapping, table: str, opening: Element, file_number: int) -> DataFrame:
     from treeflat.operators.shred import uncounted
 
     chain = mapping.chain(opening)
     writes = mapping.writes(opening)
     broken = uncounted(mapping)
-    wanted = {e.path for e in chain} | {w.source.path for w in writes} | {e.path for e in broken}
-    for step in chain[1:]:
-        wanted |= {e.path for e in mapping.sharing(step)}
-    rec = _record_key(records)
+    rec = _record_key(nodes)
     root = table == mapping.root_table
-    carried = [c for c in ("uid", "file_number", "record_hash") if c in records.columns and c not in rec]
+    carried = [c for c in ("uid", "file_number", "record_hash") if c in nodes.columns and c not in rec]
     carried = [c for c in carried if root or c == "uid"]
-    slim = records.select(*rec, *carried, "xml")
-    nodes = walk_records(slim, mapping.record.path, sorted(wanted)).where("path is not null")
+    nodes = nodes.select(*rec, *carried, "seq", "path", "text", "attrs")
     nodes = nodes.repartition(*rec)  # the one exchange; windows and the aggregate reuse it
     so_far = Window.partitionBy(*rec).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

@@ -19,6 +19,7 @@ from treeflat.operators import nodes
 from treeflat.plans.mapping import Element, Mapping
 
 ATTR, TEXT, BAD = "@", "#text", "#bad"
+DOC = "`#doc`"
 
 #: The parser must keep white space, ignore name space prefixes and isolate bad records.
 PARSER_OPTIONS = {
@@ -82,36 +83,76 @@ def uncounted(mapping: Mapping) -> list[Element]:
     return [e for e in mapping.openings() if e is not mapping.record and not e.counter]
 
 
-def _occurrences(base: Column, names: list[str]) -> Column:
-    """All elements on a relative path, over all repetitions of the wrappers on the way."""
-    found = base.getField(names[0])
-    for name in names[1:]:
+# The expressions below are written as SQL text: one mapping may need thousands of them, and
+# Catalyst parses a text much faster than the driver can assemble Column objects.
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _occurrences(base: str, names: list[str], stems: dict | None = None) -> str:
+    """All elements on a relative path, over all repetitions of the wrappers on the way.
+
+    From the record, the longest prefix that has a column of its own (see :func:`_stems`) is
+    read from there.
+    """
+    found, at = f"{base}.{_q(names[0])}", 1
+    if stems and base == DOC:
+        for n in range(len(names), 0, -1):
+            if tuple(names[:n]) in stems:
+                found, at = _q(stems[tuple(names[:n])]), n
+                break
+    for name in names[at:]:
         # An empty wrapper yields a NULL inner array, which flatten must not see.
-        found = F.flatten(F.filter(found.getField(name), lambda inner: inner.isNotNull()))
+        found = f"flatten(filter({found}.{_q(name)}, w -> w is not null))"
     return found
 
 
-def _last(values: Column) -> Column:
-    return F.try_element_at(values, F.lit(-1))
+def _stems(needs: _Needs) -> list[tuple[tuple, str, str]]:
+    """Paths below the record that several expressions start from: (path, column, expression).
+
+    Each becomes a column once, so that no table and no value walks its wrappers again.
+    """
+    made: list[tuple[tuple, str, str]] = []
+    known: dict[tuple, str] = {}
+
+    def visit(e: Element, names: tuple):
+        uses = len(needs.children(e)) + len(needs.attrs.get(e, ())) + (e in needs.text) + (e.table is not None)
+        if uses > 1:
+            column = f"#s{len(made)}"
+            made.append((names, column, _occurrences(DOC, list(names), known)))
+            known[names] = column
+        if e.table is None:
+            for c in needs.children(e):
+                visit(c, (*names, c.name))
+
+    for c in needs.children(needs.record):
+        visit(c, (c.name,))
+    return made
 
 
-def _value(base: Column, opening: Element, write, needs: _Needs) -> Column:
+def _value(base: str, opening: Element, write, needs: _Needs, stems: dict) -> str:
     src = write.source
     steps = src.below(opening)
     plain = needs.is_plain(src)
+    text, attr = f".{_q(TEXT)}", f".{_q(ATTR + (write.attr or ''))}"
+    default = None if write.default is None else _literal(write.default)
     if not steps:
         if write.attr is None:
-            return F.nullif(base if plain else base.getField(TEXT), F.lit(""))
-        got = base.getField(ATTR + write.attr)
-        return got if write.default is None else F.coalesce(got, F.lit(write.default))
-    found = _occurrences(base, steps)
+            got = base if plain else base + text
+            return f"if({got} = '', null, {got})"
+        return base + attr if default is None else f"coalesce({base}{attr}, {default})"
+    found = _occurrences(base, steps, stems)
     if write.attr is None:
-        texts = found if plain else found.getField(TEXT)
-        return _last(F.filter(texts, lambda t: t != ""))
-    given = found.getField(ATTR + write.attr)
-    if write.default is not None:
-        return _last(F.transform(given, lambda a: F.coalesce(a, F.lit(write.default))))
-    return _last(F.filter(given, lambda a: a.isNotNull()))
+        return f"try_element_at(filter({found if plain else found + text}, t -> t <> ''), -1)"
+    if default is not None:
+        return f"try_element_at(transform({found}{attr}, t -> coalesce(t, {default})), -1)"
+    return f"try_element_at(filter({found}{attr}, t -> t is not null), -1)"
 
 
 def row_fields(mapping: Mapping, table: str) -> list[tuple[str, str]]:
@@ -124,46 +165,64 @@ def row_fields(mapping: Mapping, table: str) -> list[tuple[str, str]]:
     ]
 
 
-def _row(mapping, table, opening, base, keys: dict[str, Column], needs, file_number: Column) -> Column:
-    values = {w.column: _value(base, opening, w, needs) for w in mapping.writes(opening)}
+def _row(mapping, table, opening, base: str, keys: dict[str, str], needs, stems: dict) -> str:
+    values = {w.column: _value(base, opening, w, needs, stems) for w in mapping.writes(opening)}
     number = mapping.record.file_number
     if number and number.table == table and opening is mapping.record:
-        values.setdefault(number.column, file_number)
+        values.setdefault(number.column, "`#n`")
     out = []
     for name, kind in row_fields(mapping, table):
-        col = values.get(name)
+        value = values.get(name)
         if name in keys:
-            col = keys[name] if col is None else F.coalesce(col.try_cast(kind), keys[name])
-        out.append((F.lit(None) if col is None else col).cast(kind).alias(name))
-    return F.struct(*out) if out else F.struct(F.lit(None).cast("string").alias("_none"))
+            value = keys[name] if value is None else f"coalesce(try_cast({value} as {kind}), {keys[name]})"
+        if value is None or kind != "string":
+            value = f"cast({value or 'null'} as {kind})"
+        out.append(f"{_literal(name)}, {value}")
+    return f"named_struct({', '.join(out)})" if out else "named_struct('_none', cast(null as string))"
 
 
-def table_array(mapping: Mapping, table: str, doc: Column, needs: _Needs, file_number: Column) -> Column:
-    """The rows of one table within one record, as ``array<struct>``."""
+def table_array(mapping: Mapping, table: str, needs: _Needs, orders: dict[Element, str], stems: dict) -> str:
+    """The rows of one table within one record, as ``array<struct>``.
 
-    def descend(base: Column, at: int, chain: list[Element], keys: dict[str, Column]) -> Column:
+    ``orders`` holds, for openings that share a counter, the counter values of this opening's
+    elements (see :func:`_shared_values`).
+    """
+
+    def descend(base: str, at: int, chain: list[Element], keys: dict[str, str]) -> str:
         here = chain[at]
         if at == 0 and len(chain) == 1:
-            return F.array(_row(mapping, table, here, base, keys, needs, file_number))
-        nxt = chain[at + 1]
-        found = _occurrences(base, nxt.below(here))
-
-        def each(item: Column, index: Column) -> Column:
-            mine = {**keys, nxt.counter: (index + 1).cast("bigint")}
-            if at + 2 == len(chain):
-                return _row(mapping, table, nxt, item, mine, needs, file_number)
-            return descend(item, at + 1, chain, mine)
-
-        rows = F.transform(found, each)
-        if at + 2 == len(chain):
-            return rows
-        return F.flatten(F.filter(rows, lambda r: r.isNotNull()))
-
-    arrays = [descend(doc, 0, mapping.chain(o), {}) for o in mapping.openings(table)]
+            return f"array({_row(mapping, table, here, base, keys, needs, stems)})"
+        nxt, item, number = chain[at + 1], f"e{at}", f"n{at}"
+        found = _occurrences(base, nxt.below(here), stems)
+        # Where a counter is shared the numbers are zipped in, worked out once per record.
+        counted = number if nxt in orders else f"({number} + 1)"
+        mine = {**keys, nxt.counter: f"cast({counted} as bigint)"}
+        last = at + 2 == len(chain)
+        body = _row(mapping, table, nxt, item, mine, needs, stems) if last else descend(item, at + 1, chain, mine)
+        head = f"zip_with({found}, {orders[nxt]}" if nxt in orders else f"transform({found}"
+        rows = f"{head}, ({item}, {number}) -> {body})"
+        return rows if last else f"flatten(filter({rows}, r -> r is not null))"
+
+    arrays = [descend(DOC, 0, mapping.chain(o), {}) for o in mapping.openings(table)]
     if len(arrays) == 1:
         return arrays[0]
-    blank = F.array().cast(arrays_type(mapping, table))
-    return F.concat(*[F.coalesce(a, blank) for a in arrays])
+    blank = f"cast(array() as {arrays_type(mapping, table)})"
+    return f"concat({', '.join(f'coalesce({a}, {blank})' for a in arrays)})"
+
+
+def _shared(mapping: Mapping, tables: list[str]) -> list[list[Element]]:
+    """The groups with a common counter that the wanted tables pass through."""
+    steps = {e for t in tables for o in mapping.openings(t) for e in mapping.chain(o)[1:2]}
+    return [g for g in mapping.shared_groups() if any(e in steps for e in g)]
+
+
+def _shared_values(groups: list[list[Element]]) -> dict[Element, str]:
+    """Counter values of each member of each group, from the member numbers in document order."""
+    return {
+        e: f"filter(transform(`#order`[{g}], (m, a) -> if(m = {i}, a + 1, null)), n -> n is not null)"
+        for g, members in enumerate(groups)
+        for i, e in enumerate(members)
+    }
 
 
 def arrays_type(mapping: Mapping, table: str) -> str:
@@ -175,42 +234,52 @@ def parse(xml: Column, needs: _Needs) -> Column:
     return F.from_xml(xml, needs.schema(), PARSER_OPTIONS)
 
 
-def unusable(doc: Column, mapping: Mapping) -> Column:
+def unusable(mapping: Mapping) -> str:
     """True for a record that is malformed or holds an element that cannot be keyed."""
-    bad = doc.getField(BAD).isNotNull()
-    for e in uncounted(mapping):
-        bad = bad | (F.coalesce(F.size(_occurrences(doc, e.below(mapping.record))), F.lit(0)) > 0)
-    return bad
+    tests = [f"{DOC}.{_q(BAD)} is not null"]
+    tests += [f"coalesce(size({_occurrences(DOC, e.below(mapping.record))}), 0) > 0" for e in uncounted(mapping)]
+    return " or ".join(tests)
 
 
 def _names(elements) -> str:
-    return "|".join(sorted({re.escape(n) for n in elements}))
-
-
-def order_pattern(mapping: Mapping, tables: list[str]) -> str:
-    """A regular expression for records whose text the parser would not report as written.
-
-    It may match too much (such records take the general path, which is exact as well) but
-    never too little: a mapped text element holding a child element or only white space, a
-    mapped attribute written with a prefix, or a processing instruction.
+    """An alternation of names with common beginnings factored out."""
+    tree: dict = {}
+    for name in sorted(set(elements)):
+        here = tree
+        for ch in name:
+            here = here.setdefault(ch, {})
+        here[""] = {}
+
+    def text(node: dict) -> str:
+        options = [re.escape(ch) + text(nxt) for ch, nxt in node.items() if ch]
+        if not options:
+            return ""
+        body = options[0] if len(options) == 1 and "" not in node else "(?:" + "|".join(options) + ")"
+        return body + ("?" if "" in node else "")
+
+    return text(tree)
+
+
+def misread(xml: Column, mapping: Mapping, tables: list[str]) -> Column:
+    """True for records whose text the parser would not report as written.
+
+    It may be true too often (such records take the node walk, which is exact as well) but
+    never too seldom: a mapped text element holding a child element or only white space, a
+    processing instruction, or a mapped attribute written with a prefix.  Two patterns, each
+    tied to one leading character, search much faster than one alternation.
     """
-    texts, spaced, attrs = set(), set(), set()
-    for table in tables:
-        for opening in mapping.openings(table):
-            for w in mapping.writes(opening):
-                if w.attr is None:
-                    texts.add(w.source.name)
-                    spaced.add(w.source.name)
-                else:
-                    attrs.add(w.attr)
-    parts = [r"<\?"]
-    head = r"<(?:[\w.-]+:)?(?:%s)(?:\s[^>]*+)?+(?<!/)>"
+    writes = [w for t in tables for o in mapping.openings(t) for w in mapping.writes(o)]
+    texts = {w.source.name for w in writes if w.attr is None}
+    attrs = {w.attr for w in writes if w.attr is not None}
+    found = r"(?s)<\?"
     if texts:
-        parts.append(head % _names(texts) + r"[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+<[A-Za-z_:]")
-        parts.append(head % _names(spaced) + r"\s++</")
+        tag = rf"(?:[\w.-]++:)?+(?:{_names(texts)})(?:\s[^>]*+)?+(?<!/)>"
+        child = r"[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+<[A-Za-z_:]"
+        found = rf"(?s)<(?:\?|{tag}(?:\s++</|{child}))"
+    test = xml.rlike(found)
     if attrs:
-        parts.append(r"\s[\w.-]+:(?:%s)\s*=" % _names(attrs))
-    return "(?s)" + "|".join(parts)
+        test = test | xml.rlike(rf":(?:{_names(attrs)})\s*+=\s*+[\"']")
+    return test
 
 
 def _file_number(records: DataFrame, number: int) -> Column:
@@ -219,17 +288,38 @@ def _file_number(records: DataFrame, number: int) -> Column:
     return F.lit(number).cast("bigint")
 
 
+def _parsed(records: DataFrame, mapping: Mapping, tables: list[str], file_number: int):
+    """Records with ``#doc``, ``#n`` and, where counters are shared, ``#order``; the array columns."""
+    needs = _Needs(mapping, tables)
+    groups = _shared(mapping, tables)
+    out = records.withColumn("#n", _file_number(records, file_number))
+    if groups:
+        out = out.withColumn("#order", nodes.sibling_order(F.col("xml"), mapping, groups))
+    out = out.withColumn("#doc", parse(F.col("xml"), needs))
+    orders, stems = _shared_values(groups), {}
+    by_depth: dict[int, dict[str, Column]] = {}
+    for names, column, expression in _stems(needs):
+        by_depth.setdefault(len(names), {})[column] = F.expr(expression)
+        stems[names] = column
+    for depth in sorted(by_depth):  # one projection per level, as each may read the one above
+        out = out.withColumns(by_depth[depth])
+    return out, {t: table_array(mapping, t, needs, orders, stems) for t in tables}
+
+
 def native_table(records: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
-    needs = _Needs(mapping, [table])
-    number = _file_number(records, file_number)
     keep = ["record_hash"] if "record_hash" in records.columns and table == mapping.root_table else []
-    parsed = records.select(F.col("uid").alias("id"), *keep, number.alias("#n"), parse(F.col("xml"), needs).alias("#doc"))
-    doc = F.col("#doc")
-    rows = F.when(~unusable(doc, mapping), table_array(mapping, table, doc, needs, F.col("#n")))
-    names = [n for n, _ in row_fields(mapping, table)]
+    parsed, arrays = _parsed(records, mapping, [table], file_number)
     # explode_outer adds no size filter above the parser, so each record is parsed once.
-    made = parsed.select("id", *keep, F.explode_outer(rows).alias("#row")).where(F.col("#row").isNotNull())
-    return made.select("id", *[F.col("#row").getField(n).alias(n) for n in names], *keep)
+    rows = F.expr(f"case when not ({unusable(mapping)}) then {arrays[table]} end")
+    made = parsed.select(F.col("uid").alias("id"), *keep, F.explode_outer(rows).alias("#row"))
+    made = made.where(F.col("#row").isNotNull())
+    return _flat(made, mapping, table, keep)
+
+
+def _flat(made: DataFrame, mapping: Mapping, table: str, keep: list[str]) -> DataFrame:
+    """``#row`` spread into its columns."""
+    fields = ["`#row`.*"] if row_fields(mapping, table) else []
+    return made.select("id", *fields, *keep)
 
 
 def shred_table(
@@ -246,7 +336,7 @@ def shred_table(
         return native_table(records, mapping, table, file_number)
     if path == "nodes" or mapping.needs_document_order(table):
         return nodes.node_table(records, mapping, table, file_number)
-    ordered = F.col("xml").rlike(order_pattern(mapping, [table]))
+    ordered = misread(F.col("xml"), mapping, [table])
     return native_table(records.where(~ordered), mapping, table, file_number).unionByName(
         nodes.node_table(records.where(ordered), mapping, table, file_number)
     )
@@ -258,7 +348,7 @@ def malformed(records: DataFrame, mapping: Mapping) -> DataFrame:
     doc = F.col("#doc")
     parsed = records.withColumn("#doc", parse(F.col("xml"), needs))
     reason = F.when(doc.getField(BAD).isNotNull(), F.lit("record is not well-formed XML")).when(
-        unusable(doc, mapping), F.lit("Counter not found in config")
+        F.expr(unusable(mapping)), F.lit("Counter not found in config")
     )
     kind = F.when(doc.getField(BAD).isNotNull(), F.lit("XMLSyntaxError")).otherwise(F.lit("KeyError"))
     return (
@@ -270,25 +360,36 @@ def malformed(records: DataFrame, mapping: Mapping) -> DataFrame:
 def staged_arrays(records: DataFrame, mapping: Mapping, tables: list[str], file_number: int = -1) -> DataFrame:
     """All wanted tables of every record from one parse: one ``array<struct>`` column each.
 
-    Written as Parquet, every table is later read through its own column only.  The columns
-    of tables that need document order are absent; ``ordered`` marks the records whose rows
-    come from the general path, ``unusable`` those that must go to the dead letters.
+    Written as Parquet, every table is later read through its own column only.  ``unusable``
+    marks records for the dead letters; ``routes`` lists the tables (by position) whose rows of
+    this record come from the node walk instead, which is decided per record and table.
     """
-    wanted = [t for t in tables if not mapping.needs_document_order(t)]
-    needs = _Needs(mapping, wanted or [mapping.root_table])
-    doc = F.col("#doc")
-    parsed = records.withColumn("ordered", F.col("xml").rlike(order_pattern(mapping, tables))).withColumn(
-        "#n", _file_number(records, file_number)
-    ).withColumn("#doc", parse(F.col("xml"), needs))
-    flagged = parsed.withColumn("unusable", unusable(doc, mapping))
-    usable = ~F.col("unusable") & ~F.col("ordered")
-    arrays = [F.when(usable, table_array(mapping, t, doc, needs, F.col("#n"))).alias(t) for t in wanted]
-    return flagged.select(*[F.col(c) for c in records.columns], "ordered", "unusable", *arrays)
+    native = [t for t in tables if not mapping.needs_document_order(t)]
+    parsed, arrays = _parsed(records, mapping, native or [mapping.root_table], file_number)
+    xml = F.col("xml")
+    marks = [
+        F.lit(i) if t not in native else F.when(misread(xml, mapping, [t]), F.lit(i))
+        for i, t in enumerate(tables)
+    ]
+    routes = F.filter(F.array(*marks), lambda i: i.isNotNull())
+    if len(native) == len(tables):  # most records need no look at the single tables
+        routes = F.when(misread(xml, mapping, tables), routes)
+    return parsed.select(
+        *[F.col(c) for c in records.columns],
+        F.when(F.size(routes) > 0, routes).alias("routes"),
+        F.expr(unusable(mapping)).alias("unusable"),
+        *[F.expr(arrays[t]).alias(t) for t in native],
+    )
+
+
+def routed_to_nodes(table_at: int) -> Column:
+    """Whether a staged record's rows of the table come from the node walk."""
+    return F.coalesce(F.array_contains("routes", F.lit(table_at)), F.lit(False))
 
 
-def rows_of(staged: DataFrame, mapping: Mapping, table: str) -> DataFrame:
-    """Flat rows of one staged table column."""
+def rows_of(staged: DataFrame, mapping: Mapping, table: str, table_at: int) -> DataFrame:
+    """Flat rows of one staged table column, without the records routed to the node walk."""
     keep = ["record_hash"] if table == mapping.root_table and "record_hash" in staged.columns else []
-    made = staged.select(F.col("uid").alias("id"), *keep, F.explode(F.col(table)).alias("#row"))
-    names = [n for n, _ in row_fields(mapping, table)]
-    return made.select("id", *[F.col("#row").getField(n).alias(n) for n in names], *keep)
+    mine = staged.where(~F.col("unusable") & ~routed_to_nodes(table_at))
+    made = mine.select(F.col("uid").alias("id"), *keep, F.explode(F.col(table)).alias("#row"))
+    return _flat(made, mapping, table, keep)

@@ -196,12 +196,26 @@ class Mapping:
             names += [w.column for w in self.writes(opening)]
         return list(dict.fromkeys(names))
 
-    # ---- what cannot be read without document order ------------------------------
+    # ---- what depends on document order --------------------------------------------
+
+    def shared_groups(self) -> list[list[Element]]:
+        """Differently placed openings of the record's row that draw from one counter."""
+        groups: list[list[Element]] = []
+        for e in self.openings():
+            if e.parent_row() is self.record and not any(e in g for g in groups):
+                members = self.sharing(e)
+                if len(members) > 1 and e.counter:
+                    groups.append(members)
+        return groups
 
     def needs_document_order(self, table: str) -> bool:
-        """True if a counter is shared, a column has several sources, or a text holds elements."""
+        """True if a whole table has to be assembled from nodes in document order.
+
+        That is: a column with several sources, a mapped text that holds mapped elements, or
+        a counter shared below the record's own row (see :meth:`shared_groups` for the rest).
+        """
         for opening in self.openings(table):
-            if any(len(self.sharing(e)) > 1 for e in self.chain(opening)[1:]):
+            if any(len(self.sharing(e)) > 1 for e in self.chain(opening)[2:]):
                 return True
             writes = self.writes(opening)
             if len({w.column for w in writes}) < len(writes):

@@ -160,9 +160,11 @@ class Change:
         if not touched:
             self.manifest["tables"].setdefault(table, entry)
             return
-        old = self.store._read(self.manifest, table, T.StructType.fromJson(entry["schema"]), touched)
-        kept = old.join(ids, key, "left_anti")
-        got = set(self._write(kept.unionByName(rows, allowMissingColumns=True), table, key))
+        merged = T.StructType.fromJson(entry["schema"])
+        if any(str(b) in entry["runs"] for b in touched):
+            old = self.store._read(self.manifest, table, merged, touched)
+            rows = old.join(ids, key, "left_anti").unionByName(rows, allowMissingColumns=True)
+        got = set(self._write(rows, table, key))
         for b in touched:
             entry["runs"].pop(str(b), None)
         entry["runs"].update({str(b): self.run for b in got})
