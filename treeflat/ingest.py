@@ -70,21 +70,23 @@ def ingest(
 
 
 def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None) -> Report:
-    spark, m = fragments.sparkSession, job.mapping
+    m = job.mapping
     stamp = F.lit(run_ts).cast("timestamp")
-    tails = staged(source.truncated_tails(fragments, job.record_tag), "tails")
-    found = source.split_records(fragments, tails if tails.take(1) else None)
 
-    # Pass 1 reads the text for ids and hashes only; the registry join moves no record text.
-    keys = staged(found.select("uid", "record_hash", "source_file", "pos"), "keys")
-    winners = source.latest_record(keys)
+    # Pass 1 reads the input for ids, hashes and failures; the registry join moves no record text.
+    scan = staged(source.light_scan(fragments, job.record_tag), "scan")
+    tails = staged(source.truncated_tails(scan, job.record_tag), "tails")
+    cut_off = bool(tails.take(1))
+    keys = scan.where("uid is not null").select("uid", "record_hash", "source_file", "pos")
+    if cut_off:
+        keys = keys.join(tails.select("source_file", "pos"), ["source_file", "pos"], "left_anti")
     registry = job.store.read(RECORD_REGISTRY, classify.REGISTRY_SCHEMA)
-    routed = staged(classify.classify(winners, registry), "routed")
+    routed = staged(classify.classify(source.latest_record(keys), registry, unique=True), "routed")
     counts = {r["status"]: r["records"] for r in classify.route_counts(routed).collect()}
     wanted = classify.to_process(routed)
 
     # Pass 2 reads the text of the records to process.
-    picked = pick(found, keys, wanted)
+    picked = pick(source.split_records(fragments), keys, wanted, everything=not cut_off)
     if job.file_numbers is not None:
         picked = files.with_file_number(picked, job.file_numbers)
     parsed = stage_parsed(picked, job)
@@ -107,7 +109,8 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
     with ThreadPoolExecutor(max(1, job.writers)) as pool:
         refused = [r for r in pool.map(write, job.tables) if r is not None]
 
-    letters = [source.split_failures(fragments, job.record_tag, job.id_tag, tails).withColumn("pipeline_step", F.lit("SplitXMLRecords"))]
+    lost = source.split_failures(fragments, job.record_tag, job.id_tag, tails if cut_off else None, scan)
+    letters = [lost.withColumn("pipeline_step", F.lit("SplitXMLRecords"))]
     bad = shred.malformed(parsed.where("unusable").select("uid", "xml"), m)
     letters.append(bad.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
     if walked is not None:
@@ -134,10 +137,10 @@ def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFr
     return Report(version=change.publish(), counts=counts, dead_letters=n_dead)
 
 
-def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame) -> DataFrame:
+def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame, everything: bool = True) -> DataFrame:
     """The full records behind ``wanted`` (uid, record_hash, source_file), each once.
 
-    Nothing to leave out: no join.  Few wanted: a broadcast of their keys, whose size is
+    Nothing to leave out (and ``everything`` in ``found`` is a whole record): no join.  Few wanted: a broadcast of their keys, whose size is
     measured.  Otherwise a shuffle join.  Equal copies share id, hash and file, so the match
     does not depend on scan order; they are reduced to one by a partial aggregate.
     """
@@ -146,7 +149,7 @@ def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum((F.octet_length("uid") + F.octet_length("source_file") + 64).cast("long")).alias("b")
     ).first()
     total = keys.count()
-    if size["n"] == total:
+    if everything and size["n"] == total:
         return found
     side = wanted.select(*on)
     if size["n"] <= BROADCAST_ROWS and (size["b"] or 0) <= BROADCAST_BYTES:

@@ -14,13 +14,17 @@ def latest_entries(registry: DataFrame) -> DataFrame:
     return registry.groupBy("uid").agg(best.alias("b")).select("uid", "b.*")
 
 
-def classify(records: DataFrame, registry: DataFrame) -> DataFrame:
+def classify(records: DataFrame, registry: DataFrame, unique: bool = False) -> DataFrame:
     """Add ``status``: left join on the id.
 
+    ``unique`` says that the registry holds one row per id (as the store keeps it), which
+    saves the aggregate over it.
+
     Neither side is collected.  Catalyst picks the join; the adaptive skew join splits an id
     that holds many of the records, because the registry side has one row per id.
     """
-    known = latest_entries(registry).select("uid", F.col("record_hash").alias("#known"), F.lit(True).alias("#seen"))
+    entries = registry if unique else latest_entries(registry)
+    known = entries.select("uid", F.col("record_hash").alias("#known"), F.lit(True).alias("#seen"))
     joined = records.join(known, "uid", "left")
     status = (
         F.when(F.col("#seen").isNull(), F.lit("new"))

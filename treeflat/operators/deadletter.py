@@ -70,9 +70,10 @@ def with_partition(letters: DataFrame) -> DataFrame:
     return letters.withColumns({"year": part("yyyy"), "month": part("MM"), "day": part("dd"), "file_name": name})
 
 
-def write_jsonl(letters: DataFrame, path: str, shards: int = 10) -> None:
-    """Compact JSON lines; the number of files is a lower bound on parallelism, not a gather."""
-    letters.repartition(shards).select(F.to_json(F.struct(*letters.columns)).alias("value")).write.text(path)
+def write_jsonl(letters: DataFrame, path: str, shards: int | None = None) -> None:
+    """Compact JSON lines.  The rebalance gives files of a sensible size; ``shards`` fixes their number."""
+    spread = letters.repartition(shards) if shards else letters.hint("rebalance")
+    spread.select(F.to_json(F.struct(*letters.columns)).alias("value")).write.text(path)
 
 
 def write_by_day(letters: DataFrame, path: str) -> None:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from treeflat.functions.text import split_quoted, strip_space
-from treeflat.session import ship_with_tasks
+from treeflat.session import ship_with_tasks, staged
 
 ship_with_tasks(__name__)
 
@@ -71,7 +71,8 @@ def read_statements(spark: SparkSession, paths, glob: str = "*.sql") -> DataFram
         F.monotonically_increasing_id().alias("pos"),
         strip_space("value").alias("line"),
     ).where("pos >= 0 and line <> ''")
-    scanned = lines.groupBy("source_file", "block").applyInPandas(_scan_split, _SCANNED)
+    # Read twice below; staged, so that the scan runs once.
+    scanned = staged(lines.groupBy("source_file", "block").applyInPandas(_scan_split, _SCANNED), "script")
 
     # One row per split: state at its end for each state at its start, folded along the file.
     per_split = scanned.groupBy("source_file", "block").agg(

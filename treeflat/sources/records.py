@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from treeflat.functions.text import blank_to_null, sha256_hex, strip_space
@@ -109,50 +111,76 @@ def read_records(
     return split_records(read_fragments(spark, paths, record_tag, id_tag, recursive, glob))
 
 
-def truncated_tails(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
+def light_scan(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
+    """What a run needs to know about every fragment, without the record texts.
+
+    Only fragments that cannot become a record keep their text.  Staged, this is the one pass
+    over the input that ids, hashes, cut-off tails, failures and counts are all taken from.
+    """
+    return fragments.select(
+        "source_file", "file_size", "pos", "uid",
+        F.when(F.col("uid").isNotNull(), sha256_hex("xml")).alias("record_hash"),
+        F.octet_length("value").alias("n_bytes"),
+        F.col("value").rlike(rf"<{_name(record_tag)}[\s>]").alias("starts"),
+        F.when(F.col("uid").isNull(), F.col("xml")).alias("xml"),
+        _hollow(record_tag).alias("hollow"),
+    )
+
+
+def _hollow(record_tag: str) -> Column:
+    """Empty record elements in a fragment (NULL where there can be none)."""
+    pattern = rf"<{_name(record_tag)}(?:\s[^<>]*)?/>"
+    found = F.regexp_extract_all(without_comments(F.col("value")), F.lit(pattern), F.lit(0))
+    return F.when(F.contains("value", F.lit("/>")), found)
+
+
+def truncated_tails(scan: DataFrame, record_tag: str = "REC") -> DataFrame:
     """Unterminated last fragments that hold a record start: the file was cut off.
 
     One aggregate per file with partial sums.  A file whose bytes add up to its size with a
     separator after every fragment ends on a record; one separator less means an open tail.
+    ``scan`` is a :func:`light_scan` or the fragments themselves.
     """
+    light = scan if "n_bytes" in scan.columns else light_scan(scan, record_tag)
     sep = len(f"</{record_tag}>".encode())
-    per_file = fragments.groupBy("source_file").agg(
-        F.sum(F.octet_length("value") + sep).alias("with_separators"),
+    per_file = light.groupBy("source_file").agg(
+        F.sum(F.col("n_bytes") + sep).alias("with_separators"),
         F.max("file_size").alias("file_size"),
-        F.max(F.struct("pos", F.col("value").rlike(rf"<{_name(record_tag)}[\s>]").alias("starts"))).alias("last"),
+        F.max(F.struct("pos", "starts", "uid", "record_hash")).alias("last"),
     )
     return per_file.where((F.col("with_separators") > F.col("file_size")) & F.col("last.starts")).select(
-        "source_file", F.col("last.pos").alias("pos")
+        "source_file", "last.pos", "last.uid", "last.record_hash"
     )
 
 
 def split_failures(
-    fragments: DataFrame, record_tag: str = "REC", id_tag: str = "UID", tails: DataFrame | None = None
+    fragments: DataFrame, record_tag: str = "REC", id_tag: str = "UID", tails: DataFrame | None = None,
+    scan: DataFrame | None = None,
 ) -> DataFrame:
-    """What could not become a record: no id, cut off, or an empty record element."""
-    name = _name(record_tag)
-    cut = fragments.where("pos >= 0 and xml is not null")
-    if tails is not None:
-        cut = cut.join(tails.select("source_file", "pos", F.lit(True).alias("cut_off")), ["source_file", "pos"], "left")
-    else:
-        cut = cut.withColumn("cut_off", F.lit(None).cast("boolean"))
+    """What could not become a record: no id, cut off, or an empty record element.
+
+    With a staged ``scan`` the input is not read again, except for the text of cut-off
+    records, which are found by file, id and hash.
+    """
+    light = light_scan(fragments, record_tag) if scan is None else scan
     no_id = F.lit(f"Could not extract ID from record (tag: {id_tag})")
-    lost = cut.where("cut_off or uid is null").select(
-        F.col("uid").alias("record_id"),
-        "xml",
-        F.when(F.col("cut_off"), F.lit("record is cut off by the end of the file")).otherwise(no_id).alias("error"),
-        F.when(F.col("cut_off"), F.lit("XMLSyntaxError")).otherwise(F.lit("ValueError")).alias("error_type"),
-        "source_file",
-    )
-    empty = F.regexp_extract_all(without_comments(F.col("value")), F.lit(rf"<{name}(?:\s[^<>]*)?/>"), F.lit(0))
-    hollow = fragments.where(F.contains("value", F.lit("/>"))).select(
-        F.lit(None).cast("string").alias("record_id"),
-        F.explode(empty).alias("xml"),
-        no_id.alias("error"),
-        F.lit("ValueError").alias("error_type"),
-        "source_file",
-    )
-    return lost.unionByName(hollow)
+    off = F.lit("record is cut off by the end of the file")
+    value_error, syntax = F.lit("ValueError").alias("error_type"), F.lit("XMLSyntaxError").alias("error_type")
+    parts = []
+    lost = light.where("pos >= 0 and xml is not null")
+    if tails is not None:
+        nameless = tails.where("uid is null").select("source_file", "pos")
+        cut = lost.join(nameless, ["source_file", "pos"], "left_semi")
+        lost = lost.join(nameless, ["source_file", "pos"], "left_anti")
+        parts.append(cut.select("uid", "xml", off.alias("error"), syntax, "source_file"))
+        named = tails.where("uid is not null").select("source_file", "uid", "record_hash")
+        texts = split_records(fragments).join(named, ["source_file", "uid", "record_hash"], "left_semi")
+        parts.append(texts.select("uid", "xml", off.alias("error"), syntax, "source_file"))
+    parts.append(lost.select("uid", "xml", no_id.alias("error"), value_error, "source_file"))
+    hollow = light.where("pos >= 0 and hollow is not null")
+    parts.append(hollow.select("uid", F.explode("hollow").alias("xml"), no_id.alias("error"), value_error, "source_file")
+                 .withColumn("uid", F.lit(None).cast("string")))
+    return reduce(DataFrame.unionByName, parts).withColumnRenamed("uid", "record_id")
 
 
 def latest_record(records: DataFrame) -> DataFrame:
