@@ -9,7 +9,7 @@ from catalog import mappings as M
 from catalog.shredding import LINES
 from treeflat.functions.text import split_quoted
 from treeflat.operators import shred
-from treeflat.session import fresh_folder
+from treeflat.session import fresh_folder, staged
 from treeflat.sinks import tables as sinks
 from treeflat.sources import inserts, records as R
 
@@ -37,11 +37,12 @@ def insert_text(spark, sf):
 
 
 def _script(spark, sf):
-    """All rows of the paragraph corpus as an INSERT script on disk."""
+    """All rows of the line corpus as an INSERT script on disk."""
 
     def write(path):
         rec = R.read_records(spark, C.lines_corpus(spark, sf))
-        tables = {t: shred.shred_table(rec, M.LINES, t).drop("record_hash") for t in M.LINES.tables()}
+        # Finished tables, stored: the global sort samples its input before it sorts it.
+        tables = {t: staged(shred.shred_table(rec, M.LINES, t).drop("record_hash"), t) for t in M.LINES.tables()}
         sinks.write_script(sinks.insert_script(tables, M.LINES), path)
 
     return C.once(spark, sf, "script", write)
