@@ -168,3 +168,9 @@ def test_one_parse_per_record_and_no_shuffle(spark, mapping):
 def test_general_path_uses_one_exchange(spark, mapping):
     plan = nodes.node_table(frame(spark, "<REC/>"), mapping, "la")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_names_are_told_apart_by_case(spark, mapping):
+    compare(spark, mapping, '<REC><WS><w>no</w></WS><ws><W t="1">X</W><w T="2">y</w><w t="3">z</w></ws><ws COUNT="4"/></REC>')
+    twins = Mapping.from_xml('<records><REC table="doc"><UID/><w>doc:a</w><W>doc:b</W></REC></records>')
+    compare(spark, twins, "<REC><W>1</W><w>2</w></REC>", "<REC><w>3</w></REC>", paths=("auto",))

@@ -260,25 +260,34 @@ def _names(elements) -> str:
     return text(tree)
 
 
-def misread(xml: Column, mapping: Mapping, tables: list[str]) -> Column:
-    """True for records whose text the parser would not report as written.
+def misread(records: DataFrame, mapping: Mapping, tables: list[str]) -> Column:
+    """True for records whose ``xml`` the parser would not report as written.
 
     It may be true too often (such records take the node walk, which is exact as well) but
     never too seldom: a mapped text element holding a child element or only white space, a
-    processing instruction, or a mapped attribute written with a prefix.  Two patterns, each
-    tied to one leading character, search much faster than one alternation.
+    processing instruction, a mapped attribute written with a prefix, or, where the session
+    is not case sensitive, a name in another spelling than the mapping's.  Separate patterns,
+    each tied to one leading character, search much faster than one alternation.
     """
-    writes = [w for t in tables for o in mapping.openings(t) for w in mapping.writes(o)]
-    texts = {w.source.name for w in writes if w.attr is None}
-    attrs = {w.attr for w in writes if w.attr is not None}
-    found = r"(?s)<\?"
+    xml = F.col("xml")
+    needs = _Needs(mapping, tables)
+    texts, attrs = {e.name for e in needs.text}, set().union(*needs.attrs.values())
+    options = [r"\?"]
     if texts:
         tag = rf"(?:[\w.-]++:)?+(?:{_names(texts)})(?:\s[^>]*+)?+(?<!/)>"
-        child = r"[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+<[A-Za-z_:]"
-        found = rf"(?s)<(?:\?|{tag}(?:\s++</|{child}))"
-    test = xml.rlike(found)
+        options.append(rf"{tag}(?:\s++</|[^<]*+(?:<!\[CDATA\[.*?\]\]>[^<]*+)*+<[A-Za-z_:])")
+    exact = records.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    everything = list(mapping.record.walk())
+    used = {e.name for e in needs.present if e is not mapping.record}
+    if used and not exact:
+        known = _names({e.name for e in everything})
+        options.append(rf"(?:[\w.-]++:)?+(?!(?:{known})[\s/>])(?iu:{_names(used)})[\s/>]")
+    test = xml.rlike(rf"(?s)<(?:{'|'.join(options)})")
     if attrs:
         test = test | xml.rlike(rf":(?:{_names(attrs)})\s*+=\s*+[\"']")
+        if not exact:
+            known = _names({a for e in everything for a in e.attrs})
+            test = test | xml.rlike(rf"\s(?!(?:{known})[\s=])(?iu:{_names(attrs)})\s*+=\s*+[\"']")
     return test
 
 
@@ -336,7 +345,7 @@ def shred_table(
         return native_table(records, mapping, table, file_number)
     if path == "nodes" or mapping.needs_document_order(table):
         return nodes.node_table(records, mapping, table, file_number)
-    ordered = misread(F.col("xml"), mapping, [table])
+    ordered = misread(records, mapping, [table])
     return native_table(records.where(~ordered), mapping, table, file_number).unionByName(
         nodes.node_table(records.where(ordered), mapping, table, file_number)
     )
@@ -366,14 +375,13 @@ def staged_arrays(records: DataFrame, mapping: Mapping, tables: list[str], file_
     """
     native = [t for t in tables if not mapping.needs_document_order(t)]
     parsed, arrays = _parsed(records, mapping, native or [mapping.root_table], file_number)
-    xml = F.col("xml")
     marks = [
-        F.lit(i) if t not in native else F.when(misread(xml, mapping, [t]), F.lit(i))
+        F.lit(i) if t not in native else F.when(misread(records, mapping, [t]), F.lit(i))
         for i, t in enumerate(tables)
     ]
     routes = F.filter(F.array(*marks), lambda i: i.isNotNull())
     if len(native) == len(tables):  # most records need no look at the single tables
-        routes = F.when(misread(xml, mapping, tables), routes)
+        routes = F.when(misread(records, mapping, tables), routes)
     return parsed.select(
         *[F.col(c) for c in records.columns],
         F.when(F.size(routes) > 0, routes).alias("routes"),

@@ -93,6 +93,19 @@ def _local(name: str) -> str:
     return name.rsplit("}", 1)[-1]
 
 
+def _has_case_twin(element: Element) -> bool:
+    """Whether a name on the way to the element, or an attribute of it, has a twin in other case."""
+    lowered = [a.lower() for a in element.attrs]
+    if len(set(lowered)) < len(lowered):
+        return True
+    here = element
+    while here.parent is not None:
+        if sum(n.lower() == here.name.lower() for n in here.parent.children) > 1:
+            return True
+        here = here.parent
+    return False
+
+
 class Mapping:
     def __init__(self, root: Element, record: Element):
         self.root, self.record = root, record
@@ -211,10 +224,13 @@ class Mapping:
     def needs_document_order(self, table: str) -> bool:
         """True if a whole table has to be assembled from nodes in document order.
 
-        That is: a column with several sources, a mapped text that holds mapped elements, or
-        a counter shared below the record's own row (see :meth:`shared_groups` for the rest).
+        That is: a column with several sources, a mapped text that holds mapped elements, a
+        counter shared below the record's own row (see :meth:`shared_groups` for the rest), or
+        siblings whose names differ only by case.
         """
         for opening in self.openings(table):
+            if any(_has_case_twin(e) for e in [opening, *(w.source for w in self.writes(opening))]):
+                return True
             if any(len(self.sharing(e)) > 1 for e in self.chain(opening)[2:]):
                 return True
             writes = self.writes(opening)
