@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from treeflat.operators import classify, deadletter, nodes, shred, upkeep, validate
 from treeflat.plans.contracts import Contracts
 from treeflat.plans.mapping import Mapping
-from treeflat.session import BROADCAST_BYTES, BROADCAST_ROWS, staged
+from treeflat.session import BROADCAST_BYTES, BROADCAST_ROWS, exact_names, staged
 from treeflat.sinks import tables as sinks
 from treeflat.sinks.store import Store
 from treeflat.sources import files, records as source
@@ -70,6 +70,12 @@ def ingest(
 
 
 def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None) -> Report:
+    """One run over fragments (see :func:`treeflat.sources.records.read_fragments`)."""
+    with exact_names(fragments.sparkSession):
+        return _run(fragments, job, run_ts, prints)
+
+
+def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None) -> Report:
     m = job.mapping
     stamp = F.lit(run_ts).cast("timestamp")
 
@@ -194,6 +200,11 @@ def bulk_load(
     records: DataFrame, job: Job, out: str, run_ts: str, disposition: str = sinks.APPEND
 ) -> dict[str, str]:
     """Load without change detection: one parse, one write per contract table below ``out``."""
+    with exact_names(records.sparkSession):
+        return _load(records, job, out, run_ts, disposition)
+
+
+def _load(records: DataFrame, job: Job, out: str, run_ts: str, disposition: str) -> dict[str, str]:
     parsed = stage_parsed(records, job)
     walked = stage_walked(parsed, job)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 import sys
 import tempfile
 import uuid
@@ -68,3 +69,18 @@ def ship_with_tasks(module_name: str) -> None:
     Executors then need no installed copy of the package.
     """
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+@contextmanager
+def exact_names(spark: SparkSession):
+    """Match names by case while a run executes, then restore the session's setting.
+
+    XML names are case sensitive.  With the setting on, the parser is exact and faster, and
+    records need no extra test for names in other spellings.
+    """
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
