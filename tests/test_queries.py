@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -28,12 +29,12 @@ def plain(v):
     return v
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_sql(spark, duck, name):
-    df = entry_points.queries()[name](spark, SF)
+    df = catalog.queries()[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=str)
-    sql = entry_points.oracle_sql().get(name)
+    sql = catalog.oracle_sql().get(name)
     if sql is None:
         assert got
         return
