@@ -81,7 +81,8 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     bits = half_bits(keys.count())
     probed = probe(hashed, "h", staged(repeated_filter(hashed, "h", bits), "dedup-filter"), bits, "maybe")
     maybe = probed.filter("maybe").select("doc_id", "sha")
-    groups = maybe.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written first: a join of two plain tables can be broadcast if small, and split where one group is large
+    groups = staged(maybe.groupBy("sha").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "dedup-groups")
     decided = maybe.join(groups, "sha")
     straight = probed.filter("NOT maybe").select("sha", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     return decided.unionByName(straight).select(
