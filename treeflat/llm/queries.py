@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treeflat.llm import decontaminate, exact_dedup, html_extract, langid, quality, sharding, warc
+from treeflat.llm import decontaminate, exact_dedup, html_extract, jaccard_join, langid, lm, quality, sentencepiece_sample, sharding, warc
 from treeflat.llm.common import crc32_of_id, table
 
 
+def sampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sampled = sentencepiece_sample.sample(table(spark, sf_dir, "documents"), k=2)
+    decoded = sentencepiece_sample.decode(sampled)
+    return decoded.select(
+        "doc_id",
+        "rank",
+        F.size("ids").alias("n_pieces"),
+        F.crc32(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")).alias("ids_crc32"),
+        "log_prob",
+        "perturbed",
+        "log_inclusion",
+        (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"),
+    )
+
+
 def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -16,6 +31,13 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_report(table(spark, sf_dir, "pages"))
 
 
+def model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_of_id(F.col("doc_id")) % 7 == 2, F.lit(False))
+    model = lm.train(docs.filter(~held_out), order=2)
+    return lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), 40)
 
@@ -29,6 +51,10 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, vectors, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
 def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_of_id(F.col("doc_id")) % 4 == 2, F.lit(False))
@@ -46,10 +72,13 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": sampling_query,
     "op2_decontamination": decontamination_query,
     "op3_warc": warc_query,
+    "op4_kneser_ney": model_query,
     "op5_sampled_splitters": sharding_query,
     "op6_quality": quality_query,
+    "op7_jaccard_join": join_query,
     "op8_language": language_query,
     "op9_tag_path_ratios": extraction_query,
     "op10_exact_dedup": exact_dedup_query,
