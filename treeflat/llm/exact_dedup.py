@@ -52,8 +52,8 @@ def repeated_filter(hashes: DataFrame, h: str, bits: int) -> DataFrame:
     )
 
 
-def _bit(bits: Column, slot: Column) -> Column:
-    position = F.bitmap_bit_position(slot)
+def bit_at(bits: Column, position: Column) -> Column:
+    """Whether the bit is set; false for no bitmap."""
     byte = F.conv(F.hex(F.substring(bits, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (position % 8 + 1).cast("int"))
     return F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False))
@@ -69,7 +69,7 @@ def probe(rows: DataFrame, h: str, filter_: DataFrame, bits: int, name: str) ->
     return (
         rows.join(one, F.bitmap_bucket_number(first) == F.col("_bucket1"), "left")
         .join(two, F.bitmap_bucket_number(second) == F.col("_bucket2"), "left")
-        .select(*kept, (_bit(F.col("_bits1"), first) & _bit(F.col("_bits2"), second)).alias(name))
+        .select(*kept, (bit_at(F.col("_bits1"), F.bitmap_bit_position(first)) & bit_at(F.col("_bits2"), F.bitmap_bit_position(second))).alias(name))
     )
 
 

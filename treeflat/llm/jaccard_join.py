@@ -9,11 +9,12 @@ found again; no link that would connect two classes is missed.
 2. Matrix.  Tokens have one global order: by hash, with tokens that tasks saw again and again put last.  A node's
    first ``n - ceil(0.8 n) + DEPTH`` tokens are its prefix; two linked nodes share at least ``DEPTH`` tokens of their prefixes (all, if they have
    fewer).  A group's row of the matrix is the union of its members' prefixes, kept by token; tokens of one group only are dropped at once.
-3. Bound.  A node's overlap with a group's union is counted through the matrix.  Below ``DEPTH`` no member can link with it.
+3. Bound.  A node's overlap with a group's union is counted through the matrix.  Sizes say how much of a link's overlap must lie in the
+   prefixes; below that no member can link with it.  For groups of several the whole set is then counted against the union of whole sets.
 4. Open.  Members of qualifying groups that share enough prefix tokens and fit in size are compared exactly.
 
 Everything between the steps is a written table.  The order of tokens and the choice of pivots decide the work, not the result.
-Broadcast are a 4 MB bit table, and tables that were counted first (``BROADCAST_ROWS``; beyond it the join is a shuffle).
+Broadcast are bit tables of 4 and at most 64 MB, and tables that were counted first (``BROADCAST_ROWS``; beyond it the join is a shuffle).
 
 Defined results: null and empty texts, and texts without words, have no shingles, ``n_shingles`` 0, and are linked with nothing; fewer than five words
 are one shingle, the whole sequence.  Rows given twice have one class.  The class id is the smallest id; null ids only count where a class has no
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treeflat.llm.common import keyed, ship, staged
 from treeflat.llm.components import components
+from treeflat.llm.exact_dedup import bit_at
 from treeflat.llm.words import mix, slices, windows, word_hashes
 
 ship(__name__)
@@ -40,7 +42,12 @@ DEPTH = 3
 COMMON = 16
 BITS = 1 << 25
 BROADCAST_ROWS = 500_000
+#: Pivots per key; the first decides most, the others are asked for what is still apart.
+TURNS = 8
+#: Tokens that a task counts together.
+COUNTED = 2_000_000
 _BINS, _KEYS = 8, 4
+_BUCKET = 32768  # bits of a bitmap of Spark's bitmap functions
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,33 +87,40 @@ def _keys(tokens: np.ndarray) -> list[int | None]:
 def _signed(docs: DataFrame) -> DataFrame:
     """Per document its node, size and keys; per task the tokens that it saw in at least two different sets (``token``, ``seen``)."""
 
+    def signed(ids, rows, sizes, nodes, keys, sets):
+        token, seen = np.unique(np.concatenate(list(sets.values())), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
+        token, seen = token[seen > 1].astype(np.int64), seen[seen > 1]
+        n, none = len(rows), pa.nulls(len(token))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([ids.take(pa.array(rows, pa.int64())), none.cast(pa.int64())]),
+                pa.concat_arrays([pa.array(nodes, pa.int64()), none.cast(pa.int64())]),
+                pa.concat_arrays([pa.array(sizes, pa.int64()), none.cast(pa.int64())]),
+                pa.concat_arrays([pa.array(keys, pa.list_(pa.int64())), none.cast(pa.list_(pa.int64()))]),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(token)]),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(seen, pa.int64())]),
+            ],
+            ["doc_id", "node", "n", "keys", "token", "seen"],
+        )
+
     def run(batches):
         for b in batches:
             with np.errstate(over="ignore"):
-                rows, nodes, sizes, keys, sets = [], [], [], [], {}
+                rows, sizes, nodes, keys, sets, held = [], [], [], [], {}, 0
                 for row, tokens in shingle_sets(b.column(1)):
                     rows.append(row)
                     sizes.append(len(tokens))
                     node = int(node_of(tokens).astype(np.int64)) if len(tokens) else None
                     nodes.append(node)
                     keys.append(_keys(tokens) if len(tokens) else [])
-                    if node is not None:
+                    if node is not None and node not in sets:
                         sets[node] = tokens
-                token, seen = np.unique(np.concatenate(list(sets.values())), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
-                token, seen = token[seen > 1].astype(np.int64), seen[seen > 1]
-            n, m = len(rows), len(token)
-            none = pa.nulls(m)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([b.column(0).take(pa.array(rows, pa.int64())), none.cast(pa.int64())]),
-                    pa.concat_arrays([pa.array(nodes, pa.int64()), none.cast(pa.int64())]),
-                    pa.concat_arrays([pa.array(sizes, pa.int64()), none.cast(pa.int64())]),
-                    pa.concat_arrays([pa.array(keys, pa.list_(pa.int64())), none.cast(pa.list_(pa.int64()))]),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(token)]),
-                    pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(seen, pa.int64())]),
-                ],
-                ["doc_id", "node", "n", "keys", "token", "seen"],
-            )
+                        held += len(tokens)
+                    if held >= COUNTED:
+                        yield signed(b.column(0), rows, sizes, nodes, keys, sets)
+                        rows, sizes, nodes, keys, sets, held = [], [], [], [], {}, 0
+                if rows:
+                    yield signed(b.column(0), rows, sizes, nodes, keys, sets)
 
     return docs.mapInArrow(run, "doc_id long, node long, n long, keys array<long>, token long, seen long")
 
@@ -207,11 +221,33 @@ def _needed(n: Column) -> Column:
     return F.ceil(n * SIMILAR / 100)
 
 
+def _overlap(n: Column, m: Column) -> Column:
+    """Overlap of two linked sets of these sizes at least."""
+    return F.ceil((n + m) * SIMILAR / (100 + SIMILAR))
+
+
+def _shared(n: Column, m: Column) -> Column:
+    """Prefix tokens that two linked sets share at least: all of their overlap but what may lie behind the longer rest."""
+    rest = lambda x: F.greatest(_needed(x) - DEPTH, F.lit(0))
+    return F.greatest(_overlap(n, m) - F.greatest(rest(n), rest(m)), F.lit(1))
+
+
 def _small(df: DataFrame) -> DataFrame:
     """A written table, broadcast if it was counted to be small."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose token is one of ``wanted``: first by a bit table of bounded size, broadcast, then by a join of what that lets through."""
+    bits = _BUCKET
+    while bits < 16 * wanted.count() and bits < 1 << 29:
+        bits *= 2
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    packed = wanted.select(slot("token").alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_bits"))
+    near = rows.join(F.broadcast(staged(packed, "join-bits")), F.bitmap_bucket_number(slot("token")) == F.col("_bucket"))
+    return near.filter(bit_at(F.col("_bits"), F.bitmap_bit_position(slot("token")))).select(*rows.columns).join(_small(wanted), "token")
+
+
 def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     nodes = signed.filter("node IS NOT NULL")
     seen = signed.filter("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= COMMON)
@@ -219,7 +255,7 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
 
     # groups: nodes that share a key are compared with the key's pivots
     keyed_nodes = staged(nodes.select("node", "n", F.explode("keys").alias("key")).filter("key IS NOT NULL").distinct(), "join-keys")
-    turns = range(3)
+    turns = range(TURNS)
     pivots = keyed_nodes.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), *[F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("h"), "node", "n")).alias(f"p{t}") for t in turns]
     )
@@ -245,39 +281,57 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     links = links.unionByName(staged(_verified(later.filter(apart), whole), "join-links"))
     root = staged(components(links), "join-roots")
 
-    # matrix: prefix tokens by group, those of one group only dropped
-    group = F.coalesce("root", "node")
-    tokens = sets.select("node", "n", "prefix").join(_small(root), "node", "left").select("node", "n", group.alias("group"), F.explode("prefix").alias("token"))
-    mixed = staged(tokens.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low != high").select("token"), "join-mixed")
-    rows = staged(tokens.join(_small(mixed), "token").select("token", "node", "n", "group").distinct(), "join-matrix-rows")
+    # matrix: prefix tokens by group (with its members' number and sizes), those of one group only dropped
+    sized = root.join(nodes.select("node", "n").distinct(), "node")
+    sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
+    grouped = staged(root.join(sizes, "root"), "join-groups")
+    parts = {"members": F.coalesce("members", F.lit(1).cast("long")), "root": F.coalesce("root", "node"), "low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")}
+    group = F.named_struct(*[x for name, c in parts.items() for x in (F.lit(name), c)])
+    tokens = sets.select("node", "n", "prefix").join(_small(grouped), "node", "left").select("node", "n", group.alias("group"), F.explode("prefix").alias("token"))
+    mixed = staged(tokens.groupBy("token").agg(F.min("group.root").alias("low"), F.max("group.root").alias("high")).filter("low != high").select("token"), "join-mixed")
+    rows = staged(_only(tokens, mixed).distinct(), "join-matrix-rows")
     matrix = rows.select("token", F.col("group").alias("other")).distinct()
 
-    # bound: overlap of a node's prefix with the unions of other groups (each pair of groups is looked at from the larger id)
-    overlap = rows.join(matrix, "token").filter("other < group").groupBy("node", "other").agg(F.count(F.lit(1)).alias("overlap"), F.first("n").alias("n"))
-    open_ = staged(overlap.filter(F.col("overlap") >= F.least(F.lit(DEPTH), _needed(F.col("n")))).select("node", "other"), "join-open")
+    # bound: overlap of a node's prefix with the unions of other groups (of two groups, the smaller one asks)
+    n = F.col("n")
+    least, most = F.greatest(F.col("other.low"), _needed(n)), F.least(F.col("other.high"), F.floor(n * 100 / SIMILAR))
+    overlap = rows.join(matrix, "token").filter((F.col("group") < F.col("other")) & (least <= most)).groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap"))
+    bounded = staged(overlap.filter(F.col("overlap") >= F.least(_shared(n, least), _shared(n, most))).select("node", "n", "other"), "join-bounded")
+    # groups of several: the whole set against the union of the members' whole sets
+    several = bounded.filter("other.members > 1")
+    whole = _with_sets(docs, several.select("node"), whole)
+    union = grouped.filter("members > 1").join(whole, "node").select(F.col("root"), F.explode("whole").alias("token")).distinct()
+    inside = several.join(whole, "node").select("node", "n", "other", F.col("other.root").alias("root"), F.explode("whole").alias("token")).join(union, ["root", "token"])
+    reached = inside.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap")).filter(F.col("overlap") >= _overlap(n, least))
+    open_ = staged(bounded.filter("other.members = 1").select("node", "other").unionByName(reached.select("node", "other")), "join-open")
 
     # open: members of qualifying groups that share enough of the prefix
     query = rows.drop("group").join(open_, "node")
     member = rows.select("token", F.col("group").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
     pairs = staged(
         query.join(member, ["token", "other"])
-        .filter(_fit(F.col("n"), F.col("m")))
-        .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.first("m").alias("m"))
-        .filter(F.col("common") >= F.least(F.lit(DEPTH), _needed(F.col("n")), _needed(F.col("m"))))
+        .filter(_fit(n, F.col("m")))
+        .groupBy(F.col("node").alias("a"), "b", "n", "m")
+        .agg(F.count(F.lit(1)).alias("common"))
+        .filter(F.col("common") >= _shared(n, F.col("m")))
         .select("a", "b"),
         "join-pairs",
     )
     if pairs.isEmpty():
         return links
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    missing = staged(ends.join(whole, "node", "left_anti"), "join-missing")
-    if not missing.isEmpty():
-        more = staged(_sets(docs, None, _bit_table(missing, "node")).select("node", "whole").dropDuplicates(["node"]).join(missing, "node", "left_semi"), "join-more-sets")
-        whole = whole.unionByName(more)
+    whole = _with_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), whole)
     return links.unionByName(staged(_verified(pairs, whole), "join-links"))
 
 
+def _with_sets(docs: DataFrame, wanted: DataFrame, whole: DataFrame) -> DataFrame:
+    """``whole`` with the sets of all ``wanted`` nodes; documents are read again only for those that are missing."""
+    missing = staged(wanted.distinct().join(whole, "node", "left_anti"), "join-missing")
+    if missing.isEmpty():
+        return whole
+    more = _sets(docs, None, _bit_table(missing, "node")).select("node", "whole").dropDuplicates(["node"]).join(missing, "node", "left_semi")
+    return whole.unionByName(staged(more, "join-more-sets"))
+
+
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(signed rows of the documents, (node, root) of the nodes that have links)."""
     signed = staged(_signed(docs), "join-signed")
