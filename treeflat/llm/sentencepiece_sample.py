@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 META = "▁"
 ZIPF = 2.7
 #: Characters that are worked on together.
-RUN = 1_500_000
+RUN = 600_000
 NOISE = 37.0
 _LEAF, _PLACE, _REST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95), np.uint64(0xA0761D6478BD642F)
 
@@ -101,11 +100,32 @@ class Vocabulary:
         for (at, c), to in nodes.items():
             if at == 0:
                 self.root[c] = to
-        steps = sorted((at * self.width + c, to) for (at, c), to in nodes.items() if at)
-        self.step_keys = np.array([k for k, _ in steps], np.int64)
-        self.step_to = np.array([t for _, t in steps], np.int64)
+        # steps below the root, in a table with linear probing: (key, node), key -1 where empty
+        slots = 1 << max(4, (4 * len(nodes)).bit_length())
+        self.shift = np.uint64(64 - slots.bit_length() + 1)
+        self.step_keys, self.step_to = np.full(slots, -1, np.int64), np.zeros(slots, np.int64)
+        for (at, c), to in nodes.items():
+            if at:
+                key = at * self.width + c
+                slot = int((key * int(_LEAF) % 2**64) >> int(self.shift))
+                while self.step_keys[slot] >= 0:
+                    slot = (slot + 1) % slots
+                self.step_keys[slot], self.step_to[slot] = key, to
         self.char_hash = mix(np.arange(1, self.width + 1, dtype=np.uint64) * _LEAF)
 
+    def steps(self, keys: np.ndarray) -> np.ndarray:
+        """The nodes that the steps lead to; 0 where there is none."""
+        out = np.zeros(len(keys), np.int64)
+        on = np.arange(len(keys))
+        slot = ((keys.astype(np.uint64) * _LEAF) >> self.shift).astype(np.int64)
+        while len(on):
+            found = self.step_keys[slot]
+            hit = found == keys[on]
+            out[on[hit]] = self.step_to[slot[hit]]
+            more = ~hit & (found >= 0)
+            on, slot = on[more], (slot[more] + 1) % len(self.step_keys)
+        return out
+
     def characters(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Character numbers of the texts end to end (blank in front, unknown characters as bytes), and where each begins."""
         joined = "".join(" " + t if t else "" for t in texts)
@@ -152,12 +172,9 @@ class Lattice:
             found.append((at[has], depth, piece[has]))
             on = left[at] > depth
             at, node = at[on], node[on]
-            if not len(at) or not len(vocabulary.step_keys):
-                break
-            key = node * vocabulary.width + text[at + depth]
-            k = np.minimum(np.searchsorted(vocabulary.step_keys, key), len(vocabulary.step_keys) - 1)
-            on = vocabulary.step_keys[k] == key
-            at, node, depth = at[on], vocabulary.step_to[k[on]], depth + 1
+            node = vocabulary.steps(node * vocabulary.width + text[at + depth])
+            on = node > 0
+            at, node, depth = at[on], node[on], depth + 1
         count = np.zeros(len(text), np.int64)
         for p, _, _ in found:
             count[p] += 1
@@ -326,11 +343,11 @@ def segmentations(vocabulary: Vocabulary, keys: np.ndarray, texts: list[str], k:
             yield row, rank, lattice.piece[path], log_p, value, inclusion
 
 
-_SCHEMA = "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, text_crc32 long"
+_SCHEMA = "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
 
 
 def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Up to k distinct segmentations of every row: doc_id, rank (by perturbed value), ids, log_prob, perturbed, log_inclusion, text_crc32."""
+    """Up to k distinct segmentations of every row: doc_id, rank (by perturbed value), ids, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the text)."""
     with open(model, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -341,10 +358,10 @@ def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key:
             found = list(segmentations(vocabulary, keys, texts, k))
         lengths = [len(f[2]) for f in found]
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(np.concatenate([f[2] for f in found]).astype(np.int32)))
-        sums = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]
+        back = [vocabulary.decode(f[2]) == texts[f[0]] for f in found]
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids[f[0]] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), lists, *(pa.array([f[c] for f in found], pa.float64()) for c in (3, 4, 5)), pa.array([sums[f[0]] for f in found], pa.int64())],
-            ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "text_crc32"],
+            [pa.array([ids[f[0]] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), lists, *(pa.array([f[c] for f in found], pa.float64()) for c in (3, 4, 5)), pa.array(back, pa.bool_())],
+            ["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"],
         )
 
     def run(batches):
