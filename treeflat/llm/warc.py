@@ -137,10 +137,10 @@ def read_records(spark: SparkSession, path: str, mark: str | None = None) -> Dat
     )
 
 
-def captures(records: DataFrame) -> DataFrame:
+def captures(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One nested row per capture: response (or revisit) with its payload, requests, metadata.
 
-    ``requests`` and ``metadata`` are sorted lists without repeats, empty where there are none.
+    Without ``payloads`` the response has only their size and digest, so no payload is shuffled.  ``requests`` and ``metadata`` are sorted lists without repeats, empty where there are none.
     """
     known = records.filter(F.col("record_id").isNotNull())
     head = F.substring_index(F.col("block").cast("string"), CRLF * 2, 1)
@@ -149,7 +149,11 @@ def captures(records: DataFrame) -> DataFrame:
     mains = known.filter(F.col("type").isin("response", "revisit", "resource")).select(
         F.col("record_id").alias("capture_id"),
         "concurrent_to",
-        F.struct("type", "date", "uri", "refers_to", "digest", "complete", payload.alias("payload")).alias("response"),
+        F.struct(
+            "type", "date", "uri", "refers_to", "digest", "complete",
+            F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"),
+            *([payload.alias("payload")] if payloads else []),
+        ).alias("response"),
     )
     sides = known.filter(F.col("type").isin("request", "metadata")).select(
         "record_id", "concurrent_to", F.struct("record_id", "date", "uri", "content_type", F.col("block").cast("string").alias("text"), "complete").alias("side"), "type"
@@ -175,13 +179,13 @@ def page_report(pages: DataFrame, path: str | None = None) -> DataFrame:
     path = path or fresh_folder(spark, "warc")
     mark = write_archives(pages, path)
     light = staged(
-        captures(read_records(spark, path, mark)).select(
+        captures(read_records(spark, path, mark), payloads=False).select(
             "capture_id",
             F.regexp_extract(F.element_at(F.col("metadata.text"), 1), r"(?m)^page: *(-?[0-9]*)", 1).try_cast("long").alias("page_id"),
             F.col("response.type").alias("record_type"),
             F.col("response.refers_to").alias("refers_id"),
-            F.octet_length("response.payload").cast("long").alias("payload_bytes"),
-            base32_sha1(F.col("response.payload")).alias("payload_digest"),
+            F.col("response.payload_bytes").alias("payload_bytes"),
+            F.col("response.payload_digest").alias("payload_digest"),
         ),
         "warc-captures",
     )
