@@ -241,13 +241,16 @@ def records_per_file(spark, sf):
     return per_file.agg(F.sum("record_count").alias("record_count"))
 
 
-@query("fingerprints")
+@query("fingerprints", """SELECT n_nationkey, min(n_nationkey) OVER (PARTITION BY n_regionkey) AS same_as FROM nation""")
 def fingerprints(spark, sf):
-    """MD5 of every file of the corpus, beside the order-free fingerprint of its records."""
-    path = C.lines_corpus(spark, sf)
-    rec = R.read_records(spark, path)
-    exact = files.fingerprints(spark, path, "*.xml", records=rec)
-    return exact.select(files.base_name(F.col("file_path")).alias("file_name"), "file_md5").orderBy("file_name")
+    """A file per nation that holds its region: files of one region have one fingerprint, others differ."""
+    path = fresh_folder(spark, "nations")
+    nation = spark.read.parquet(f"{sf}/nation.parquet")
+    nation.select("n_nationkey", F.concat(F.lit("<r>"), F.col("n_regionkey"), F.lit("</r>")).alias("value")).write.partitionBy("n_nationkey").text(path)
+    prints = files.fingerprints(spark, path, "*.txt", recursive=True)
+    keyed = prints.select(F.regexp_extract("file_path", r"n_nationkey=(\d+)", 1).cast(nation.schema["n_nationkey"].dataType).alias("n_nationkey"), "file_md5")
+    least = keyed.groupBy("file_md5").agg(F.min("n_nationkey").alias("same_as"))
+    return keyed.join(least, "file_md5").select("n_nationkey", "same_as")
 
 
 @query("file_numbers", """SELECT 'DOC:' || doc_id AS uid,

@@ -19,14 +19,13 @@ def fields(**kinds):
     return [{"name": n, "type": k.rstrip("!"), "mode": "REQUIRED" if k.endswith("!") else "NULLABLE"} for n, k in kinds.items()]
 
 
-CONTRACTS = Contracts.from_dict(
-    {
-        "doc": fields(id="STRING!", fn="INTEGER", year="INTEGER"),
-        "word": fields(id="STRING!", wid="INTEGER!", text="STRING"),  # t is not declared
-        "la": fields(id="STRING!", lid="INTEGER!", v="STRING"),
-        "lb": fields(id="STRING!", lid="INTEGER!", v="STRING"),
-    }
-)
+RAW = {
+    "doc": fields(id="STRING!", fn="INTEGER", year="INTEGER"),
+    "word": fields(id="STRING!", wid="INTEGER!", text="STRING"),  # t is not declared
+    "la": fields(id="STRING!", lid="INTEGER!", v="STRING"),
+    "lb": fields(id="STRING!", lid="INTEGER!", v="STRING"),
+}
+CONTRACTS = Contracts.from_dict(RAW)
 
 
 def rec(uid, year="2000", words="<w>x</w>", more=""):
@@ -120,14 +119,54 @@ def test_stream_reads_each_file_once(spark, tmp_path, job, collect):
     assert collect(job.store.read("word"), "id", "text") == [("1", "x"), ("2", "new"), ("3", "x")]
 
 
-def test_fingerprints_match_md5(spark, tmp_path):
-    import base64
-    import hashlib
+def test_fingerprints_of_any_size_and_split(spark, tmp_path):
+    src = f"{tmp_path}/in"
+    write(src, "a", *[rec(str(i)) for i in range(300)])
+    write(src, "same", *[rec(str(i)) for i in range(300)])
+    write(src, "other", *[rec(str(i)) for i in range(299)], rec("x"))
+    whole = {r.file_path.rsplit("/")[-1]: r.file_md5 for r in files.fingerprints(spark, src).collect()}
+    assert whole["a.xml"] == whole["same.xml"] != whole["other.xml"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        split = {r.file_path.rsplit("/")[-1]: r.file_md5 for r in files.fingerprints(spark, src).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert split == whole
+
+
+def test_names_with_special_characters(spark, tmp_path, job, collect):
+    src = f"{tmp_path}/in"
+    for n, name in enumerate(["a b", "d[1]", "p%20q", "h#x", "c+d", "e{f}"]):
+        write(src, name, rec(f"{n}a"), rec(f"{n}b"))
+    job.file_numbers = spark.createDataFrame([("a b.xml", 17), ("p%20q.xml", 18)], "file_name string, file_number bigint")
+    assert ingest(spark, src, job, "2024-01-01 00:00:00").counts == {"new": 12}
+    assert {r.record_count for r in job.store.read("file_registry").collect()} == {2}
+    assert {i: n for i, n in collect(job.store.read("doc"), "id", "fn")} | {"0a": 17, "2b": 18} == {i: n for i, n in collect(job.store.read("doc"), "id", "fn")}
+    assert ingest(spark, src, job).skipped
 
-    write(f"{tmp_path}/in", "a", rec("1"))
-    text = open(f"{tmp_path}/in/a.xml", "rb").read()
-    got = files.fingerprints(spark, f"{tmp_path}/in").collect()
-    assert [r.file_md5 for r in got] == [base64.b64encode(hashlib.md5(text).digest()).decode()]
+
+def test_refused_roots_have_no_children_and_return_after_a_repair(spark, tmp_path, job, collect):
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("ok"), rec("year", year="MM"))
+    assert ingest(spark, src, job, "2024-01-01 00:00:00").dead_letters == 1
+    assert collect(job.store.read("word"), "id") == [("ok",)]
+    assert [r.uid for r in job.store.read("record_registry").collect()] == ["ok"]
+    job.contracts = Contracts.from_dict({t: [f for f in fs if f["name"] != "year"] for t, fs in RAW.items()}).augmented("doc")
+    job.store = Store(spark, f"file://{tmp_path}/store", 4)
+    assert ingest(spark, src, job).skipped
+    again = ingest(spark, src, job, "2024-02-01 00:00:00", force=True)
+    assert again.counts == {"new": 1, "unchanged": 1}
+    assert collect(job.store.read("word"), "id") == [("ok",), ("year",)]
+
+
+def test_bulk_load_writes_dead_letters(spark, tmp_path, job, collect):
+    src, out = f"{tmp_path}/in", f"file://{tmp_path}/out"
+    write(src, "a", rec("ok"), rec("bad", words="<w>x</v>"), rec("year", year="MM"))
+    paths = bulk_load(R.read_records(spark, src), job, out, "2024-01-01 00:00:00")
+    assert collect(sinks.read_table(spark, paths["word"]), "id") == [("ok",)]
+    letters = deadletter.read_letters(spark, job.dead_letters)
+    assert sorted(r.pipeline_step for r in letters.collect()) == ["ParseXMLRecord", "ValidateSchema"]
 
 
 def test_record_fingerprint_ignores_order_but_not_content(spark):

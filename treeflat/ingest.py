@@ -55,14 +55,18 @@ def now_utc() -> str:
 
 
 def ingest(
-    spark: SparkSession, paths, job: Job, run_ts: str | None = None, recursive: bool = False, glob: str = "*.xml"
+    spark: SparkSession, paths, job: Job, run_ts: str | None = None, recursive: bool = False, glob: str = "*.xml", force: bool = False
 ) -> Report:
-    """Process the files not yet seen with this content, record by record."""
+    """Process the files not yet seen with this content, record by record.
+
+    ``force`` reads all files again: records in the dead letters are in no registry, so after a repair of mapping,
+    contract or parser they are new, and all others are unchanged.
+    """
     stamp = run_ts or now_utc()
     prints = staged(files.fingerprints(spark, paths, glob, recursive), "fingerprints")
     known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
     # The scan needs the list of paths on the driver, as any file scan does.
-    todo = [r[0] for r in upkeep.missing_files(prints, known).select("file_path").orderBy("file_path").collect()]
+    todo = [files.as_pattern(r[0]) for r in (prints if force else upkeep.missing_files(prints, known)).select("file_path").orderBy("file_path").collect()]
     if not todo:
         return Report(skipped=True)
     fragments = source.read_fragments(spark, todo, job.record_tag, job.id_tag)
@@ -98,12 +102,13 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None)
     parsed = stage_parsed(picked, job)
     walked = stage_walked(parsed, job)
 
+    refused_ids = refused_roots(parsed, walked, job, stamp)
     change = job.store.begin()
     ids = wanted.select("uid")
     touched = change.touched(ids, "uid")
 
     def write(table: str):
-        rows = table_rows(parsed, walked, job, table).withColumn("ingestion_ts", stamp)
+        rows = kept_rows(parsed, walked, job, table, stamp, refused_ids)
         contract = job.contracts[table]
         checked = validate.checked(rows, contract)
         change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", touched)
@@ -116,21 +121,19 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None)
         refused = [r for r in pool.map(write, job.tables) if r is not None]
 
     lost = source.split_failures(fragments, job.record_tag, job.id_tag, tails if cut_off else None, scan)
-    letters = [lost.withColumn("pipeline_step", F.lit("SplitXMLRecords"))]
-    bad = shred.malformed(parsed.where("unusable").select("uid", "xml"), m)
-    letters.append(bad.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
-    if walked is not None:
-        unread = walked.where("error is not null").select("uid", "error", F.lit("XMLSyntaxError").alias("error_type"))
-        letters.append(unread.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
-    letters += refused
+    letters = [lost.withColumn("pipeline_step", F.lit("SplitXMLRecords")), *unreadable(parsed, walked, job), *refused]
     dead = staged(deadletter.enriched(deadletter.unified(letters), run_ts), "letters")
     n_dead = dead.count()
     if n_dead and job.dead_letters:
         deadletter.write_by_day(dead, job.dead_letters)
 
     # Registries come last and become visible together with the tables.  Records in the dead
-    # letters are not registered, so a repaired mapping or parser sees them again.
+    # letters are not registered, so a forced run after a repair sees them again.
     done = wanted.join(parsed.where("not unusable").select("uid"), "uid", "left_semi")
+    if walked is not None:
+        done = done.join(walked.where("error is not null").select("uid"), "uid", "left_anti")
+    if refused_ids is not None:
+        done = done.join(refused_ids.select(F.col("id").alias("uid")), "uid", "left_anti")
     change.upsert(RECORD_REGISTRY, classify.registry_rows(done, run_ts), ids, "uid", touched)
     if prints is not None:
         # Only the files this run has read; the per-file counts come from the light keys.
@@ -196,10 +199,31 @@ def table_rows(parsed: DataFrame, walked: DataFrame | None, job: Job, table: str
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def refused_roots(parsed: DataFrame, walked: DataFrame | None, job: Job, stamp) -> DataFrame | None:
+    """Ids of records whose root row its contract refuses; None if there are none."""
+    root = job.mapping.root_table
+    if root not in job.tables or not validate.may_refuse(job.contracts[root], job.mapping, root):
+        return None
+    rows = table_rows(parsed, walked, job, root).withColumn("ingestion_ts", stamp)
+    ids = staged(validate.failed(validate.checked(rows, job.contracts[root])).select("id").distinct(), "refused-roots")
+    return ids if ids.take(1) else None
+
+
+def kept_rows(parsed: DataFrame, walked: DataFrame | None, job: Job, table: str, stamp, refused_ids: DataFrame | None) -> DataFrame:
+    """Rows of one table; a record whose root row is refused has no rows in the other tables either."""
+    rows = table_rows(parsed, walked, job, table).withColumn("ingestion_ts", stamp)
+    if refused_ids is None or table == job.mapping.root_table:
+        return rows
+    return rows.join(refused_ids, "id", "left_anti")
+
+
 def bulk_load(
     records: DataFrame, job: Job, out: str, run_ts: str, disposition: str = sinks.APPEND
 ) -> dict[str, str]:
-    """Load without change detection: one parse, one write per contract table below ``out``."""
+    """Load without change detection: one parse, one write per contract table below ``out``.
+
+    Unreadable records and refused rows go to the job's dead letters, as in :func:`ingest`.
+    """
     with exact_names(records.sparkSession):
         return _load(records, job, out, run_ts, disposition)
 
@@ -208,11 +232,31 @@ def _load(records: DataFrame, job: Job, out: str, run_ts: str, disposition: str)
     parsed = stage_parsed(records, job)
     walked = stage_walked(parsed, job)
 
+    stamp = F.lit(run_ts).cast("timestamp")
+    refused_ids = refused_roots(parsed, walked, job, stamp)
+
     def write(table):
-        rows = table_rows(parsed, walked, job, table).withColumn("ingestion_ts", F.lit(run_ts).cast("timestamp"))
-        path = f"{out}/{table}"
-        sinks.write_table(validate.valid_rows(rows, job.contracts[table]), path, disposition)
-        return table, path
+        rows = kept_rows(parsed, walked, job, table, stamp, refused_ids)
+        path, contract = f"{out}/{table}", job.contracts[table]
+        sinks.write_table(validate.valid_rows(rows, contract), path, disposition)
+        refused = validate.refused_rows(rows, contract, table) if validate.may_refuse(contract, job.mapping, table) else None
+        return table, path, refused
 
     with ThreadPoolExecutor(max(1, job.writers)) as pool:
-        return dict(pool.map(write, job.tables))
+        written = list(pool.map(write, job.tables))
+    if job.dead_letters:
+        letters = unreadable(parsed, walked, job) + [r for _, _, r in written if r is not None]
+        dead = staged(deadletter.enriched(deadletter.unified(letters), run_ts), "letters")
+        if dead.take(1):
+            deadletter.write_by_day(dead, job.dead_letters)
+    return {table: path for table, path, _ in written}
+
+
+def unreadable(parsed: DataFrame, walked: DataFrame | None, job: Job) -> list[DataFrame]:
+    """Dead letters of records that the parser or the node walk could not read."""
+    bad = shred.malformed(parsed.where("unusable").select("uid", "xml"), job.mapping)
+    letters = [bad.withColumn("pipeline_step", F.lit("ParseXMLRecord"))]
+    if walked is not None:
+        unread = walked.where("error is not null").select("uid", "error", F.lit("XMLSyntaxError").alias("error_type"))
+        letters.append(unread.withColumn("pipeline_step", F.lit("ParseXMLRecord")))
+    return letters

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treeflat.plans.mapping import Element, Mapping
-from treeflat.session import ship_with_tasks
+from treeflat.session import BROADCAST_ROWS, ship_with_tasks
 
 ship_with_tasks(__name__)
 
@@ -113,10 +113,10 @@ def walk_records(records: DataFrame, root_path: str, wanted: list[str] | None =
 def cells(nodes: DataFrame, mapping: Mapping) -> DataFrame:
     """Every mapped value as one row, by joining nodes with the mapping on the path.
 
-    The mapping is configuration with a checked number of entries, hence the broadcast.
+    The mapping is broadcast up to ``BROADCAST_ROWS`` entries; a larger one is joined by a shuffle.
     """
     m = mapping.dataframe(nodes.sparkSession).where(F.col("kind").isin("attr", "text") & F.col("open"))
-    joined = nodes.join(F.broadcast(m), "path")
+    joined = nodes.join(F.broadcast(m) if m.count() <= BROADCAST_ROWS else m, "path")
     value = F.when(F.col("kind") == "text", F.nullif("text", F.lit(""))).otherwise(
         F.coalesce(F.try_element_at("attrs", F.col("attr")), F.col("default"))
     )

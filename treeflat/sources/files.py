@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
 
-#: Files up to this size get the MD5 of their bytes; larger ones the record fingerprint.
-WHOLE_FILE_BYTES = 512 * 1024 * 1024
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 FILE_REGISTRY_SCHEMA = "file_path string, file_md5 string, processed_at timestamp, record_count bigint"
 
@@ -16,24 +15,31 @@ def discover(spark: SparkSession, path, glob: str = "*.xml", recursive: bool = F
     return found.select(F.col("path").alias("file_path"), "length", "modificationTime").orderBy("file_path")
 
 
-def fingerprints(
-    spark: SparkSession, path, glob: str = "*.xml", recursive: bool = False, records: DataFrame | None = None
-) -> DataFrame:
-    """``file_path, file_md5`` for every file, one task per file at most.
+def plain_path(path: Column) -> Column:
+    """A path as it is written, from the URL-encoded form of ``_metadata.file_path``."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def as_pattern(path: str) -> str:
+    """The path for a reader that takes paths as patterns: its own special characters escaped."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-    Base64 of the MD5 of the bytes.  A file too large for one row takes the fingerprint of
-    its records instead (``records`` is then required): count, sum and xor of the record
-    hashes, which add up in partial aggregates whatever the order.
+
+def fingerprints(spark: SparkSession, path, glob: str = "*.xml", recursive: bool = False) -> DataFrame:
+    """``file_path, file_md5`` for every file, by one rule for all sizes.
+
+    The text is read in pieces that end at ``>``, so large files are split and no task holds a
+    file.  Length, count, sum and xor of the pieces' hashes add up in partial aggregates whatever
+    the order and the splits; the fingerprint is the Base64 of the MD5 of these numbers.  Equal contents
+    have equal fingerprints; only files that hold the very same pieces in another order are not told apart.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
-    small = found.where(F.col("length") <= WHOLE_FILE_BYTES).select(
-        F.col("path").alias("file_path"), F.base64(F.unhex(F.md5("content"))).alias("file_md5")
-    )
-    if records is None:
-        return small
-    large = found.where(F.col("length") > WHOLE_FILE_BYTES).select(F.col("path").alias("file_path"))
-    by_record = record_fingerprints(records).join(large, "file_path", "left_semi")
-    return small.unionByName(by_record)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
+    sizes = listed.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), "length")  # the contents are not read
+    text = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).option("lineSep", ">").text(path)
+    pieces = text.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.xxhash64("value").alias("h"), F.xxhash64("value", F.lit(1)).alias("g"))
+    sums = pieces.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("g").alias("x"))
+    numbers = F.concat_ws(":", "length", "n", F.col("s").cast("string"), F.col("x").cast("string"))
+    return sizes.join(sums, "file_path", "left").select("file_path", F.base64(F.unhex(F.md5(numbers.cast("binary")))).alias("file_md5"))
 
 
 def record_fingerprints(records: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from treeflat.functions.text import blank_to_null, sha256_hex, strip_space
+from treeflat.sources.files import plain_path
 
 #: The fallback looks for this descendant in any name space.
 FALLBACK_ID = "UID"
@@ -31,7 +32,7 @@ def with_origin(text: DataFrame) -> DataFrame:
     """The text with the file columns Spark offers for file sources."""
     return text.select(
         "value",
-        F.col("_metadata.file_path").alias("source_file"),
+        plain_path(F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
     )
