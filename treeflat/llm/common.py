@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treeflat.session import fresh_folder, shared_folder, staged
 
-__all__ = ["crc32_of_id", "fresh_folder", "keyed", "shared_folder", "ship", "staged", "table"]
+__all__ = ["crc32_of_id", "fresh_folder", "keyed", "released", "shared_folder", "ship", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,3 +31,28 @@ def crc32_of_id(key: Column) -> Column:
 def ship(module_name: str) -> None:
     """Send this module's functions along with the tasks: executors then need no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+def released(run):
+    """``run``, a function of batches, that gives freed memory back to the system after each batch: idle workers stay small."""
+
+    def outer(batches):
+        try:
+            libc = ctypes.CDLL(None)
+            trim = libc.malloc_trim
+        except (OSError, AttributeError):  # no glibc
+            trim = None
+        for out in run(batches):
+            yield out
+            del out
+            pa.default_memory_pool().release_unused()
+            if trim:
+                trim(0)
+        pa.default_memory_pool().release_unused()
+        if trim:
+            trim(0)
+
+    return outer
+
+
+ship(__name__)

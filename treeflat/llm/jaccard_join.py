@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from treeflat.llm.common import keyed, ship, staged
+from treeflat.llm.common import keyed, released, ship, staged
 from treeflat.llm.components import components
 from treeflat.llm.exact_dedup import bit_at
 from treeflat.llm.words import mix, slices, windows, word_hashes
@@ -45,7 +45,7 @@ BROADCAST_ROWS = 500_000
 #: Pivots per key; the first decides most, the others are asked for what is still apart.
 TURNS = 8
 #: Tokens that a task counts together.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 _BINS, _KEYS = 8, 4
 _BUCKET = 32768  # bits of a bitmap of Spark's bitmap functions
 _SEED = np.uint64(0x9E3779B97F4A7C15)
@@ -122,7 +122,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                 if rows:
                     yield signed(b.column(0), rows, sizes, nodes, keys, sets)
 
-    return docs.mapInArrow(run, "doc_id long, node long, n long, keys array<long>, token long, seen long")
+    return docs.mapInArrow(released(run), "doc_id long, node long, n long, keys array<long>, token long, seen long")
 
 
 def _bit_table(values: DataFrame, column: str) -> np.ndarray:
@@ -179,7 +179,7 @@ def _sets(docs: DataFrame, common: np.ndarray | None, wanted: np.ndarray) -> Dat
                 if nodes:
                     yield _set_batch(nodes, sizes, prefixes, wholes)
 
-    return docs.mapInArrow(run, "node long, n long, prefix array<long>, whole array<long>")
+    return docs.mapInArrow(released(run), "node long, n long, prefix array<long>, whole array<long>")
 
 
 def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
@@ -209,7 +209,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     first = sets.select(F.col("node").alias("a"), F.col("whole").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("whole").alias("y"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
 
 
 def _fit(n: Column, m: Column) -> Column:

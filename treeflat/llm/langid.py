@@ -22,7 +22,7 @@ import zstandard
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from treeflat.llm.common import keyed, ship
+from treeflat.llm.common import keyed, released, ship
 
 ship(__name__)
 
@@ -105,7 +105,7 @@ def predict(docs: DataFrame, model: dict[str, tuple[bytes, int]], key: str = "do
                 ["doc_id", "lang_pred", "score", "margin", "rejected"],
             )
 
-    return keyed(docs, key, text).mapInArrow(run, "doc_id long, lang_pred string, score double, margin double, rejected boolean")
+    return keyed(docs, key, text).mapInArrow(released(run), "doc_id long, lang_pred string, score double, margin double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, model: dict[str, tuple[bytes, int]], text: str = "text") -> DataFrame:

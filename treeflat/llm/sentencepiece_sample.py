@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from treeflat.llm.common import keyed, ship
+from treeflat.llm.common import keyed, released, ship
 from treeflat.llm.words import _powers_to, mix, slices
 
 ship(__name__)
@@ -379,7 +379,7 @@ def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key:
             if ids:
                 yield rows(vocabulary, ids, texts)
 
-    return keyed(docs, key, text).mapInArrow(run, _SCHEMA)
+    return keyed(docs, key, text).mapInArrow(released(run), _SCHEMA)
 
 
 def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
@@ -397,4 +397,4 @@ def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
             texts = [None if x is None else vocabulary.decode(x) for x in (v.values.to_numpy() if v.is_valid else None for v in b.column(at))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)
