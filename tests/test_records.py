@@ -74,6 +74,37 @@ def test_truncated_tail(spark, xml_dir, collect, tail, cut):
     assert R.split_failures(fragments, tails=tails).count() == cut
 
 
+def test_every_legal_closing_tag_ends_a_record(spark, xml_dir, collect):
+    text = "<r xmlns:x='u'>" + rec("1") + "<REC><UID>2</UID></REC ><REC>\n<UID>3</UID></REC\n>" + "<x:REC a='1'><UID>4</UID></x:REC>" + rec("5")
+    text += "<x:REC/><x:RECORD/><REC><v>x:REC</v><UID>6</UID></REC >"
+    for tail, cut in [("</r>", 0), ("", 0), ("<x:REC><UID>7</UID>", 1)]:
+        fragments = R.read_fragments(spark, xml_dir(a=text + tail))
+        tails = R.truncated_tails(fragments)
+        got = collect(R.split_records(fragments, tails), "uid", "xml")
+        assert [u for u, _ in got] == list("123456")
+        assert dict(got)["4"] == "<REC a='1'><UID>4</UID></REC>" and dict(got)["2"] == "<REC><UID>2</UID></REC>"
+        assert tails.count() == cut
+        assert R.split_failures(fragments, tails=tails).count() == cut + 1  # the empty record element
+
+
+def test_only_prefixed_records(spark, xml_dir, collect):
+    path = xml_dir(a="<x:r xmlns:x='u'>" + "".join(f"<x:REC><x:UID>{i}</x:UID></x:REC>\n" for i in range(50)) + "</x:r>")
+    assert R.read_records(spark, path).count() == 50
+    assert sorted(r.uid for r in R.read_records(spark, path, "x:REC").collect()) == sorted(map(str, range(50)))
+
+
+def test_encoding(spark, tmp_path):
+    (tmp_path / "a.xml").write_bytes(("<r>" + rec("caf\u00e9") + "<REC><UID>b\u00e9</UID></REC ></r>").encode("latin-1"))
+    fragments = R.read_fragments(spark, str(tmp_path), encoding="ISO-8859-1")
+    assert sorted(r.uid for r in R.split_records(fragments).collect()) == ["b\u00e9", "caf\u00e9"]
+    assert R.truncated_tails(fragments).count() == 0
+
+
+def test_fallback_id_is_decoded_and_not_from_cdata(spark, xml_dir, collect):
+    path = xml_dir(a="<r><REC><x><t><![CDATA[<UID>fake</UID>]]></t><UID>A &amp; B</UID></x></REC></r>")
+    assert collect(R.read_records(spark, path), "uid") == [("A & B",)]
+
+
 def test_gate_across_splits(spark, xml_dir, collect):
     parts, want = ["<export>"], {"export/records": [], "export/drafts/old": [], "export/drafts": []}
     for i in range(400):

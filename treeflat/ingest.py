@@ -32,6 +32,7 @@ class Job:
     file_numbers: DataFrame | None = None
     dead_letters: str | None = None
     writers: int = 4
+    encoding: str | None = None
 
     def __post_init__(self):
         self.contracts = self.contracts.augmented(self.mapping.root_table)
@@ -69,7 +70,7 @@ def ingest(
     todo = [files.as_pattern(r[0]) for r in (prints if force else upkeep.missing_files(prints, known)).select("file_path").orderBy("file_path").collect()]
     if not todo:
         return Report(skipped=True)
-    fragments = source.read_fragments(spark, todo, job.record_tag, job.id_tag)
+    fragments = source.read_fragments(spark, todo, job.record_tag, job.id_tag, encoding=job.encoding)
     return ingest_fragments(fragments, job, stamp, prints)
 
 

@@ -11,21 +11,23 @@ from treeflat.sources.files import plain_path
 
 #: The fallback looks for this descendant in any name space.
 FALLBACK_ID = "UID"
+_PREFIX = r"(?:[^\s<>:/]++:)?"
 
 
 def read_fragments(
     spark: SparkSession, paths, record_tag: str = "REC", id_tag: str = "UID", recursive: bool = False,
-    glob: str | None = None,
+    glob: str | None = None, encoding: str | None = None,
 ) -> DataFrame:
     """Text up to each closing record tag, with its origin, the record in it and its id.
 
     The closing tag is the line separator, so Spark cuts large files into splits at record
-    ends and no task holds more than a split.  ``pos`` grows in file order.
+    ends and no task holds more than a split.  ``pos`` grows in file order.  Files in an
+    ``encoding`` other than UTF-8 that writes the tag in ASCII bytes are decoded.
     """
     reader = spark.read.option("lineSep", f"</{record_tag}>").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return cut_fragments(with_origin(reader.text(paths)), record_tag, id_tag)
+    return cut_fragments(with_origin(reader.text(paths)), record_tag, id_tag, encoding)
 
 
 def with_origin(text: DataFrame) -> DataFrame:
@@ -38,15 +40,32 @@ def with_origin(text: DataFrame) -> DataFrame:
     )
 
 
-def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID") -> DataFrame:
-    """Add ``pos``, ``xml`` (NULL where no record starts) and ``uid`` (NULL where there is none).
+def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID", encoding: str | None = None) -> DataFrame:
+    """Add ``n_bytes``, ``pos``, ``xml`` (NULL where no record starts) and ``uid`` (NULL where there is none).
+
+    Records that end with another spelling of the closing tag (a prefix, white space before ``>``) are cut
+    here; a file with no other ends is not split, unless ``record_tag`` names the prefix.
+    ``n_bytes`` counts a piece with its closing tag, the line separator where it has no other.
 
-    All three sit in one projection.  The position is not deterministic for Catalyst, so later
+    The rest sits in one projection.  The position is not deterministic for Catalyst, so later
     filters stay above it and the text is searched once per fragment.
     """
+    value = F.col("value") if encoding is None else F.decode(F.col("value").cast("binary"), encoding)
+    closing = rf"</(?:[^\s<>:/]+:)?{_name(record_tag)}\s*>"
+    pieces = F.regexp_extract_all(value, F.lit(rf"(?s).+?(?:{closing}|\z)"), F.lit(0))
+    unusual = F.contains(value, F.lit(f"</{record_tag}")) | F.contains(value, F.lit(f":{record_tag}"))
+    rest = [c for c in raw.columns if c != "value"]
+    cut = raw.select(*rest, F.explode(F.when(unusual, pieces).otherwise(F.array(value))).alias("#piece"))
+    text = F.regexp_replace("#piece", rf"{closing}\z", "")
+    closed = F.when(F.contains("#piece", F.lit(record_tag)), text).otherwise(F.col("#piece"))
+    size = F.octet_length("#piece" if encoding is None else F.encode("#piece", encoding))
+    raw = cut.select(closed.alias("value"), *rest, size.alias("#size"), F.col("#piece"))
+    own = F.octet_length("value") != F.octet_length("#piece")
     xml = _record_text(F.col("value"), record_tag)
     return raw.select(
-        *raw.columns,
+        "value",
+        *rest,
+        (F.col("#size") + F.when(own, 0).otherwise(len(f"</{record_tag}>".encode()))).alias("n_bytes"),
         F.monotonically_increasing_id().alias("pos"),
         xml.alias("xml"),
         record_id(xml, record_tag, id_tag).alias("uid"),
@@ -79,18 +98,21 @@ def record_id(xml: Column, record_tag: str, id_tag: str) -> Column:
     first = F.regexp_extract(xml, head + rf"\s*<{tag}(?:\s[^>]*+)?>([^<&]*+)</", 1)
     child = F.from_xml(xml, f"`{id_tag}` array<struct<`#text`:string,`@#`:string>>", options)[id_tag]
     own = blank_to_null(F.try_element_at(child, F.lit(1)).getField("#text"))
-    anywhere = F.regexp_extract(xml, rf"<(?:[\w.-]+:)?{FALLBACK_ID}(?:\s[^>]*)?>([^<]*)</", 1)
+    outside = F.regexp_replace(xml, r"(?s)<!\[CDATA\[.*?\]\]>", "")
+    lead = F.regexp_extract(outside, rf"<(?:[\w.-]+:)?{FALLBACK_ID}(?:\s[^>]*)?>([^<]*)</", 1)
+    anywhere = F.from_xml(F.concat(F.lit("<v><t>"), lead, F.lit("</t></v>")), "t string", options).t
     found = F.coalesce(blank_to_null(first), own, blank_to_null(anywhere))
     return blank_to_null(strip_space(found))
 
 
 def _record_text(value: Column, record_tag: str) -> Column:
-    """The record a fragment ends with, without comments and with its closing tag."""
+    """The record a fragment ends with, without comments and with its closing tag; its own tag loses its prefix."""
     name = _name(record_tag)
     clean = without_comments(value)
     # An empty record element has no closing tag of its own and would hide the next one.
-    bare = F.when(F.contains(clean, F.lit("/>")), F.regexp_replace(clean, rf"<{name}(\s[^<>]*)?/>", "")).otherwise(clean)
-    return F.concat(F.regexp_substr(bare, F.lit(rf"(?s)<{name}[\s>].*")), F.lit(f"</{record_tag}>"))
+    bare = F.when(F.contains(clean, F.lit("/>")), F.regexp_replace(clean, rf"<{_PREFIX}{name}(\s[^<>]*)?/>", "")).otherwise(clean)
+    body = F.regexp_extract(bare, rf"(?s)<{_PREFIX}{name}([\s>].*)", 1)
+    return F.concat(F.lit(f"<{record_tag}"), F.nullif(body, F.lit("")), F.lit(f"</{record_tag}>"))
 
 
 def split_records(fragments: DataFrame, tails: DataFrame | None = None) -> DataFrame:
@@ -121,8 +143,8 @@ def light_scan(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
     return fragments.select(
         "source_file", "file_size", "pos", "uid",
         F.when(F.col("uid").isNotNull(), sha256_hex("xml")).alias("record_hash"),
-        F.octet_length("value").alias("n_bytes"),
-        F.col("value").rlike(rf"<{_name(record_tag)}[\s>]").alias("starts"),
+        "n_bytes",
+        F.col("value").rlike(rf"<{_PREFIX}{_name(record_tag)}[\s>]").alias("starts"),
         F.when(F.col("uid").isNull(), F.col("xml")).alias("xml"),
         _hollow(record_tag).alias("hollow"),
     )
@@ -130,7 +152,7 @@ def light_scan(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
 
 def _hollow(record_tag: str) -> Column:
     """Empty record elements in a fragment (NULL where there can be none)."""
-    pattern = rf"<{_name(record_tag)}(?:\s[^<>]*)?/>"
+    pattern = rf"<{_PREFIX}{_name(record_tag)}(?:\s[^<>]*)?/>"
     found = F.regexp_extract_all(without_comments(F.col("value")), F.lit(pattern), F.lit(0))
     return F.when(F.contains("value", F.lit("/>")), found)
 
@@ -142,10 +164,9 @@ def truncated_tails(scan: DataFrame, record_tag: str = "REC") -> DataFrame:
     separator after every fragment ends on a record; one separator less means an open tail.
     ``scan`` is a :func:`light_scan` or the fragments themselves.
     """
-    light = scan if "n_bytes" in scan.columns else light_scan(scan, record_tag)
-    sep = len(f"</{record_tag}>".encode())
+    light = scan if "starts" in scan.columns else light_scan(scan, record_tag)
     per_file = light.groupBy("source_file").agg(
-        F.sum(F.col("n_bytes") + sep).alias("with_separators"),
+        F.sum("n_bytes").alias("with_separators"),
         F.max("file_size").alias("file_size"),
         F.max(F.struct("pos", "starts", "uid", "record_hash")).alias("last"),
     )
@@ -205,7 +226,7 @@ def gated_records(fragments: DataFrame, container: str, record_tag: str = "REC")
     levels = container.split("/")
     name = _name(record_tag)
     value = without_comments(F.col("value"))
-    gap = F.regexp_extract(value, rf"(?s)^(.*?)(?:<{name}[\s>]|\z)", 1)
+    gap = F.regexp_extract(value, rf"(?s)^(.*?)(?:<{_PREFIX}{name}[\s>]|\z)", 1)
     outer = F.regexp_replace(gap, r"(?s)<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![^>]*>", "")
     tags = F.regexp_extract_all(outer, F.lit(r"<(/?[\w:.-]+)(?:\s[^<>]*)?(?<!/)>"), F.lit(1))
     marks = F.transform(

@@ -29,7 +29,7 @@ def ingest_stream(
     def batch(df: DataFrame, _: int):
         if df.isEmpty():
             return
-        fragments = source.cut_fragments(df, job.record_tag, job.id_tag)
+        fragments = source.cut_fragments(df, job.record_tag, job.id_tag, job.encoding)
         ingest_fragments(fragments, job, run_ts or now_utc())
 
     stream = arriving(spark, path, job.record_tag, glob, files_per_batch)
