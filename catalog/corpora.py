@@ -202,6 +202,18 @@ def broken_corpus(spark, sf_dir) -> str:
     )
 
 
+def closings_corpus(spark, sf_dir) -> str:
+    """Documents as records that end in all the spellings XML allows, a fifth each; the last fifth has its id deeper, beside a false one in CDATA."""
+    docs = documents(spark, sf_dir)
+    uid, text = _element("UID", F.col("id")), _element("text", clean("text"))
+    deep = F.concat(F.lit("<meta><t><![CDATA[<UID>fake</UID>]]></t>"), uid, F.lit("</meta>"))
+    form = F.col("doc_id") % 5
+    start = F.when(form == 2, "<x:REC>").otherwise("<REC>")
+    end = F.when(form == 1, "</REC >").when(form == 2, "</x:REC>").when(form == 3, "</REC\t>").otherwise("</REC>")
+    rec = docs.select(F.concat(start, F.when(form == 4, deep).otherwise(uid), text, end).alias("value"))
+    return once(spark, sf_dir, "closings", lambda p: write_wrapped(rec, p, '<records xmlns:x="urn:x">', "</records>"))
+
+
 def gated_corpus(spark, sf_dir) -> str:
     """Files holding two containers: records whose language is English, then all others as drafts."""
 

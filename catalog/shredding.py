@@ -194,6 +194,17 @@ def record_ids_and_hash(spark, sf):
     return R.read_records(spark, C.broken_corpus(spark, sf)).select("uid", "record_hash")
 
 
+@query("closing_forms", r"""SELECT 'DOC:' || doc_id AS uid,
+  sha256('<REC>' || CASE WHEN doc_id % 5 = 4 THEN '<meta><t><![CDATA[<UID>fake</UID>]]></t><UID>DOC:' || doc_id || '</UID></meta>'
+                         ELSE '<UID>DOC:' || doc_id || '</UID>' END || '<text>' ||
+  replace(replace(replace(replace(replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g'),
+    '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(13), '&#13;') || '</text></REC>') AS record_hash
+FROM documents""")
+def closing_forms(spark, sf):
+    """Every record, whatever the spelling of its closing tag or the place of its id."""
+    return R.read_records(spark, C.closings_corpus(spark, sf)).select("uid", "record_hash")
+
+
 @query("path_functions", f"""WITH {DOCS}
 SELECT id, source, CAST(len(string_split(text, chr(10))) AS VARCHAR) AS line_count, id AS any_uid FROM docs""")
 def path_functions(spark, sf):
