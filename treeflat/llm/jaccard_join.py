@@ -11,7 +11,9 @@ found again; no link that would connect two classes is missed.
    fewer).  A group's row of the matrix is the union of its members' prefixes, kept by token; tokens of one group only are dropped at once.
 3. Bound.  A node's overlap with a group's union is counted through the matrix.  Sizes say how much of a link's overlap must lie in the
    prefixes; below that no member can link with it.  For groups of several the whole set is then counted against the union of whole sets.
-4. Open.  Members of qualifying groups that share enough prefix tokens and fit in size are compared exactly.
+4. Open.  A qualifying group of one is compared exactly if enough prefix tokens are shared.  Of a group of several the most central members (those
+   whose tokens most others hold) are compared first; where asker and group are still in two classes, every member is a candidate that fits in
+   size and holds one of the asker's prefix tokens, taken rarest first and without as many as a linked member cannot all miss.
 
 Everything between the steps is a written table.  The order of tokens and the choice of pivots decide the work, not the result.
 Broadcast are bit tables of 4 and at most 64 MB, and tables that were counted first (``BROADCAST_ROWS``; beyond it the join is a shuffle).
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from treeflat.llm.common import keyed, released, ship, staged
 from treeflat.llm.components import components
@@ -44,6 +46,8 @@ BITS = 1 << 25
 BROADCAST_ROWS = 500_000
 #: Pivots per key; the first decides most, the others are asked for what is still apart.
 TURNS = 8
+#: Members of a group of several that its askers meet first.
+CENTRES = 16
 #: Tokens that a task counts together.
 COUNTED = 1_000_000
 _BINS, _KEYS = 8, 4
@@ -207,6 +211,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep[k] = 100 * common >= SIMILAR * (len(p) + len(q) - common)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
 
+    sets = sets.join(_small(staged(_ends(pairs), "join-ends")), "node", "left_semi")  # pushed below the removal of repeats
     first = sets.select(F.col("node").alias("a"), F.col("whole").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("whole").alias("y"))
     return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
@@ -274,11 +279,8 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     whole = sets.filter("whole IS NOT NULL").select("node", "whole").dropDuplicates(["node"])
     links = staged(_verified(near.filter("turn = 0"), whole), "join-links")
     root = staged(components(links), "join-roots")
-    later = near.filter("turn > 0")
-    for end in ("a", "b"):
-        later = later.join(_small(root).select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    links = links.unionByName(staged(_verified(later.filter(apart), whole), "join-links"))
+    later = _apart(near.filter("turn > 0"), "a", "b", root)
+    links = links.unionByName(staged(_verified(later, whole), "join-links"))
     root = staged(components(links), "join-roots")
 
     # matrix: prefix tokens by group (with its members' number and sizes), those of one group only dropped
@@ -295,32 +297,66 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     # bound: overlap of a node's prefix with the unions of other groups (of two groups, the smaller one asks)
     n = F.col("n")
     least, most = F.greatest(F.col("other.low"), _needed(n)), F.least(F.col("other.high"), F.floor(n * 100 / SIMILAR))
+    # ``_shared`` falls on both sides of n; rounding up can lift an end of the range by one over what lies inside
+    fewest = F.greatest(F.least(_shared(n, least), _shared(n, most)) - 1, F.lit(1))
     overlap = rows.join(matrix, "token").filter((F.col("group") < F.col("other")) & (least <= most)).groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    bounded = staged(overlap.filter(F.col("overlap") >= F.least(_shared(n, least), _shared(n, most))).select("node", "n", "other"), "join-bounded")
+    bounded = staged(overlap.filter(F.col("overlap") >= fewest).select("node", "n", "other"), "join-bounded")
     # groups of several: the whole set against the union of the members' whole sets
     several = bounded.filter("other.members > 1")
     whole = _with_sets(docs, several.select("node"), whole)
-    union = grouped.filter("members > 1").join(whole, "node").select(F.col("root"), F.explode("whole").alias("token")).distinct()
+    asked_roots = _small(staged(several.select(F.col("other.root").alias("root")).distinct(), "join-asked"))
+    members = grouped.filter("members > 1").join(asked_roots, "root", "left_semi").join(whole, "node").select("root", "node", F.size("whole").alias("m"), F.explode("whole").alias("token"))
+    union = staged(members.groupBy("root", "token").agg(F.count(F.lit(1)).alias("often")), "join-union")
     inside = several.join(whole, "node").select("node", "n", "other", F.col("other.root").alias("root"), F.explode("whole").alias("token")).join(union, ["root", "token"])
-    reached = inside.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap")).filter(F.col("overlap") >= _overlap(n, least))
-    open_ = staged(bounded.filter("other.members = 1").select("node", "other").unionByName(reached.select("node", "other")), "join-open")
-
-    # open: members of qualifying groups that share enough of the prefix
-    query = rows.drop("group").join(open_, "node")
-    member = rows.select("token", F.col("group").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
-    pairs = staged(
-        query.join(member, ["token", "other"])
+    reached = staged(inside.groupBy("node", "n", "other", "root").agg(F.count(F.lit(1)).alias("overlap")).filter(F.col("overlap") >= _overlap(n, least)).drop("overlap"), "join-reached")
+
+    # open: groups of one by the prefix; of groups of several the most central members first
+    single = rows.filter("group.members = 1").select("token", F.col("group").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
+    alone = (
+        rows.drop("group")
+        .join(bounded.filter("other.members = 1").select("node", "other"), "node")
+        .join(single, ["token", "other"])
         .filter(_fit(n, F.col("m")))
         .groupBy(F.col("node").alias("a"), "b", "n", "m")
         .agg(F.count(F.lit(1)).alias("common"))
         .filter(F.col("common") >= _shared(n, F.col("m")))
-        .select("a", "b"),
-        "join-pairs",
+        .select("a", "b")
     )
+    central = members.join(union, ["root", "token"]).groupBy("root", F.col("node").alias("b"), "m").agg((F.sum("often") / F.col("m")).alias("score"))
+    centres = central.groupBy("root", F.pmod(F.xxhash64("b"), F.lit(CENTRES)).alias("slot")).agg(F.max(F.struct("score", "b", "m")).alias("c")).select("root", "c.b", "c.m")
+    asking = reached.join(_small(staged(centres, "join-centres")), "root").filter(_fit(n, F.col("m"))).select(F.col("node").alias("a"), "b")
+    pairs = staged(alone.unionByName(asking), "join-pairs")
+    if not pairs.isEmpty():
+        whole = _with_sets(docs, _ends(pairs), whole)
+        links = links.unionByName(staged(_verified(pairs, whole), "join-links"))
+
+    # what is still apart is opened in full: linked sets share ``fewest`` prefix tokens, so one of all but ``fewest - 1`` of those that the group holds, rarest first
+    if reached.isEmpty():
+        return links
+    rest = staged(_apart(reached, "node", "root", staged(components(links), "join-roots")), "join-rest")
+    if rest.isEmpty():
+        return links
+    held = rows.select("token", F.col("group.root").alias("root"), F.col("node").alias("b"), F.col("n").alias("m")).join(_small(staged(rest.select("root").distinct(), "join-asked")), "root", "left_semi")
+    often = staged(held.groupBy("root", "token").agg(F.count(F.lit(1)).alias("often")), "join-often")
+    mine = rows.select("token", "node").join(_small(rest), "node").join(often, ["root", "token"])
+    asked = Window.partitionBy("node", "root")
+    rare = mine.withColumn("held", F.count(F.lit(1)).over(asked)).withColumn("at", F.row_number().over(asked.orderBy("often", "token"))).filter(F.col("at") <= F.col("held") - fewest + 1)
+    pairs = staged(rare.select("root", "token", "node", "n").join(held, ["root", "token"]).filter(_fit(n, F.col("m"))).select(F.col("node").alias("a"), "b").distinct(), "join-pairs")
     if pairs.isEmpty():
         return links
-    whole = _with_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))), whole)
-    return links.unionByName(staged(_verified(pairs, whole), "join-links"))
+    return links.unionByName(staged(_verified(pairs, _with_sets(docs, _ends(pairs), whole)), "join-links"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+
+
+def _apart(pairs: DataFrame, a: str, b: str, root: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose nodes ``a`` and ``b`` are in two classes so far."""
+    found = pairs
+    for end in (a, b):
+        found = found.join(_small(root).select(F.col("node").alias(end), F.col("root").alias(f"_root_{end}")), end, "left")
+    return found.filter(F.coalesce(f"_root_{a}", a) != F.coalesce(f"_root_{b}", b)).select(*pairs.columns)
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, whole: DataFrame) -> DataFrame:
