@@ -279,9 +279,10 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     whole = sets.filter("whole IS NOT NULL").select("node", "whole").dropDuplicates(["node"])
     links = staged(_verified(near.filter("turn = 0"), whole), "join-links")
     root = staged(components(links), "join-roots")
-    later = _apart(near.filter("turn > 0"), "a", "b", root)
-    links = links.unionByName(staged(_verified(later, whole), "join-links"))
+    later = staged(_apart(near.filter("turn > 0"), "a", "b", root), "join-later")
+    links = _stars(root).unionByName(staged(_verified(later, whole), "join-links"))
     root = staged(components(links), "join-roots")
+    links = _stars(root)
 
     # matrix: prefix tokens by group (with its members' number and sizes), those of one group only dropped
     sized = root.join(nodes.select("node", "n").distinct(), "node")
@@ -333,7 +334,9 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     # what is still apart is opened in full: linked sets share ``fewest`` prefix tokens, so one of all but ``fewest - 1`` of those that the group holds, rarest first
     if reached.isEmpty():
         return links
-    rest = staged(_apart(reached, "node", "root", staged(components(links), "join-roots")), "join-rest")
+    root = staged(components(links), "join-roots")
+    links = _stars(root)
+    rest = staged(_apart(reached, "node", "root", root), "join-rest")
     if rest.isEmpty():
         return links
     held = rows.select("token", F.col("group.root").alias("root"), F.col("node").alias("b"), F.col("n").alias("m")).join(_small(staged(rest.select("root").distinct(), "join-asked")), "root", "left_semi")
@@ -347,6 +350,11 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     return links.unionByName(staged(_verified(pairs, _with_sets(docs, _ends(pairs), whole)), "join-links"))
 
 
+def _stars(root: DataFrame) -> DataFrame:
+    """Links that say the same as all found so far: every node with its root."""
+    return root.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
 
