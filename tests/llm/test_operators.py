@@ -134,7 +134,12 @@ def test_jaccard_join(spark, docs, empty):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 3, 4, 5, 6, 6, 7, 8, 11]
 
 
-def test_jaccard_join_on_random_copies(spark):
+@pytest.mark.parametrize("few", [False, True])
+def test_jaccard_join_on_random_copies(spark, monkeypatch, few):
+    """With one pivot and one central member less is found early, and more is left to the later steps."""
+    if few:
+        monkeypatch.setattr(jaccard_join, "TURNS", 1)
+        monkeypatch.setattr(jaccard_join, "CENTRES", 1)
     rng = np.random.default_rng(5)
     rows, base = [], [" ".join(f"v{x}" for x in rng.integers(0, 400, n)) for n in (6, 12, 40, 90)]
     for i in range(160):
