@@ -151,6 +151,28 @@ def test_jaccard_join_on_random_copies(spark, monkeypatch, few):
     assert sorted(map(tuple, got)) == sorted(brute_classes(rows))
 
 
+def test_jaccard_join_opens_groups_in_full(spark, monkeypatch):
+    """Askers that link with one member only, which is not the central one."""
+    monkeypatch.setattr(jaccard_join, "TURNS", 1)
+    monkeypatch.setattr(jaccard_join, "CENTRES", 1)
+    seen, staged = [], jaccard_join.staged
+    monkeypatch.setattr(jaccard_join, "staged", lambda df, label: seen.append(label) or staged(df, label))
+    rng = np.random.default_rng(3)
+    rows, base = [], [f"v{x}" for x in range(300)]
+    for i in range(40):
+        w = list(base)
+        for at in rng.choice(300, 3, False):
+            w[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(w)))
+        if i % 2:
+            for at in rng.choice(300, 5, False):
+                w[at] = f"q{i}x{at}"
+            rows.append((100 + i, " ".join(w)))
+    got = jaccard_join.similar_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_classes(rows))
+    assert "join-often" in seen
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (7, 7), (102, 100)] + [(200, x) for x in range(201, 260)]
     got = dict(map(tuple, components.components(spark.createDataFrame(links, "a long, b long")).collect()))
