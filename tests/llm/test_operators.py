@@ -231,6 +231,27 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in langid.predict(tests, langid.fit(empty.withColumn("lang", F.lit("x")))).collect()} == {"und"}
 
 
+def test_language_of_very_long_texts(spark):
+    """A clean text of any length keeps its margin; a language with long texts only is learned from passages of them."""
+    rng = np.random.default_rng(5)
+
+    def words_of(letters):
+        return ["".join(rng.choice(list(letters), rng.integers(3, 9))) for _ in range(3000)]
+
+    vocabulary = {"aa": words_of("abcdefgh"), "bb": words_of("efghijkl"), "cc": words_of("ijklmnop")}
+    text = lambda lang, n: " ".join(rng.choice(vocabulary[lang], n))
+    rows = [(k, text(lang, 300), lang) for lang in ("aa", "bb") for k in range(60)] + [(1, text("cc", 40_000), "cc")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model) == {"aa", "bb", "cc"} and model["cc"][1] == 1 and len(model["cc"][0]) > 90_000
+    compressors = langid._compressors(model)
+    for lang in vocabulary:
+        long, longer = (langid.classify(compressors, text(lang, n)) for n in (10_000, 400_000))
+        assert long[0] == longer[0] == lang and not long[3] and not longer[3]
+        assert longer[2] > long[2] / 2
+    data = bytes(range(256)) * 1000
+    assert b"".join(langid._windows(data)) == data and max(map(len, langid._windows(data))) <= langid.WINDOW_BYTES
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_language_model(spark, docs, empty, order):
     model = lm.train(docs, order)
