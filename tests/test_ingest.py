@@ -135,6 +135,39 @@ def test_fingerprints_of_any_size_and_split(spark, tmp_path):
     assert split == whole
 
 
+def test_fingerprints_tell_places_apart(spark, tmp_path):
+    """The same pieces at other places are another file, however the files are split."""
+    src = f"{tmp_path}/in"
+    rows = [rec(str(i), words=f"<w>{'open' if i % 2 else 'shut'}</w>") for i in range(200)]
+    swap = lambda a, b: [rows[b] if k == a else rows[a] if k == b else r for k, r in enumerate(rows)]
+    write(src, "a", *rows)
+    write(src, "same", *rows)
+    write(src, "order", *swap(12, 157))
+    write(src, "value", *[rec(str(i), words=f"<w>{'open' if (i % 2) != (i in (10, 11)) else 'shut'}</w>") for i in range(200)])
+    # two swaps at the same distance that undo each other in a sum of hash times place
+    write(src, "two", *[rec(str(i), words=f"<w>{'open' if (i % 2) != (i in (10, 11, 31, 32)) else 'shut'}</w>") for i in range(200)])
+    write(src, "ids", *[rec({5: "6", 6: "5"}.get(i, str(i)), words=f"<w>{'open' if i % 2 else 'shut'}</w>") for i in range(200)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    try:
+        for size in (before, "700"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found.append({r.file_path.rsplit("/")[-1]: r.file_md5 for r in files.fingerprints(spark, src).collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] and found[0]["a.xml"] == found[0]["same.xml"]
+    assert len(set(found[0].values())) == 5
+
+
+def test_values_swapped_between_records_are_ingested(spark, tmp_path, job, collect):
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("1", words="<w>open</w>"), rec("2", words="<w>shut</w>"))
+    assert ingest(spark, src, job, "2024-01-01 00:00:00").counts == {"new": 2}
+    write(src, "a", rec("1", words="<w>shut</w>"), rec("2", words="<w>open</w>"))
+    assert ingest(spark, src, job, "2024-02-01 00:00:00").counts == {"changed": 2}
+    assert collect(job.store.read("word"), "id", "text") == [("1", "shut"), ("2", "open")]
+
+
 def test_names_with_special_characters(spark, tmp_path, job, collect):
     src = f"{tmp_path}/in"
     for n, name in enumerate(["a b", "d[1]", "p%20q", "h#x", "c+d", "e{f}"]):

@@ -6,7 +6,14 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from treeflat.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 FILE_REGISTRY_SCHEMA = "file_path string, file_md5 string, processed_at timestamp, record_count bigint"
+#: Of the fingerprints: products of two numbers below the prime fit into 64 bits.
+_PRIME = 2**31 - 1
+_POINTS = (1_103_527_590, 1_664_013_907, 747_796_405, 1_911_520_717)
 
 
 def discover(spark: SparkSession, path, glob: str = "*.xml", recursive: bool = False) -> DataFrame:
@@ -29,17 +36,74 @@ def fingerprints(spark: SparkSession, path, glob: str = "*.xml", recursive: bool
     """``file_path, file_md5`` for every file, by one rule for all sizes.
 
     The text is read in pieces that end at ``>``, so large files are split and no task holds a
-    file.  Length, count, sum and xor of the pieces' hashes add up in partial aggregates whatever
-    the order and the splits; the fingerprint is the Base64 of the MD5 of these numbers.  Equal contents
-    have equal fingerprints; only files that hold the very same pieces in another order are not told apart.
+    file.  The hashes of a split's pieces, in their order, are the coefficients of four polynomials at fixed points modulo a
+    prime; a file's value follows from those of its splits and is the same however it is split.  The fingerprint is the Base64
+    of the MD5 of length, number of pieces and values: equal contents have equal fingerprints, and pieces that
+    differ or stand at another place (values swapped between records, records in another order) give another one.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(path)
     sizes = listed.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), "length")  # the contents are not read
     text = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).option("lineSep", ">").text(path)
-    pieces = text.select(plain_path(F.col("_metadata.file_path")).alias("file_path"), F.xxhash64("value").alias("h"), F.xxhash64("value", F.lit(1)).alias("g"))
-    sums = pieces.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("g").alias("x"))
-    numbers = F.concat_ws(":", "length", "n", F.col("s").cast("string"), F.col("x").cast("string"))
-    return sizes.join(sums, "file_path", "left").select("file_path", F.base64(F.unhex(F.md5(numbers.cast("binary")))).alias("file_md5"))
+    pieces = text.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.xxhash64("value").alias("h"), F.xxhash64("value", F.lit(1)).alias("g")
+    )
+    splits = pieces.mapInArrow(_split_values, "path string, start long, n long, value array<long>, shift array<long>")
+    # one small row per split of a file
+    ordered = splits.groupBy("path").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("start", "value", "shift"))).alias("splits"))
+
+    def follow(before: Column, split: Column) -> Column:
+        moved = F.zip_with(before, split["shift"], lambda x, w: x * w % _PRIME)
+        return F.zip_with(moved, split["value"], lambda x, y: (x + y) % _PRIME)
+
+    value = F.aggregate("splits", F.array(*[F.lit(0).cast("bigint") for _ in _POINTS]), follow)
+    values = ordered.select(plain_path(F.col("path")).alias("file_path"), "n", F.array_join(value.cast("array<string>"), ":").alias("value"))
+    numbers = F.concat_ws(":", "length", "n", "value")
+    return sizes.join(values, "file_path", "left").select("file_path", F.base64(F.unhex(F.md5(numbers.cast("binary")))).alias("file_md5"))
+
+
+def _split_values(batches):
+    """Per split: its path and start, its number of pieces, the polynomials of its pieces' hashes, and the points to the power of that number."""
+    import numpy as np
+    import pyarrow as pa
+
+    powers = [np.ones(1, np.int64) for _ in _POINTS]
+
+    def power(k: int, n: int):
+        while len(powers[k]) < n:
+            powers[k] = np.concatenate([powers[k], powers[k] * pow(_POINTS[k], len(powers[k]), _PRIME) % _PRIME])
+        return powers[k][:n]
+
+    def row(at, n, values):
+        shift = [pow(point, n, _PRIME) for point in _POINTS]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([at[0]], pa.string()), pa.array([at[1]], pa.int64()), pa.array([n], pa.int64()), pa.array([values], pa.list_(pa.int64())), pa.array([shift], pa.list_(pa.int64()))],
+            ["path", "start", "n", "value", "shift"],
+        )
+
+    at, count, values = None, 0, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        coded = b.column(0).dictionary_encode()
+        paths, starts = coded.indices.to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+        halves = []
+        for column in (b.column(2), b.column(3)):
+            bits = column.to_numpy(zero_copy_only=False).astype(np.uint64)
+            halves += [(half % np.uint64(_PRIME)).astype(np.int64) for half in (bits & np.uint64(0xFFFFFFFF), bits >> np.uint64(32))]
+        first = np.flatnonzero(np.r_[True, (paths[1:] != paths[:-1]) | (starts[1:] != starts[:-1])])
+        for low, high in zip(first.tolist(), [*first[1:].tolist(), b.num_rows]):
+            split = (coded.dictionary[int(paths[low])].as_py(), int(starts[low]))
+            if split != at:
+                if at is not None:
+                    yield row(at, count, values)
+                at, count, values = split, 0, [0] * len(_POINTS)
+            n = high - low
+            for k, half in enumerate(halves):
+                own = int((half[low:high] * power(k, n)[::-1] % _PRIME).sum())
+                values[k] = (values[k] * pow(_POINTS[k], n, _PRIME) + own) % _PRIME
+            count += n
+    if at is not None:
+        yield row(at, count, values)
 
 
 def record_fingerprints(records: DataFrame) -> DataFrame:
