@@ -297,6 +297,28 @@ def test_language_model(spark, docs, empty, order):
         assert none.train_tokens == 0 and none.score == 0
 
 
+def test_packed_blocks_are_whole():
+    rng = np.random.default_rng(2)
+    pool = np.r_[rng.integers(0, 2**64, 50, np.uint64), np.uint64(0), np.uint64(2**64 - 1)]
+    for width, n in ((1, 40), (2, 1), (2, 500), (3, 2000)):
+        words = [rng.choice(pool, n) for _ in range(width)] if width > 1 else [np.unique(rng.choice(pool, n))]
+        sums = [rng.integers(0, 2**63, len(words[0]), np.uint64) for _ in range(2)]
+        got = lm._unpack(lm._pack(words, sums))
+        assert sorted(zip(*(c.tolist() for c in (*got[0], *got[1])))) == sorted(zip(*(c.tolist() for c in (*words, *sums))))
+
+
+def test_registered_model_sees_two_words_before(spark, tmp_path):
+    """After "c d" and "x d" other words follow: a model of order 2 cannot tell them apart."""
+    from treeflat.llm import queries
+
+    n = 400
+    ids = [i for i in range(1, 5 * n) if zlib.crc32(str(i).encode()) % 7 != 2][: 2 * n]
+    rows = [(i, "c d e" if k % 2 else "x d f") for k, i in enumerate(ids)] + [(9001, "c d e"), (9002, "c d f")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in queries.model_query(spark, f"file://{tmp_path}").collect()}
+    assert got[9001] > got[9002] + 1
+
+
 def test_sampled_segmentations(spark, docs, empty):
     got = sps.sample(docs, k=3).collect()
     by_row = Counter((r.doc_id, r["rank"]) for r in got)

@@ -4,7 +4,7 @@ Counting.  Tasks count their n-grams and send them on as compressed blocks, one
 range is merged by one task: sorted, equal n-grams added up, and written as a file of sorted hashes and a file of counts.  The merged
 n-grams yield, for the next shuffle, statistics of their contexts (total, and how many followers have count 1, 2, 3 or more) and
 their suffixes with continuation counts, which are the n-grams of the order below.  So one chain of ``order`` shuffles gives all
-orders.  The number of ranges follows from the bytes of the texts, so what a task holds is bounded; hot n-grams come once per block.
+orders.  The number of ranges follows from the bytes of the texts and the order, so what a task holds is bounded; hot n-grams come once per block.
 
 Model.  p_k(w|h) = max(c - D(c), 0) / total(h) + gamma(h) p_(k-1)(w|h'), down to the uniform 1/(V+1); c is the count for the highest
 order and the number of different words before the n-gram below it; the three discounts of an order come from its counts of counts.
@@ -34,7 +34,7 @@ from treeflat.llm.words import mix, slices, word_hashes
 
 ship(__name__)
 
-#: Text bytes for each range of n-gram hashes.
+#: Text bytes for each range of n-gram hashes, for two words in an n-gram; fewer in proportion for more words.
 RANGE_BYTES = 24 * 1024 * 1024
 #: Tokens that are looked up together, and that are counted before a task sends them on.
 LOOK_UP, COUNT_UP = 1_000_000, 3_000_000
@@ -76,31 +76,51 @@ def _merge(keys: np.ndarray, columns: list[np.ndarray], sums: list[np.ndarray])
     return keys[first], [c[order][first] for c in columns], [np.add.reduceat(s[order], first) for s in sums]
 
 
+def _planes(column: np.ndarray, width: int) -> bytes:
+    """Byte by byte: the high bytes are mostly zeros, which compress to nothing."""
+    return column.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def _column(body: bytes, at: int, n: int, width: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8, width * n, at).reshape(width, n).T).view(f"<u{width}").reshape(n).astype(np.uint64)
+
+
+def _steps(column: np.ndarray) -> np.ndarray:
+    """Differences of a sorted column, the first value first."""
+    return np.diff(column, prepend=column.dtype.type(0))
+
+
 def _pack(words: list[np.ndarray], sums: list[np.ndarray]) -> bytes:
-    """Rows sorted by their words; the first word once per run."""
-    order = np.lexsort(words[::-1]) if len(words) > 1 else np.argsort(words[0], kind="stable")
-    words, sums = [w[order] for w in words], [s[order].astype(np.uint64) for s in sums]
-    first = np.flatnonzero(np.r_[True, words[0][1:] != words[0][:-1]])
-    runs = np.diff(np.r_[first, len(words[0])]).astype(np.uint32)
-    # sums column by column, byte by byte: mostly zeros, which compress to nothing
-    tail = b"".join(s.view(np.uint8).reshape(-1, 8).T.tobytes() for s in sums)
-    body = words[0][first].tobytes() + runs.tobytes() + b"".join(w.tobytes() for w in words[1:]) + tail
-    head = struct.pack("<4I", len(words[0]), len(first), len(words), len(sums))
+    """Rows sorted by their words; each different word once (as steps), then places in that list."""
+    if len(words) > 1:
+        known, places = np.unique(np.concatenate(words), return_inverse=True)
+        columns = list(places.reshape(len(words), -1).astype(np.uint32))
+        order = np.lexsort(columns[::-1])
+        columns = [c[order] for c in columns]
+        columns[0] = _steps(columns[0])
+    else:
+        order, columns = np.argsort(words[0], kind="stable"), []
+        known = words[0][order]
+    body = _planes(_steps(known), 8) + b"".join(_planes(c, 4) for c in columns) + b"".join(_planes(s[order], 8) for s in sums)
+    head = struct.pack("<4I", len(words[0]), len(known), len(words), len(sums))
     return head + zstandard.ZstdCompressor(level=1).compress(body)
 
 
 def _unpack(block: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    n, runs, width, count = struct.unpack("<4I", block[:16])
+    n, size, width, count = struct.unpack("<4I", block[:16])
     body = zstandard.ZstdDecompressor().decompress(block[16:])
-    at = 8 * runs
-    words = [np.repeat(np.frombuffer(body, np.uint64, runs), np.frombuffer(body, np.uint32, runs, at))]
-    at += 4 * runs
-    for _ in range(width - 1):
-        words.append(np.frombuffer(body, np.uint64, n, at))
-        at += 8 * n
+    known, at = np.cumsum(_column(body, 0, size, 8), dtype=np.uint64), 8 * size
+    if width == 1:
+        words = [known]
+    else:
+        words = []
+        for k in range(width):
+            places = _column(body, at, n, 4)
+            words.append(known[(np.cumsum(places) if k == 0 else places).astype(np.int64)])
+            at += 4 * n
     sums = []
     for _ in range(count):
-        sums.append(np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, at).reshape(8, n).T).view(np.uint64).reshape(n))
+        sums.append(_column(body, at, n, 8))
         at += 8 * n
     return words, sums
 
@@ -214,7 +234,7 @@ def _discounts(n: list[int]) -> list[float]:
     return [min(max(d, 0.0), float(k + 1)) for k, d in enumerate(out)]
 
 
-def train(docs: DataFrame, order: int = 2, key: str = "doc_id", text: str = "text", folder: str | None = None) -> dict:
+def train(docs: DataFrame, order: int = 3, key: str = "doc_id", text: str = "text", folder: str | None = None) -> dict:
     """Count the texts of ``docs``; returns the small description that scoring needs (folder, ranges, totals, discounts)."""
     spark = docs.sparkSession
     place = urlparse(folder or fresh_folder(spark, "lm"))
@@ -223,7 +243,7 @@ def train(docs: DataFrame, order: int = 2, key: str = "doc_id", text: str = "tex
     os.makedirs(place.path, exist_ok=True)
     texts = keyed(docs, key, text).select("text")
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = max(4, -(-size // RANGE_BYTES))
+    parts = max(4, -(-size * max(order, 2) // (2 * RANGE_BYTES)))
     chain = texts.mapInArrow(_count(order, parts), _BLOCKS)
     for _ in range(order):
         chain = chain.repartition(parts, "kind", "level", "part").sortWithinPartitions("kind", "level", "part").mapInArrow(_reduce(parts, place.path), _BLOCKS)

@@ -24,7 +24,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(crc32_of_id(F.col("doc_id")) % 7 == 2, F.lit(False))
-    model = lm.train(docs.filter(~held_out), order=2)
+    model = lm.train(docs.filter(~held_out), order=3)
     return lm.score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
