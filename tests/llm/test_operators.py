@@ -375,6 +375,37 @@ def test_extraction(spark):
     assert all(r.n_chars == len(r.text) for r in got) and len(got) == len(rows)
 
 
+ARTICLE = "<h1>A title</h1>" + "<p>A paragraph of the article, with marks; and some length. It goes on.</p>" * 4
+
+
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ('<div class="content-sidebar-wrap">', "</div>"), ('<div class="layout no-sidebar"><div id=x>', "</div></div>"), ('<div class="post has-comments">', "</div>"),
+        ('<section class="entry-share-enabled">', "</section>"), ('<form id="aspnetForm" action="./"><div>', "</div></form>"),
+    ],
+)
+def test_extraction_keeps_articles_in_named_elements(before, after):
+    around = '<div class="sidebar"><p>Read this, too.</p></div>', '<ul class="comments"><li>Nice, I like it.</li></ul><footer>x</footer>'
+    text = html_extract.main_text(f"<html><body>{before}{around[0]}<div>{ARTICLE}</div>{around[1]}{after}</body></html>")
+    assert text.split("\n\n")[0] == "A title" and text.count("It goes on.") == 4
+    assert "Read this" not in text and "Nice" not in text
+
+
+def test_extraction_skips_long_remarks_and_sidebars_beside_an_article():
+    for name in ("comments", "sidebar", "cookie-notice"):
+        other = f'<div class="{name}">' + "<p>Something else, of great length; it goes on, and on.</p>" * 30 + "</div>"
+        assert html_extract.main_text(f"<body><div>{ARTICLE}</div>{other}</body>").count("Something else") == 0
+
+
+def test_extraction_keeps_formulas_and_text_after_unclosed_media():
+    page = '<body><p>Let <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></mrow><annotation encoding="tex">x=2</annotation></semantics></math> hold, please.</p></body>'
+    assert html_extract.main_text(page) == "Let x=2 hold, please."
+    for name in ("svg", "canvas", "video", "object", "audio"):
+        assert html_extract.main_text(f"<body><p>One, two.</p><{name} class=a><p>Three, four.</p></body>") == "One, two.\n\nThree, four."
+        assert html_extract.main_text(f"<body><p>One, two.</p><{name}>no</{name}><p>Three, four.</p></body>") == "One, two.\n\nThree, four."
+
+
 def test_quality(spark, docs, empty):
     good, bad = "Plain words follow each other in a sentence about number", "&&& $$$ word### word### !!! *** %%%"
     rows = [(i, f"{good} {i} and so on." if i % 3 else f"{bad} {i} &&&") for i in range(400)]

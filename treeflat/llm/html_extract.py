@@ -7,11 +7,13 @@ text-weighted mean are content.  The deepest element that holds ``CORE`` of the
 holds is taken, headings and short paragraphs included.  Where that is the whole body, only content paths and the headings right
 before them are taken.
 
-What HTML itself marks as something else never counts: navigation, footers, forms, scripts, hidden elements, elements whose class,
-id or role names an advert, notice, menu, comment and so on (``BOILERPLATE``), and headers outside an article.
+What HTML itself marks as something else never counts: navigation, footers, scripts, hidden elements, and headers outside an article.
+Forms and elements whose class, id or role names an advert, notice, menu, comment and so on (``BOILERPLATE``) do not count either, unless
+they hold most of the page's text (``MOST``) and its article: a name such as ``content-sidebar-wrap`` then names the layout, and the element is read as any other.
 
 Defined results: null and empty pages, and pages without text, give the empty text.  Tags that are never closed, quotes that never
-end and comments that never end are read as browsers read them.  Work is row by row; nothing is shuffled, capped or cut.
+end and comments that never end are read as browsers read them; drawings, media and objects that are never closed are read as ordinary elements.
+Formulas are text; their annotations (the same formula in another notation) are not.  Work is row by row; nothing is shuffled, capped or cut.
 """
 
 from __future__ import annotations
@@ -32,14 +34,25 @@ ship(__name__)
 SHARE = 0.25
 #: The article is the deepest element with this share of the content's text.
 CORE = 0.8
+#: A form or named element with more than this share of the page's text may be the layout around the article.
+MOST = 0.5
+#: Without any article, main element or first heading on the page, remarks need this share.
+REMARKS_MOST = 0.9
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object audio video canvas".split())
-INLINE = frozenset(
+RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg object audio video canvas".split())
+#: Read as ordinary elements where their end tag is missing.
+MEDIA = frozenset("svg object audio video canvas".split())
+MATH = frozenset(
+    """math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle
+    msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml""".split()
+)
+INLINE = MATH | MEDIA | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-SKIPPED = frozenset("nav footer aside form button select option fieldset dialog menu head".split())
+SKIPPED = frozenset("nav footer aside button select option dialog menu head annotation annotation-xml".split())
+FORMS = frozenset("form fieldset".split())
 BOILERPLATE = frozenset(
     """ad ads adv advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion cookie cookies consent gdpr
     notice notices notification alert banner popup modal overlay newsletter subscribe subscription signup paywall sidebar side aside widget widgets
@@ -80,11 +93,25 @@ def _attributes(text: str) -> tuple[str, bool, bool, bool]:
 
 def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
     """(path, elements from the root, whether it is a heading, text, characters inside links) of every visible block in page order."""
+    found, named, text, core = _read(page, frozenset())
+    spared = set()
+    for number, remarks, own_text, own_core in named:
+        if own_text > MOST * text and (own_core or (not core and (not remarks or own_text > REMARKS_MOST * text))):
+            spared.add(number)
+    return _read(page, spared)[0] if spared else found
+
+
+def _read(page: str, spared: frozenset | set) -> tuple[list, list, int, int]:
+    """The blocks; (number, whether it names remarks, characters, characters in articles and first headings) of every form and element
+    named as boilerplate; the page's characters and those in articles and first headings.  Elements in ``spared`` are read."""
     out: list = []
-    stack: list[tuple[str, int, bool, bool]] = []  # name, number, whether it is skipped, whether it is a block
+    named: list[tuple[int, bool, int, int]] = []
+    # name, number, whether it is skipped, whether it is a block, whether it never counts, whether it is an article, the counts before it where it is named
+    stack: list[tuple] = []
+    endless: set[str] = set()  # names without a further end tag
     labels: list[str] = []  # of the blocks on the stack
     parts: list[str] = []
-    linked = numbers = at = skipped = links = 0
+    linked = numbers = at = skipped = links = never = cores = total = core = 0
 
     def flush() -> None:
         nonlocal linked
@@ -98,9 +125,13 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
         linked = 0
 
     def pop() -> None:
-        nonlocal skipped, links
-        name, _, skip, block = stack.pop()
+        nonlocal skipped, links, never, cores
+        name, number, skip, block, hard, article, before = stack.pop()
         skipped -= skip
+        never -= hard
+        cores -= article
+        if before is not None:
+            named.append((number, before[0], total - before[1], core - before[2]))
         links -= name == "a"
         if block:
             labels.pop()
@@ -118,7 +149,11 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
                 return
 
     def word(text: str) -> None:
-        nonlocal linked
+        nonlocal linked, total, core
+        if not never:
+            n = sum(map(len, text.split()))
+            total += n
+            core += n if cores else 0
         if not skipped:
             parts.append(text)
             if links:
@@ -147,9 +182,14 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
             continue
         attributes = m[3] if m[2] else m[6]
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            if not attributes.rstrip().endswith("/") or name not in ("svg", "math"):
+            if name == "svg" and attributes.rstrip().endswith("/"):
+                continue
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            if end or name not in MEDIA:
                 at = end.end() if end else len(page)
+                continue
+            endless.add(name)
+        if name in MATH and attributes.rstrip().endswith("/"):
             continue
         if name in VOID:
             if name == "hr":
@@ -167,19 +207,25 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
             if name in HEADINGS:
                 close(HEADINGS, _SCOPE)
         inside = any(s[0] in ("article", "main") for s in stack)
-        skip = hidden or name in SKIPPED or (name == "header" and not inside)
+        hard = hidden or name in SKIPPED or (name == "header" and not inside)
         if name in ("article", "main"):
-            skip = skip or remarks
-        elif name not in ("html", "body"):
-            skip = skip or boiler
+            soft = remarks
+        else:
+            soft = name in FORMS or (boiler and name not in ("html", "body"))
         numbers += 1
-        stack.append((name, numbers, skip, block))
+        skip = hard or (soft and numbers not in spared)
+        article = name == "h1" or (name in ("article", "main") and not remarks)
+        stack.append((name, numbers, skip, block, hard, article, (remarks, total, core) if soft and not hard else None))
         skipped += skip
+        never += hard
+        cores += article
         links += name == "a"
         if block:
             labels.append(name + suffix)
     flush()
-    return out
+    while stack:
+        pop()
+    return out, named, total, core
 
 
 def _path_scores(found: list) -> dict[str, float]:
