@@ -5,6 +5,7 @@ from collections import Counter
 import hashlib
 import math
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -192,6 +193,24 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(empty, bench).count() == decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_in_other_scripts(spark):
+    """Case, punctuation and scripts without blanks do not hide a copy."""
+    fr = "les élèves français étaient déjà là où l’été s’achève à Évian près du lac gelé"
+    de = "die Größe der Straße überrascht Ärzte und Übersetzer in München außer Öffnungszeiten"
+    zh, ja, th = "下列哪一项是地球上最大的海洋面积之一", "次のうち日本で一番高い山はどれですか", "ข้อใดต่อไปนี้เป็นเมืองหลวงของประเทศไทย"
+    other = "this item is nowhere to be found in any of the texts"
+    bench = spark.createDataFrame([(1, fr), (2, de), (3, zh), (4, ja), (5, th), (6, other)], "item_id long, text string")
+    copies = [
+        (1, fr.upper()), (1, "«" + fr.replace(" ", "» — «") + "»"), (1, unicodedata.normalize("NFD", fr).replace("’", "'")), (1, fr.replace("l", "l\u00ad")), (2, de.upper()),
+        (2, "„" + de.replace(" ", "“ – „") + "“"), (3, "题目：“" + zh[:8] + "，" + zh[8:] + "？”"), (4, "問題「" + ja + "」です"), (5, "ถาม" + th + "ครับ"),
+    ]
+    rows = [(k, t) for k, (_, t) in enumerate(copies)] + [(100, "les élèves de München"), (101, "海洋"), (102, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.coverage) for r in decontaminate.contaminated(docs, bench).collect())
+    assert got == [(k, item, 1.0) for k, (item, _) in enumerate(copies)]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()) == [100, 101, 102]
+
+
 def test_tiles_against_a_slow_reading():
     rng = np.random.default_rng(1)
     for _ in range(60):

@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words are runs of letters and digits, lower-cased, so case and punctuation do not hide a passage.  Seeds are the Karp-Rabin hashes of
+Words are runs of letters and digits of any script, case-folded after compatibility composition (NFKC), so case, punctuation and invisible
+format characters do not hide a passage; letters of scripts that are written without blanks are words of their own.  Seeds are the Karp-Rabin hashes of
 ``MIN_MATCH`` words in a row that a document shares with a benchmark item.  Seeds in a row on one diagonal are a common
 run; the longest run whose words are all unmarked becomes a tile and its words are marked in both texts, a run that is partly
 marked is cut down and goes back, until no run of ``MIN_MATCH`` words is left.  The share of the item's words under
@@ -18,14 +19,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 import heapq
+import unicodedata
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from treeflat.llm.common import keyed, ship
-from treeflat.llm.words import NOT_WORD, slices, windows, word_hashes
+from treeflat.llm.words import NOT_WORD, raw, slices, windows, word_hashes
 
 ship(__name__)
 
@@ -33,6 +36,34 @@ MIN_MATCH = 5
 #: Least share of an item's words under tiles.
 COVERAGE = 0.8
 BLOCK_BYTES = 8 * 1024 * 1024
+#: Bytes of text that are folded together (a longer text by itself).
+FOLD_BYTES = 4 * 1024 * 1024
+_FORMAT = regex.compile(r"\p{Cf}+")
+_APART = regex.compile(r"[^\x00-\x7F\p{L}\p{N}\p{M}]+")  # the ASCII ones are in NOT_WORD
+_ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Tai_Le}\p{Javanese}\p{Balinese}]\p{M}*")
+
+
+def fold(text: bytes) -> bytes:
+    """UTF-8 in which words are told apart by the bytes of ``NOT_WORD`` alone."""
+    if text.isascii():
+        return text  # the byte tables do it
+    s = unicodedata.normalize("NFKC", _FORMAT.sub("", text.decode("utf-8", "replace"))).casefold()
+    # case folding can leave decomposed letters
+    s = unicodedata.normalize("NFC", s)
+    return _ALONE.sub(r" \g<0> ", _APART.sub(" ", s)).encode("utf-8", "replace")
+
+
+def folded_words(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """:func:`word_hashes` of the folded texts, about ``FOLD_BYTES`` at a time."""
+    _, at = raw(column)
+    n, low = len(at) - 1, 0
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(at, at[low] + FOLD_BYTES, "right")) - 1)
+        texts = column.slice(low, high - low).cast(pa.large_binary()).to_pylist()
+        folded = pa.array([fold(t or b"") for t in texts], pa.large_binary())
+        for first, counts, words in word_hashes(folded.cast(pa.large_string()), NOT_WORD):
+            yield low + first, counts, words
+        low = high
 
 
 class Block:
@@ -41,7 +72,7 @@ class Block:
     def __init__(self, items: list[tuple[int | None, str]]):
         self.ids = [i for i, _ in items]
         column = pa.array([t for _, t in items], pa.large_string())
-        found = list(word_hashes(column, NOT_WORD))
+        found = list(folded_words(column))
         counts = np.concatenate([c for _, c, _ in found]) if found else np.zeros(0, np.int64)
         words = np.concatenate([w for _, _, w in found]) if found else np.zeros(0, np.uint64)
         self.lengths = counts
@@ -89,7 +120,7 @@ def matches(column: pa.Array, block: Block, coverage: float) -> Iterator[tuple[i
     """(row, item, covered words, tiles, longest tile) for every pair that reaches ``coverage``."""
     if not len(block.seeds):
         return
-    for first, counts, words in word_hashes(column, NOT_WORD):
+    for first, counts, words in folded_words(column):
         seeds, have = windows(words, counts, MIN_MATCH)
         at = np.searchsorted(block.seeds, seeds)
         hit = np.flatnonzero(block.seeds[np.minimum(at, len(block.seeds) - 1)] == seeds)
