@@ -264,6 +264,23 @@ def fingerprints(spark, sf):
     return keyed.join(least, "file_md5").select("n_nationkey", "same_as")
 
 
+@query("fingerprints_corpus", """SELECT doc_id % 97 AS part, doc_id % 97 % 2 = 0 OR count(DISTINCT doc_id) = 1 AS same FROM documents GROUP BY doc_id % 97""")
+def fingerprints_corpus(spark, sf):
+    """All documents in files by the remainder of their id, written twice: the even files alike, the odd ones with their records turned round."""
+    docs = C.documents(spark, sf)
+    record = F.concat(F.lit("<REC><UID>"), C.escape(F.col("id")), F.lit("</UID><text>"), C.escape(F.col("text")), F.lit("</text></REC>")).alias("value")
+    parts = docs.select((F.col("doc_id") % 97).alias("part"), "doc_id", record).repartition("part")
+    twice = parts.select("part", F.explode(F.array(F.lit("first"), F.lit("second"))).alias("copy"), "doc_id", "value")
+    turned = (F.col("copy") == "second") & (F.col("part") % 2 == 1)
+    path = fresh_folder(spark, "parts")
+    ordered = twice.sortWithinPartitions("copy", "part", F.when(turned, -F.col("doc_id")).otherwise(F.col("doc_id")))
+    ordered.select("copy", "part", "value").write.partitionBy("copy", "part").text(path)
+    prints = files.fingerprints(spark, path, "*.txt", recursive=True)
+    part = F.regexp_extract("file_path", r"part=(\d+)", 1).cast(docs.schema["doc_id"].dataType).alias("part")
+    found = prints.select(part, "file_md5").groupBy("part").agg(F.count(F.lit(1)).alias("files"), F.countDistinct("file_md5").alias("prints"))
+    return found.select("part", ((F.col("files") == 2) & (F.col("prints") == 1)).alias("same"))
+
+
 @query("file_numbers", """SELECT 'DOC:' || doc_id AS uid,
   CAST(CASE WHEN lang IN (SELECT DISTINCT lang FROM documents WHERE lang < 'f') THEN length(lang) * 100 + ascii(lang) ELSE -1 END AS BIGINT) AS file_number
 FROM documents""")
