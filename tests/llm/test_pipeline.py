@@ -1,5 +1,8 @@
 """The pipeline's stages on the smallest tables, and the queries that SQL can express."""
 
+import math
+import zlib
+
 import duckdb
 import pytest
 
@@ -50,6 +53,38 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(tuple, df.collect()), key=str) == sorted(result.fetchall(), key=str)
 
 
+@pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if n not in queries.ORACLE))
+def test_registered_operators_run(spark, name):
+    """Each registered operator on the smallest tables; those that answer row by row answer every row once."""
+    got = queries.QUERIES[name](spark, SF)
+    table, key = ("pages", "page_id") if name == "op9_tag_path_ratios" else ("documents", "doc_id")
+    rows = got.collect()
+    assert rows
+    if name in ("op4_kneser_ney", "op6_quality", "op8_language", "op9_tag_path_ratios"):
+        assert sorted(r[key] for r in rows) == sorted(r[key] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect())
+
+
+def test_language_by_plain_sizes(spark):
+    """A second reading of op8_language: the size of each window under each dictionary, without the operator's own classify."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held_out = [r.doc_id for r in docs.select("doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
+    model = langid.fit(docs.filter(~docs.doc_id.isin(held_out)))
+    coders = dict(langid._compressors(model))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    for r in queries.QUERIES["op8_language"](spark, SF).collect():
+        text = texts[r.doc_id]
+        assert r.held_out == (r.doc_id in held_out)
+        if not text or not any(c.isalpha() for c in text):
+            assert r.lang_pred == "und" and r.rejected
+            continue
+        data = text.lower().encode()
+        count = math.ceil(len(data) / langid.WINDOW_BYTES)
+        pieces = [data[len(data) * k // count : len(data) * (k + 1) // count] for k in range(count)]
+        sizes = sorted(sum(len(c.compress(bytes(64) + w)) for w in pieces) for c in coders.values())
+        own = sum(len(coders[r.lang_pred].compress(bytes(64) + w)) for w in pieces)
+        assert own == sizes[0] and r.margin == pytest.approx((sizes[1] - own) / sizes[1]) and r.rejected == (r.margin < langid.MIN_MARGIN)
+
+
 def test_registered():
     names = entry_points.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
