@@ -3,14 +3,14 @@
 Words lie in pieces (texts cut at ``BREAK`` bytes); a phrase is a run of words of one piece.  For sizes 1, 2, ... ``max_words`` one pass
 over the texts fingerprints every run of that size: numpy prefix polynomials modulo 2^64 over the bytes give the words' hashes, and prefix
 polynomials over these give the runs', so a run costs a difference and a product.  Tasks add up equal fingerprints before the shuffle, which brings
-together (fingerprint, count, pointer, least and greatest check); the check is a second polynomial, modulo a prime.  A pointer is the hash of a row
-and the place of the phrase in its text; the smallest row hash wins, so that pointers gather in few rows.
+together (fingerprint, count, pointer, least and greatest check); the check is a second polynomial, modulo a prime.  A pointer is one number: 32 bits
+of the hash of a row (its holder) and the place in its text where the phrase begins; the smallest wins, so that pointers gather in few rows.
 
 A run of ``size`` words can be frequent only if both runs of ``size - 1`` words in it are.  Their fingerprints go out as bit tables of at most
 ``MAX_FILTER_BYTES``, whatever the input; a false positive costs a row of shuffle and changes no result.
 
-Frequent fingerprints (count of at least ``least``) become text: rows that hold a pointer are joined with their pointers, the text at
-each is cut out, and its fingerprint compared.  Where least and greatest check differ, different phrases share a fingerprint: these
+Frequent fingerprints (count of at least ``least``) become text: rows that may hold a pointer are joined with their pointers, the words at
+each are cut out, and their fingerprint compared (another row with the same holder does not pass).  Where least and greatest check differ, different phrases share a fingerprint: these
 are counted again by their texts, which settles the collision.  So a wrong count needs phrases of one language that agree in 64 bits and in a number below 2^31.
 
 Scores, ties and the dropping of phrases that a longer one accounts for are joins and aggregates over the frequent phrases only, in decimals.
@@ -22,6 +22,7 @@ ids as any.  Counts may have up to 15 digits.  Texts may be of any length: they
 from __future__ import annotations
 
 from collections.abc import Iterator
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -171,25 +172,23 @@ def bit_filter(rows: DataFrame, name: str) -> Filter:
 
 
 def _added(columns: list[np.ndarray]) -> list[np.ndarray]:
-    """Equal (language, fingerprint) added up: smallest row hash with its place, least and greatest check."""
-    language, fingerprint, n, holder, place, low, high = columns
-    order = np.lexsort((holder, fingerprint, language))
-    language, fingerprint = language[order], fingerprint[order]
+    """Equal fingerprints (and languages, where given) added up: smallest pointer, least and greatest check."""
+    fingerprint, n, pointer, low, high, *language = columns
+    order = np.lexsort((fingerprint, *language)) if language else np.argsort(fingerprint)
+    keys = [c[order] for c in (fingerprint, *language)]
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (fingerprint[1:] != fingerprint[:-1]) | (language[1:] != language[:-1])
+    fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in keys])
     at = np.flatnonzero(fresh)
     if not len(at):
         return columns
-    return [
-        language[at], fingerprint[at], np.add.reduceat(n[order], at), holder[order][at], place[order][at],
-        np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at),
-    ]
+    reduced = [np.add.reduceat(n[order], at), np.minimum.reduceat(pointer[order], at), np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at)]
+    return [keys[0][at], *reduced, *(c[at] for c in keys[1:])]
 
 
 def _texts(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """The operator's own columns; ``holder`` tells rows apart (rows that agree in all three are one holder)."""
+    """The operator's own columns; ``holder`` is 32 bits of the row's hash."""
     own = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{key}`").cast("string").alias("id"))
-    return own.filter("text IS NOT NULL").select("lang", "text", F.xxhash64("lang").alias("language"), F.xxhash64("id", "lang", "text").alias("holder"))
+    return own.filter("text IS NOT NULL").select("lang", "text", F.xxhash64("lang").alias("language"), F.shiftrightunsigned(F.xxhash64("id", "lang", "text"), 32).alias("holder"))
 
 
 def _longs(column: pa.Array) -> np.ndarray:
@@ -197,7 +196,7 @@ def _longs(column: pa.Array) -> np.ndarray:
 
 
 def counted(texts: DataFrame, size: int, parts: Filter | None) -> DataFrame:
-    """fp, n, holder, place, low, high of every run of ``size`` words whose parts pass the filter; runs of one word also have ``lang``."""
+    """fp, n, pointer, low, high of every run of ``size`` words whose parts pass the filter; runs of one word also have ``lang``."""
     sent = texts.sparkSession.sparkContext.broadcast(parts)  # at most MAX_FILTER_BYTES
 
     def run(batches):
@@ -205,13 +204,12 @@ def counted(texts: DataFrame, size: int, parts: Filter | None) -> DataFrame:
 
         def out(columns):
             for k in range(0, len(columns[0]), 1 << 16):
-                language, fp, n, holder, place, low, high = (c[k : k + (1 << 16)] for c in columns)
-                arrays = [pa.array(fp.view(np.int64)), pa.array(n), pa.array(holder), pa.array(place), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))]
-                if size == 1:
-                    arrays.append(pa.array([names[x] for x in language.tolist()], pa.string()))
+                fp, n, pointer, low, high, *language = (c[k : k + (1 << 16)] for c in columns)
+                arrays = [pa.array(fp.view(np.int64)), pa.array(n), pa.array(pointer), pa.array(low), pa.array(high)]
+                arrays += [pa.array([names[x] for x in c.tolist()], pa.string()) for c in language]
                 yield pa.RecordBatch.from_arrays(arrays, schema)
 
-        schema = ["fp", "n", "holder", "place", "low", "high", *["lang"] * (size == 1)]
+        schema = ["fp", "n", "pointer", "low", "high", *["lang"] * (size == 1)]
         for batch in batches:
             language, holders = _longs(batch.column(2)), _longs(batch.column(3))
             if size == 1:
@@ -226,9 +224,10 @@ def counted(texts: DataFrame, size: int, parts: Filter | None) -> DataFrame:
                 if not len(i):
                     continue
                 row = words.rows[i]
-                start = words.starts[i] - begins[row]
-                checks = words.run_checks(size, i).astype(np.int64)
-                pending.append(_added([words.languages[i].view(np.int64), words.fingerprints(size)[i], np.ones(len(i), np.int64), holders[at[row]], (start << 31) | (words.ends[i + size - 1] - words.starts[i]), checks, checks]))
+                pointers = (holders[at[row]] << 31) | (words.starts[i] - begins[row])
+                checks = words.run_checks(size, i).astype(np.int32)
+                named = [words.languages[i].view(np.int64)] * (size == 1)
+                pending.append(_added([words.fingerprints(size)[i], np.ones(len(i), np.int64), pointers, checks, checks, *named]))
                 rows += len(pending[-1][0])
                 if rows >= BUFFER_ROWS:
                     pending = [_added([np.concatenate(c) for c in zip(*pending)])]
@@ -239,19 +238,26 @@ def counted(texts: DataFrame, size: int, parts: Filter | None) -> DataFrame:
         if pending:
             yield from out(_added([np.concatenate(c) for c in zip(*pending)]))
 
-    partial = texts.mapInArrow(released(run), "fp long, n long, holder long, place long, low int, high int" + (", lang string" if size == 1 else ""))
+    partial = texts.mapInArrow(released(run), "fp long, n long, pointer long, low int, high int" + (", lang string" if size == 1 else ""))
     return partial.groupBy(*["lang"] * (size == 1), "fp").agg(
-        F.sum("n").alias("n"), F.min("holder").alias("holder"), F.min_by("place", "holder").alias("place"), F.min("low").alias("low"), F.max("high").alias("high")
+        F.sum("n").alias("n"), F.min("pointer").alias("pointer"), F.min("low").alias("low"), F.max("high").alias("high")
     )
 
 
 def _phrase(text: bytes) -> str:
-    return " ".join(w.decode() for w in LOWER[np.frombuffer(text, np.uint8)].tobytes().replace(b"\t", b" ").split(b" ") if w)
+    words = LOWER[np.frombuffer(text, np.uint8)].tobytes().replace(b"\t", b" ").split(b" ")
+    return " ".join(w.decode(errors="replace") for w in words if w)  # at a pointer of another row a character may be cut
+
+
+def _run_pattern(size: int) -> re.Pattern:
+    word = rb"[^\x20\x09.,;:!?\x0A-\x0D]+"
+    return re.compile(word + (rb"[\x20\x09]+" + word) * (size - 1))
 
 
 def at_pointers(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """lang, size, phrase, n: the text at each pointer of ``found`` (size, fp, n, holder, place)."""
-    pointers = found.groupBy("holder").agg(F.sort_array(F.collect_list(F.struct("size", "fp", "n", "place"))).alias("pointers"))  # at most the runs of one text
+    """lang, size, phrase, n: the words at each pointer of ``found`` (size, fp, n, pointer)."""
+    place = F.col("pointer").bitwiseAND(F.lit(0x7FFFFFFF)).alias("place")
+    pointers = found.groupBy(F.shiftright("pointer", 31).alias("holder")).agg(F.collect_list(F.struct("size", "fp", "n", place)).alias("pointers"))  # at most the runs of one text
     pointers = staged(pointers, "phrase-pointers")
     holders = bit_filter(pointers.select("holder"), "holder")
     sent = texts.sparkSession.sparkContext.broadcast(holders)  # at most MAX_FILTER_BYTES
@@ -265,11 +271,15 @@ def at_pointers(texts: DataFrame, found: DataFrame) -> DataFrame:
     rows = texts.mapInArrow(holding, texts.schema).join(pointers, "holder").select("lang", "text", "language", "pointers")
 
     def cut(batches):
+        patterns: dict[int, re.Pattern] = {}
         for batch in batches:
             items = []
             for lang, text, language, pointers in zip(*(c for c in batch.columns)):
                 data = text.as_py().encode()
-                items += [(lang.as_py(), language.as_py(), p["size"], p["fp"], p["n"], _phrase(data[p["place"] >> 31 :][: p["place"] & 0x7FFFFFFF])) for p in pointers.as_py()]
+                for p in pointers.as_py():
+                    here = patterns.setdefault(p["size"], _run_pattern(p["size"])).match(data, p["place"])
+                    if here:
+                        items.append((lang.as_py(), language.as_py(), p["size"], p["fp"], p["n"], _phrase(here[0])))
             for size in sorted({x[2] for x in items}):
                 own = [x for x in items if x[2] == size]
                 phrases = pa.array([x[5] for x in own], pa.string())
@@ -324,7 +334,7 @@ def frequent_phrases(texts: DataFrame, max_words: int, least: int) -> tuple[Data
         level = staged(counted(texts, size, parts), f"phrases-{size}")
         if size == 1:
             totals = staged(level.groupBy("lang").agg(F.sum("n").alias("words")), "phrase-totals")
-        levels.append(level.filter(F.col("n") >= least).select(F.lit(size).alias("size"), "fp", "n", "holder", "place", "low", "high"))
+        levels.append(level.filter(F.col("n") >= least).select(F.lit(size).alias("size"), "fp", "n", "pointer", "low", "high"))
         if size < max_words:
             parts = bit_filter(levels[-1].select("fp"), "fp")
     found = levels[0]
