@@ -102,6 +102,24 @@ def test_warc(spark, tmp_path):
     assert warc.page_report(pages.limit(0)).count() == 0
 
 
+def test_warc_urls_as_crawled(spark, tmp_path):
+    """No URL ends the job, is cut, or adds a field of its own; every row against hashlib and a plain reading of the contract."""
+    inner = "{}WARC-Refers-To: <urn:x>{}WARC-Type: metadata{}Content-Length: 0"
+    urls = ["http://a/x|y", "http://a/50%", "http://a/{id}", "ftp://a/x>y", "<http://a/>", "http://[::1", "http://u:p@h.example:8080/?q#f", "not a url", "", None, "http://a/x y",
+            "WARC-Concurrent-To: <urn:z>", *[inner.format(e, e, e) for e in ("\u2028", "\u2029", "\x85", "\n", "\r", "\r\n", "\x0b", "\x0c", "\0", "\r\n\r\n")]]
+    pages = [(k, u, f"<p>{k % 5}</p>") for k, u in enumerate(urls)]
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    first = {t: max(i for i, _, x in pages if x == t) for _, _, t in pages}
+    digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    want = [(i, len(t), digest(t), "response" if first[t] == i else "revisit", None if first[t] == i else first[t]) for i, _, t in pages]
+    assert sorted(map(tuple, warc.page_report(rows).collect())) == want
+    path = f"file://{tmp_path}/w"
+    records = warc.read_records(spark, path, warc.write_archives(rows, path)).filter("type = 'request'")
+    coded = lambda u: re.sub("[\0\n\x0b\x0c\r\x85\u2028\u2029]", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), u)
+    assert Counter(r.uri for r in records.collect()) == Counter(coded(u) if u else None for u in urls)
+    assert b"Host: h.example:8080\r\n" in b"".join(bytes(r.block) for r in records.collect())
+
+
 def test_concurrent_to_in_either_direction(spark):
     rows = [("r1", "response", ["q1"], b"x"), ("q1", "request", [], b"q"), ("m1", "metadata", ["r1"], b"m"), ("m2", "metadata", ["gone"], b"o")]
     records = spark.createDataFrame(rows, "record_id string, type string, concurrent_to array<string>, block binary").withColumns(

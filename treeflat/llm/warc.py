@@ -13,7 +13,8 @@ returned with ``complete`` false, never silently cut.
 
 Assembly.  Requests and metadata are joined to responses through the concurrent-to identifiers, in either direction.
 
-Defined results: null html is an empty payload, a null url is left out, a null page id is the smallest and empty in the archive;
+Defined results: null html is an empty payload, a null url is left out, of any other url (no check is made of it) NUL and line breaks of
+every kind are written percent-encoded, a null page id is the smallest and empty in the archive;
 rows given twice are captures of their own (the second a revisit of the first: of equal page ids the last row read is the response).
 Requests or metadata without a response give a capture whose ``response`` is null.
 """
@@ -50,6 +51,13 @@ def _field(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
 
 
+def _one_line(url: Column) -> Column:
+    """What would end a field, or look like a line end to a reader of other line ends, percent-encoded as UTF-8."""
+    for sign in "\0\n\x0b\x0c\r\x85\u2028\u2029":
+        url = F.replace(url, F.lit(sign), F.lit("".join(f"%{b:02X}" for b in sign.encode())))
+    return url
+
+
 def _record(mark: str, kind: Column, urn: Column, fields: list[Column], block: Column) -> Column:
     head = [F.lit(f"WARC/1.1{CRLF}Archive-Mark: {mark}{CRLF}"), _field("WARC-Type", kind), _field("WARC-Record-ID", F.concat(F.lit("<"), urn, F.lit(">")))]
     return F.concat(*head, *fields, _field("Content-Length", F.octet_length(block).cast("string")), F.lit(CRLF), block)
@@ -63,8 +71,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     spark = pages.sparkSession
     source = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        # line ends in a field would end the field
-        F.translate(F.regexp_replace(F.regexp_replace(F.col("url").cast("string"), "\r", "%0D"), "\n", "%0A"), "\0", "").alias("url"),
+        _one_line(F.col("url").cast("string")).alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
         F.monotonically_increasing_id().alias("row"),
     )
@@ -94,7 +101,8 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     )
     again = F.col("again")
     uri, when = _field("WARC-Target-URI", F.col("url")), _field("WARC-Date", F.lit(date))
-    host = F.coalesce(F.parse_url(F.when(F.col("url").rlike("^https?://[A-Za-z0-9.:-]+(/[^ ]*)?$"), F.col("url")), F.lit("HOST")), F.lit(""))
+    # not parse_url: URLs as crawled need not be what java.net.URI takes
+    host = F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit(""))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}{CRLF}"), F.when(again, "").otherwise(F.col("html")))
     answer = _record(mark, F.when(again, "revisit").otherwise("response"), F.col("main"), [
         when, uri, _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
@@ -116,20 +124,26 @@ def read_records(spark: SparkSession, path: str, mark: str | None = None) -> Dat
     raw = spark.read.option("lineSep", separator).text(path).filter(F.octet_length("value") > 0)
     cut = raw.select("value", F.substring_index("value", CRLF * 2, 1).alias("head"))
 
+    # a field ends at CR LF and nowhere else
+    pattern = r"(?is)(?:\A|(?<=\r\n)){name}:[ \t]*(.*?)[ \t]*(?=\r\n|\z)"
+
     def field(name: str) -> Column:
-        got = F.regexp_extract("head", rf"(?mi)^{name}:[ \t]*<?([^\r\n>]*)", 1)
+        got = F.regexp_extract("head", pattern.format(name=name), 1)
         return F.when(got != "", got)
 
+    def bare(urn: Column) -> Column:
+        return F.regexp_replace(urn, "^<|>$", "")
+
     length = F.coalesce(field("Content-Length").try_cast("int"), F.lit(-1))
     start = F.octet_length("head") + 5
     data = F.col("value").cast("binary")
     return cut.select(
-        field("WARC-Record-ID").alias("record_id"),
+        bare(field("WARC-Record-ID")).alias("record_id"),
         F.lower(field("WARC-Type")).alias("type"),
         field("WARC-Date").alias("date"),
         field("WARC-Target-URI").alias("uri"),
-        F.regexp_extract_all("head", F.lit(r"(?mi)^WARC-Concurrent-To:[ \t]*<?([^\r\n>]*)"), 1).alias("concurrent_to"),
-        field("WARC-Refers-To").alias("refers_to"),
+        F.transform(F.regexp_extract_all("head", F.lit(pattern.format(name="WARC-Concurrent-To")), 1), bare).alias("concurrent_to"),
+        bare(field("WARC-Refers-To")).alias("refers_to"),
         field("WARC-Payload-Digest").alias("digest"),
         field("Content-Type").alias("content_type"),
         F.substring(data, start, F.greatest(length, F.lit(0))).alias("block"),
