@@ -203,15 +203,67 @@ def broken_corpus(spark, sf_dir) -> str:
 
 
 def closings_corpus(spark, sf_dir) -> str:
-    """Documents as records that end in all the spellings XML allows, a fifth each; the last fifth has its id deeper, beside a false one in CDATA."""
+    """Documents as records that end in all the spellings XML allows, a seventh each.
+
+    The fifth seventh has its id deeper, beside a false one in CDATA; the sixth holds closing tags in CDATA, the last in a comment.  Documents with
+    an id that 3 divides are in files of their own, in which every record ends with a prefix.
+    """
     docs = documents(spark, sf_dir)
     uid, text = _element("UID", F.col("id")), _element("text", clean("text"))
     deep = F.concat(F.lit("<meta><t><![CDATA[<UID>fake</UID>]]></t>"), uid, F.lit("</meta>"))
-    form = F.col("doc_id") % 5
-    start = F.when(form == 2, "<x:REC>").otherwise("<REC>")
-    end = F.when(form == 1, "</REC >").when(form == 2, "</x:REC>").when(form == 3, "</REC\t>").otherwise("</REC>")
-    rec = docs.select(F.concat(start, F.when(form == 4, deep).otherwise(uid), text, end).alias("value"))
-    return once(spark, sf_dir, "closings", lambda p: write_wrapped(rec, p, '<records xmlns:x="urn:x">', "</records>"))
+    hidden = F.concat(uid, F.lit("<c><![CDATA[ </REC> <!-- <REC><UID>no</UID></x:REC> ]]></c>"))
+    remark = F.concat(uid, F.lit("<!-- </REC> <![CDATA[ </x:REC> -->"))
+    form, prefixed = F.col("doc_id") % 7, F.col("doc_id") % 3 == 0
+    start = F.when((form == 2) | prefixed, "<x:REC>").otherwise("<REC>")
+    end = F.when(prefixed, "</x:REC>").when(form == 1, "</REC >").when(form == 2, "</x:REC>").when(form == 3, "</REC\t>").otherwise("</REC>")
+    own = F.when(form == 4, deep).when(form == 5, hidden).when(form == 6, remark).otherwise(uid)
+    rec = docs.select(F.concat(start, own, text, end).alias("value"), prefixed.alias("prefixed"))
+
+    def write(path):
+        for apart in (False, True):
+            write_wrapped(rec.filter(F.col("prefixed") == apart), f"{path}/prefixed={apart}", '<records xmlns:x="urn:x">', "</records>")
+
+    return once(spark, sf_dir, "closings", write)
+
+
+#: By remainder of the id: encoding, what the declaration says, what the text may not hold in it.
+ENCODINGS = [
+    ("UTF-8", "", None),
+    ("ISO-8859-1", '<?xml version="1.0" encoding="iso-8859-1"?>', r"[^\x{0}-\x{FF}]"),
+    ("UTF-16LE", '<?xml version="1.0" encoding="UTF-16"?>', None),
+    ("windows-1252", "<?xml version='1.0' encoding='Windows-1252'?>", r"[^\x{0}-\x{7F}\x{A0}-\x{FF}\x{20AC}\x{2013}\x{2014}\x{2018}\x{2019}\x{201C}\x{201D}\x{2026}]"),
+    ("UTF-16BE", '<?xml version="1.0"?>', None),
+]
+
+
+def encodings_corpus(spark, sf_dir) -> str:
+    """Documents in files of five encodings, declared or marked as XML has it."""
+    docs = documents(spark, sf_dir)
+    marks = {"UTF-16LE": "\ufeff", "UTF-16BE": "\ufeff"}
+    windows = {c: bytes(c, "cp1252").decode("latin-1") for c in "\u20ac\u2013\u2014\u2018\u2019\u201c\u201d\u2026"}
+
+    def write(path):
+        for k, (encoding, declaration, foreign) in enumerate(ENCODINGS):
+            text = clean("text") if foreign is None else F.regexp_replace(clean("text"), foreign, "?")
+            rec = docs.filter(F.pmod(F.col("doc_id"), F.lit(len(ENCODINGS))) == k).select(
+                F.concat(F.lit("<REC>"), _element("UID", F.concat(F.col("id"), F.lit("\u00e9"))), _element("text", text), F.lit("</REC>")).alias("value")
+            )
+
+            def wrap(batches, head=marks.get(encoding, "") + declaration + "<records>"):
+                yield pa.RecordBatch.from_pydict({"value": [head]})
+                yield from batches
+                yield pa.RecordBatch.from_pydict({"value": ["</records>"]})
+
+            value = F.col("value")
+            if encoding == "windows-1252":
+                value = F.encode(F.translate(value, "".join(windows), "".join(windows.values())), "ISO-8859-1")
+            else:
+                value = F.encode(value, encoding)
+            written = rec.mapInArrow(wrap, "value string").select(value.cast("string").alias("value"))
+            # the separator in the file's encoding, too
+            written.write.option("encoding", encoding if encoding.startswith("UTF-16") else "UTF-8").option("lineSep", "\n").text(f"{path}/e={k}")
+
+    return once(spark, sf_dir, "encodings", write)
 
 
 def gated_corpus(spark, sf_dir) -> str:

@@ -195,14 +195,28 @@ def record_ids_and_hash(spark, sf):
 
 
 @query("closing_forms", r"""SELECT 'DOC:' || doc_id AS uid,
-  sha256('<REC>' || CASE WHEN doc_id % 5 = 4 THEN '<meta><t><![CDATA[<UID>fake</UID>]]></t><UID>DOC:' || doc_id || '</UID></meta>'
-                         ELSE '<UID>DOC:' || doc_id || '</UID>' END || '<text>' ||
+  sha256('<REC>' || CASE WHEN doc_id % 7 = 4 THEN '<meta><t><![CDATA[<UID>fake</UID>]]></t><UID>DOC:' || doc_id || '</UID></meta>'
+                         ELSE '<UID>DOC:' || doc_id || '</UID>' END ||
+         CASE WHEN doc_id % 7 = 5 THEN '<c><![CDATA[ </REC> <!-- <REC><UID>no</UID></x:REC> ]]></c>' ELSE '' END || '<text>' ||
   replace(replace(replace(replace(replace(regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g'),
     '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(13), '&#13;') || '</text></REC>') AS record_hash
 FROM documents""")
 def closing_forms(spark, sf):
-    """Every record, whatever the spelling of its closing tag or the place of its id."""
-    return R.read_records(spark, C.closings_corpus(spark, sf)).select("uid", "record_hash")
+    """Every record, whatever the spelling of its closing tag or the place of its id, and whatever CDATA and comments hold."""
+    return R.read_any(spark, C.closings_corpus(spark, sf), recursive=True, glob="*.txt").select("uid", "record_hash")
+
+
+@query("declared_encodings", r"""WITH clean AS (
+  SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g') AS t FROM documents),
+held AS (
+  SELECT doc_id, CASE doc_id % 5 WHEN 1 THEN regexp_replace(t, '[^\x{0}-\x{FF}]', '?', 'g')
+    WHEN 3 THEN regexp_replace(t, '[^\x{0}-\x{7F}\x{A0}-\x{FF}\x{20AC}\x{2013}\x{2014}\x{2018}\x{2019}\x{201C}\x{201D}\x{2026}]', '?', 'g') ELSE t END AS t FROM clean)
+SELECT 'DOC:' || doc_id || chr(233) AS uid, sha256('<REC><UID>DOC:' || doc_id || chr(233) || '</UID><text>' ||
+  replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(13), '&#13;') || '</text></REC>') AS record_hash
+FROM held""")
+def declared_encodings(spark, sf):
+    """Files in five encodings, read as each declares or marks its own."""
+    return R.read_any(spark, C.encodings_corpus(spark, sf), recursive=True, glob="*.txt").select("uid", "record_hash")
 
 
 @query("path_functions", f"""WITH {DOCS}

@@ -208,3 +208,39 @@ def test_record_fingerprint_ignores_order_but_not_content(spark):
 
     one, two, three = (files.record_fingerprints(f(*h)).first().file_md5 for h in (("a", "b", "b"), ("b", "a", "b"), ("a", "b")))
     assert one == two != three
+
+
+def test_unchanged_files_are_not_read(spark, tmp_path, job, monkeypatch):
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("1"))
+    write(src, "b", rec("2"))
+    for name in "ab":
+        os.utime(f"{src}/{name}.xml", (1_600_000_000, 1_600_000_000))
+    assert ingest(spark, src, job, "2024-01-01 00:00:00").counts == {"new": 2}
+    plain, seen = files.profiled, []
+    monkeypatch.setattr(files, "profiled", lambda spark, path, *a: seen.append(path) or plain(spark, path, *a))
+    assert ingest(spark, src, job).skipped and not seen
+    os.utime(f"{src}/a.xml", (1_600_000_001, 1_600_000_001))  # another time, the same content: read once more
+    assert ingest(spark, src, job).skipped and [p.rsplit("/")[-1] for p in seen.pop()] == ["a.xml"]
+    assert ingest(spark, src, job).skipped and not seen
+    write(src, "b", rec("2", words="<w>y</w>"))  # the same length, changed just now: not trusted until the time stamp has settled
+    assert ingest(spark, src, job, "2024-02-01 00:00:00").counts == {"changed": 1} and len(seen) == 1
+    write(src, "b", rec("2", words="<w>z</w>"))
+    assert ingest(spark, src, job, "2024-03-01 00:00:00").counts == {"changed": 1} and len(seen) == 2
+    assert ingest(spark, src, job, "2024-04-01 00:00:00", force=True).counts == {"unchanged": 2}
+
+
+def test_run_over_odd_files(spark, tmp_path, job, collect):
+    """Hidden closing tags, a declared encoding, an own closing tag; a file in an unknown encoding goes to the dead letters."""
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("1", words="<w><![CDATA[a</REC>b]]></w>"), rec("2", words="<w>c<!-- </REC> --></w>"), rec("3"))
+    with open(f"{src}/b.xml", "wb") as f:
+        f.write(('<?xml version="1.0" encoding="ISO-8859-15"?><records>' + rec("4", words="<w>\u20ac</w>") + "</records>").encode("iso-8859-15"))
+    with open(f"{src}/c.xml", "wb") as f:
+        f.write(b'<?xml version="1.0" encoding="x-none"?><records>' + rec("5").encode() + b"</records>")
+    write(src, "d", *(rec(str(i)).replace("REC", "x:REC") for i in (6, 7)))
+    report = ingest(spark, src, job, "2024-01-01 00:00:00")
+    assert report.counts == {"new": 6} and report.dead_letters == 1
+    assert collect(job.store.read("word"), "id", "text") == [("1", "a</REC>b"), ("2", "c"), ("3", "x"), ("4", "\u20ac"), ("6", "x"), ("7", "x")]
+    letter = deadletter.read(spark, job.dead_letters).first() if hasattr(deadletter, "read") else spark.read.json(job.dead_letters, recursiveFileLookup=True).first()
+    assert letter.error == "unknown encoding X-NONE" and "c.xml" in letter.row

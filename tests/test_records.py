@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from treeflat.sources import records as R
+from treeflat.sources import files, records as R
 
 
 def rec(uid, body="<v>1</v>"):
@@ -145,3 +145,76 @@ def test_recursive_glob(spark, tmp_path, collect):
     (tmp_path / "sub" / "b.xml").write_text("<r>" + rec("B") + "</r>")
     (tmp_path / "sub" / "c.txt").write_text("<r>" + rec("C") + "</r>")
     assert collect(R.read_records(spark, str(tmp_path), recursive=True, glob="*.xml"), "uid") == [("A",), ("B",)]
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+HIDDEN = ["<c><![CDATA[ </REC> ]]></c>", "<!-- </REC><REC> -->", "<c><![CDATA[<!-- </REC> ]]></c>", "<!-- <![CDATA[ </x:REC> --><v/>", "<c><![CDATA[]]]]><![CDATA[> </REC >]]></c>", "<v>]]&gt; --&gt;</v>", "", "",
+          "<c><![CDATA[" + " </REC> x" * 60 + "]]></c>", "<!--" + "</x:REC>\n" * 40 + "-->"]
+
+
+def test_closing_tags_in_cdata_and_comments(spark, xml_dir, collect, small_splits):
+    """Against the same records read one by one: chains inside a split, over one border and over several."""
+    bodies = [HIDDEN[(i * 7 + i // 10) % len(HIDDEN)] + f"<v>{'é' * (i % 40)}</v>" for i in range(400)]
+    inner = ["<!-- </REC> between -->" if i % 11 == 0 else "\n" for i in range(400)]
+    path = xml_dir(a="<r>" + "".join(g + rec(i, b) for i, (g, b) in enumerate(zip(inner, bodies))) + "</r>", b="<r>" + "".join(rec(f"b{i}") for i in range(50)) + "</r>")
+    fragments = R.read_fragments(spark, path)
+    whole = R.mended(fragments)
+    got = dict(collect(R.split_records(whole), "uid", "xml"))
+    import re
+
+    plain = lambda x: re.sub(r"(?s)(<!\[CDATA\[.*?\]\]>)|<!--.*?-->", lambda m: m[1] or "", x)
+    want = {str(i): plain(rec(i, b)) for i, b in enumerate(bodies)} | {f"b{i}": rec(f"b{i}") for i in range(50)}
+    assert got == want
+    assert R.split_failures(whole).count() == 0 and R.truncated_tails(whole).count() == 0
+    untouched = R.read_fragments(spark, f"{path}/b.xml")
+    assert R.mended(untouched) is untouched
+
+
+@pytest.mark.parametrize("opening", ["<![CDATA[", "<!--"])
+def test_what_never_closes_costs_its_record_only(spark, xml_dir, collect, small_splits, opening):
+    text = "<r>" + rec(1, "<c><![CDATA[</REC>]]></c>") + rec(2, opening) + "".join(rec(i) for i in range(3, 200)) + "</r>"
+    got = [u for (u,) in collect(R.split_records(R.mended(R.read_fragments(spark, xml_dir(a=text)))), "uid")]
+    assert set(map(str, [1, *range(3, 200)])) <= set(got) and len(got) == len(set(got))
+
+
+def test_files_by_their_own_encoding_and_closing_tag(spark, tmp_path, small_splits):
+    head = '<?xml version="1.0" encoding="{}"?>\n<r>'
+    sample = {"utf-8": "日é", "iso-8859-1": "é", "iso-8859-15": "€é", "windows-1251": "Жé".replace("é", "ы"), "shift_jis": "日本ソ", "gb18030": "中é", "euc-kr": "한"}
+    want = {}
+
+    def write(name, encoding, letter, declared, bom=b"", closing="</REC>", text_head=head):
+        recs = "".join(f"<{closing[2:-1].strip()}><UID>{name}{i}{letter}</UID><v>{letter * (i % 30)}</v>{closing}" for i in range(60))
+        (tmp_path / f"{name}.xml").write_bytes(bom + (text_head.format(declared) + recs + "</r>").encode(encoding))
+        want.update({f"{name}{i}{letter}": f"<REC><UID>{name}{i}{letter}</UID><v>{letter * (i % 30)}</v></REC>" for i in range(60)})
+
+    for k, (encoding, letter) in enumerate(sample.items()):
+        write(f"f{k}", encoding, letter, encoding.upper())
+    write("le", "utf-16-le", "日é", "UTF-16", b"\xff\xfe")
+    write("be", "utf-16-be", "日é", "UTF-16", b"\xfe\xff")
+    write("bom", "utf-8", "日", "utf-8", b"\xef\xbb\xbf")
+    write("bare", "utf-8", "é", "", text_head="<r>")
+    write("pre", "utf-8", "é", "utf-8", closing="</x:REC>")
+    write("gap", "utf-8", "é", "utf-8", closing="</REC >")
+    assert {r.uid: r.xml for r in R.read_any(spark, str(tmp_path)).collect()} == want
+    profile = {r.file_path.rsplit("/")[-1]: r for r in files.profiled(spark, str(tmp_path)).collect()}
+    assert profile["pre.xml"].closing == "</x:REC>" and profile["gap.xml"].closing == "</REC >" and profile["le.xml"].closing is None
+    fragments, refused = R.read_profiled(spark, files.profiled(spark, str(tmp_path), "pre.xml"))
+    assert fragments.rdd.getNumPartitions() > 2 and refused.count() == 0 and R.truncated_tails(fragments).count() == 0
+    assert R.split_records(fragments).where("uid is not null").count() == 60
+
+
+def test_unknown_encoding(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<?xml version="1.0" encoding="x-none"?><r>' + rec(1) + "</r>")
+    (tmp_path / "b.xml").write_text("<r>" + rec(2) + "</r>")
+    fragments, refused = R.read_profiled(spark, files.profiled(spark, str(tmp_path)))
+    assert [r.uid for r in R.split_records(fragments).collect()] == ["2"]
+    assert [(r.source_file.rsplit("/")[-1], r.error) for r in refused.collect()] == [("a.xml", "unknown encoding X-NONE")]
+    with pytest.raises(ValueError, match="X-NONE"):
+        R.read_any(spark, str(tmp_path))

@@ -16,7 +16,10 @@ from treeflat.sinks import tables as sinks
 from treeflat.sinks.store import Store
 from treeflat.sources import files, records as source
 
-RECORD_REGISTRY, FILE_REGISTRY = "record_registry", "file_registry"
+RECORD_REGISTRY, FILE_REGISTRY, FILE_PROFILES = "record_registry", "file_registry", "file_profiles"
+PROFILE_SCHEMA = "file_path string, length bigint, modified timestamp, file_md5 string, charset string, closing string"
+#: A file changed less than this before it was read may change again within the same time stamp: its profile is not kept.
+SETTLED = "INTERVAL 2 SECONDS"
 
 
 @dataclass
@@ -32,7 +35,7 @@ class Job:
     file_numbers: DataFrame | None = None
     dead_letters: str | None = None
     writers: int = 4
-    encoding: str | None = None
+    encoding: str | None = None  # of files that declare another, or none, than they are in
 
     def __post_init__(self):
         self.contracts = self.contracts.augmented(self.mapping.root_table)
@@ -64,28 +67,68 @@ def ingest(
     contract or parser they are new, and all others are unchanged.
     """
     stamp = run_ts or now_utc()
-    prints = staged(files.fingerprints(spark, paths, glob, recursive), "fingerprints")
+    prints, profiled = profile(spark, paths, job, recursive, glob, force)
     known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
-    # The scan needs the list of paths on the driver, as any file scan does.
-    todo = [files.as_pattern(r[0]) for r in (prints if force else upkeep.missing_files(prints, known)).select("file_path").orderBy("file_path").collect()]
-    if not todo:
+    todo = prints if force else prints.join(upkeep.missing_files(prints, known).select("file_path"), "file_path", "left_semi")
+    if job.encoding:
+        todo = todo.withColumn("charset", F.lit(job.encoding))
+    fragments, refused = source.read_profiled(spark, todo, job.record_tag, job.id_tag)
+    if fragments is None and refused.isEmpty():
+        if profiled is not None:  # other time stamps, the same contents
+            change = job.store.begin()
+            keep_profiles(change, profiled)
+            change.publish()
         return Report(skipped=True)
-    fragments = source.read_fragments(spark, todo, job.record_tag, job.id_tag, encoding=job.encoding)
-    return ingest_fragments(fragments, job, stamp, prints)
+    if fragments is None:
+        nothing = spark.createDataFrame([], "value string, source_file string, file_size long, block long")
+        fragments = source.cut_fragments(nothing, job.record_tag, job.id_tag)
+    return ingest_fragments(fragments, job, stamp, prints, profiled, refused)
 
 
-def ingest_fragments(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None) -> Report:
+def profile(spark: SparkSession, paths, job: Job, recursive: bool, glob: str, force: bool) -> tuple[DataFrame, DataFrame | None]:
+    """The files' profiles (see :func:`treeflat.sources.files.profiled`), and of these the ones that were made now.
+
+    A file whose path, length and time are those of a kept profile is not read.
+    """
+    found = files.listed(spark, paths, glob, recursive)
+    kept = job.store.read(FILE_PROFILES, PROFILE_SCHEMA)
+    on = ["file_path", "length", "modified"]
+    columns = [f.split()[0] for f in PROFILE_SCHEMA.split(", ")]
+    same = None
+    if not force and FILE_PROFILES in job.store.tables():
+        # The scan needs the list of paths on the driver, as any file scan does.
+        fresh = [files.as_pattern(r[0]) for r in found.join(kept, on, "left_anti").select("file_path").orderBy("file_path").collect()]
+        same = kept.join(found, on, "left_semi").select(*columns)
+        if not fresh:
+            return same, None
+        paths, recursive = fresh, False
+    made = staged(files.profiled(spark, paths, glob, recursive, job.record_tag).select(*columns, F.current_timestamp().alias("read_at")), "profiles")
+    prints = made.select(*columns)
+    return (prints if same is None else prints.unionByName(same)), made
+
+
+def keep_profiles(change, made: DataFrame) -> None:
+    settled = made.where(F.col("modified") < F.col("read_at") - F.expr(SETTLED)).drop("read_at")
+    change.upsert(FILE_PROFILES, settled, made.select("file_path"), "file_path")
+
+
+def ingest_fragments(
+    fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None, profiled: DataFrame | None = None, refused_files: DataFrame | None = None
+) -> Report:
     """One run over fragments (see :func:`treeflat.sources.records.read_fragments`)."""
     with exact_names(fragments.sparkSession):
-        return _run(fragments, job, run_ts, prints)
+        return _run(fragments, job, run_ts, prints, profiled, refused_files)
 
 
-def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None) -> Report:
+def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None, profiled: DataFrame | None, refused_files: DataFrame | None) -> Report:
     m = job.mapping
     stamp = F.lit(run_ts).cast("timestamp")
 
     # Pass 1 reads the input for ids, hashes and failures; the registry join moves no record text.
     scan = staged(source.light_scan(fragments, job.record_tag), "scan")
+    whole = source.mended(fragments, job.record_tag, job.id_tag, scan)
+    if whole is not fragments:
+        fragments, scan = whole, staged(source.light_scan(whole, job.record_tag), "scan")
     tails = staged(source.truncated_tails(scan, job.record_tag), "tails")
     cut_off = bool(tails.take(1))
     keys = scan.where("uid is not null").select("uid", "record_hash", "source_file", "pos")
@@ -123,6 +166,9 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None)
 
     lost = source.split_failures(fragments, job.record_tag, job.id_tag, tails if cut_off else None, scan)
     letters = [lost.withColumn("pipeline_step", F.lit("SplitXMLRecords")), *unreadable(parsed, walked, job), *refused]
+    if refused_files is not None:
+        unread = refused_files.select(F.lit(None).cast("string").alias("record_id"), F.to_json(F.struct("source_file")).alias("row"), "error", F.lit("LookupError").alias("error_type"))
+        letters.append(unread.withColumn("pipeline_step", F.lit("ReadFiles")))
     dead = staged(deadletter.enriched(deadletter.unified(letters), run_ts), "letters")
     n_dead = dead.count()
     if n_dead and job.dead_letters:
@@ -144,6 +190,8 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None)
             "file_path", "file_md5", stamp.alias("processed_at"), F.coalesce("record_count", F.lit(0)).alias("record_count")
         )
         change.upsert(FILE_REGISTRY, rows, rows.select("file_path"), "file_path")
+    if profiled is not None:
+        keep_profiles(change, profiled)
     return Report(version=change.publish(), counts=counts, dead_letters=n_dead)
 
 

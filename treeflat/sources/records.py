@@ -2,32 +2,105 @@
 
 from __future__ import annotations
 
+import codecs
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from treeflat.functions.text import blank_to_null, sha256_hex, strip_space
-from treeflat.sources.files import plain_path
+from treeflat.session import ship_with_tasks, staged
+from treeflat.sources.files import as_pattern, plain_path, profiled
+
+ship_with_tasks(__name__)
 
 #: The fallback looks for this descendant in any name space.
 FALLBACK_ID = "UID"
 _PREFIX = r"(?:[^\s<>:/]++:)?"
 
 
+#: Encodings of several bytes a character in which no byte of one looks like ``<`` or ``>``.
+_MULTIBYTE = {"gb18030", "gbk", "gb2312", "big5", "big5hkscs", "shift_jis", "cp932", "euc_jp", "euc_kr", "cp949"}
+#: Where a piece of text ends: in text, in a CDATA section, in a comment.
+_TEXT, _CDATA, _COMMENT = 0, 1, 2
+
+
 def read_fragments(
     spark: SparkSession, paths, record_tag: str = "REC", id_tag: str = "UID", recursive: bool = False,
-    glob: str | None = None, encoding: str | None = None,
+    glob: str | None = None, encoding: str | None = None, closing: str | None = None,
 ) -> DataFrame:
     """Text up to each closing record tag, with its origin, the record in it and its id.
 
-    The closing tag is the line separator, so Spark cuts large files into splits at record
+    The closing tag (``closing``, if it has another spelling in these files) is the line separator, so Spark cuts large files into splits at record
     ends and no task holds more than a split.  ``pos`` grows in file order.  Files in an
-    ``encoding`` other than UTF-8 that writes the tag in ASCII bytes are decoded.
+    ``encoding`` other than UTF-8 are decoded.  A closing tag inside CDATA or a comment ends a fragment, too: :func:`mended` joins such fragments.
     """
-    reader = spark.read.option("lineSep", f"</{record_tag}>").option("recursiveFileLookup", recursive)
+    kind = charset_kind(encoding)
+    if kind is None:
+        raise ValueError(f"unknown encoding {encoding}")
+    reader = spark.read.option("lineSep", closing or f"</{record_tag}>").option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return cut_fragments(with_origin(reader.text(paths)), record_tag, id_tag, encoding)
+    if kind == "utf-16":
+        reader = reader.option("encoding", encoding)  # of the separator's bytes
+    return cut_fragments(with_origin(reader.text(paths)), record_tag, id_tag, encoding, closing)
+
+
+def read_profiled(spark: SparkSession, profile: DataFrame, record_tag: str = "REC", id_tag: str = "UID") -> tuple[DataFrame | None, DataFrame]:
+    """Fragments of the files of a profile (see :func:`treeflat.sources.files.profiled`), each file by its own encoding and closing tag.
+
+    Files are read in groups of one encoding and closing tag.  The second table has ``source_file, error`` of files
+    in an encoding that is not known; they are not read.
+    """
+    groups: dict[tuple, list[str]] = {}
+    refused = []
+    # the scan needs the list of paths on the driver, as any file scan does
+    for r in profile.select("file_path", "charset", "closing").orderBy("file_path").collect():
+        if charset_kind(r["charset"]) is None:
+            refused.append((r["file_path"], f"unknown encoding {r['charset']}"))
+        else:
+            groups.setdefault((r["charset"], r["closing"]), []).append(as_pattern(r["file_path"]))
+    parts = [read_fragments(spark, paths, record_tag, id_tag, encoding=charset, closing=closing) for (charset, closing), paths in groups.items()]
+    return (reduce(DataFrame.unionByName, parts) if parts else None), spark.createDataFrame(refused, "source_file string, error string")
+
+
+def charset_kind(name: str | None) -> str | None:
+    """How an encoding is decoded: ``utf-8`` (as it is), ``utf-16``, ``single`` (a byte a character), ``multiple``; None if it is not known."""
+    if name is None:
+        return "utf-8"
+    try:
+        known = codecs.lookup(name).name
+        # a declaration that could be read as ASCII cannot be in UTF-16
+        if known in ("utf-8", "ascii", "utf-16"):
+            return "utf-8"
+        if known in ("utf-16-le", "utf-16-be"):
+            return "utf-16"
+        if known in _MULTIBYTE:
+            return "multiple"
+        low, high = bytes(range(128)).decode(known), bytes(range(128, 256)).decode(known, "replace")
+    except (LookupError, UnicodeError):
+        return None
+    return "single" if low == bytes(range(128)).decode("ascii") and len(high) == 128 else None
+
+
+def decoded(value: Column, encoding: str | None) -> Column:
+    """The text of raw bytes that a text source has taken for UTF-8."""
+    kind, data = charset_kind(encoding), value.cast("binary")
+    if kind == "utf-8":
+        return value
+    if kind == "utf-16":
+        return F.decode(data, encoding)
+    if kind == "single":
+        latin = F.decode(data, "ISO-8859-1")
+        high = bytes(range(128, 256))
+        own, plain = high.decode(encoding, "replace"), high.decode("latin-1")
+        return latin if own == plain else F.translate(latin, plain, own)
+
+    @F.pandas_udf("string")
+    def multiple(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda b: None if b is None else bytes(b).decode(encoding, "replace"))
+
+    return multiple(data)
 
 
 def with_origin(text: DataFrame) -> DataFrame:
@@ -40,36 +113,128 @@ def with_origin(text: DataFrame) -> DataFrame:
     )
 
 
-def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID", encoding: str | None = None) -> DataFrame:
-    """Add ``n_bytes``, ``pos``, ``xml`` (NULL where no record starts) and ``uid`` (NULL where there is none).
+def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID", encoding: str | None = None, closing: str | None = None) -> DataFrame:
+    """Add ``ending``, ``n_bytes``, ``pos``, ``xml`` (NULL where no record starts) and ``uid`` (NULL where there is none).
 
-    Records that end with another spelling of the closing tag (a prefix, white space before ``>``) are cut
-    here; a file with no other ends is not split, unless ``record_tag`` names the prefix.
-    ``n_bytes`` counts a piece with its closing tag, the line separator where it has no other.
+    Records that end with another spelling of the closing tag than ``closing`` (a prefix, white space before ``>``) are cut
+    here.  ``n_bytes`` counts a line with its separator, at the line's first piece; ``ending`` is the closing tag of a piece.
 
     The rest sits in one projection.  The position is not deterministic for Catalyst, so later
     filters stay above it and the text is searched once per fragment.
     """
-    value = F.col("value") if encoding is None else F.decode(F.col("value").cast("binary"), encoding)
-    closing = rf"</(?:[^\s<>:/]+:)?{_name(record_tag)}\s*>"
-    pieces = F.regexp_extract_all(value, F.lit(rf"(?s).+?(?:{closing}|\z)"), F.lit(0))
+    separator = closing or f"</{record_tag}>"
+    n_separator = len(separator.encode(encoding if charset_kind(encoding) == "utf-16" else "utf-8"))
+    value = decoded(F.col("value"), encoding)
+    spelled = rf"</(?:[^\s<>:/]+:)?{_name(record_tag)}\s*>"
+    pieces = F.regexp_extract_all(value, F.lit(rf"(?s).+?(?:{spelled}|\z)"), F.lit(0))
     unusual = F.contains(value, F.lit(f"</{record_tag}")) | F.contains(value, F.lit(f":{record_tag}"))
     rest = [c for c in raw.columns if c != "value"]
-    cut = raw.select(*rest, F.explode(F.when(unusual, pieces).otherwise(F.array(value))).alias("#piece"))
-    text = F.regexp_replace("#piece", rf"{closing}\z", "")
-    closed = F.when(F.contains("#piece", F.lit(record_tag)), text).otherwise(F.col("#piece"))
-    size = F.octet_length("#piece" if encoding is None else F.encode("#piece", encoding))
-    raw = cut.select(closed.alias("value"), *rest, size.alias("#size"), F.col("#piece"))
-    own = F.octet_length("value") != F.octet_length("#piece")
+    lines = raw.select(*rest, F.octet_length(F.col("value").cast("binary")).alias("#size"), F.when(unusual, pieces).otherwise(F.array(value)).alias("#pieces"))
+    cut = lines.select(*rest, "#size", F.size("#pieces").alias("#count"), F.posexplode("#pieces").alias("#at", "#piece"))
+    own = F.when(F.contains("#piece", F.lit(record_tag)), F.regexp_extract("#piece", rf"{spelled}\z", 0)).otherwise(F.lit(""))
+    cut = cut.select(*rest, "#size", "#count", "#at", "#piece", own.alias("#own"))
+    ended = F.col("#own") != ""
+    text = F.when(ended, F.left("#piece", F.char_length("#piece") - F.char_length("#own"))).otherwise(F.col("#piece"))
+    # the line's separator counts unless its last piece ends otherwise
+    size = F.when(F.col("#at") == 0, F.col("#size")).otherwise(0) + F.when((F.col("#at") == F.col("#count") - 1) & ~ended, n_separator).otherwise(0)
+    fragments = cut.select(
+        text.alias("value"), *rest, F.when(ended, F.col("#own")).otherwise(F.lit(separator)).alias("ending"), size.alias("n_bytes"), F.monotonically_increasing_id().alias("pos")
+    )
+    return _with_record(fragments, record_tag, id_tag)
+
+
+def _with_record(fragments: DataFrame, record_tag: str, id_tag: str) -> DataFrame:
     xml = _record_text(F.col("value"), record_tag)
-    return raw.select(
-        "value",
-        *rest,
-        (F.col("#size") + F.when(own, 0).otherwise(len(f"</{record_tag}>".encode()))).alias("n_bytes"),
-        F.monotonically_increasing_id().alias("pos"),
-        xml.alias("xml"),
-        record_id(xml, record_tag, id_tag).alias("uid"),
+    return fragments.select(*fragments.columns, xml.alias("xml"), record_id(xml, record_tag, id_tag).alias("uid"))
+
+
+def _open_after(text: Column) -> Column:
+    """The state in which a text ends that begins as plain text."""
+    rest = F.regexp_replace(text, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", " ")
+    cdata, comment = F.instr(rest, F.lit("<![CDATA[")), F.instr(rest, F.lit("<!--"))
+    state = F.when((cdata == 0) & (comment == 0), _TEXT).when((comment == 0) | (cdata > 0) & (cdata < comment), _CDATA).otherwise(_COMMENT)
+    return F.when(F.contains(text, F.lit("<!")), state).otherwise(_TEXT)
+
+
+def _state_map() -> list[Column]:
+    """For each state in which a fragment may begin, the state in which it ends."""
+    out = [_open_after(F.col("value")).alias("from_text")]
+    for state, name, mark in ((_CDATA, "from_cdata", "]]>"), (_COMMENT, "from_comment", "-->")):
+        at = F.instr("value", F.lit(mark))
+        rest = F.substring("value", at + 3, F.char_length("value"))
+        out.append(F.when(at == 0, state).otherwise(_open_after(rest)).alias(name))
+    return out
+
+
+def mended(fragments: DataFrame, record_tag: str = "REC", id_tag: str = "UID", scan: DataFrame | None = None) -> DataFrame:
+    """Fragments joined again where a closing tag that ended one lies in CDATA or in a comment.
+
+    Each fragment maps the state (text, CDATA, comment) in which it begins to that in which it ends.  The maps are composed
+    within each split, over the splits of a file on one small row per split, and give every fragment's state; those that
+    begin inside go to the fragment before.  Only files with a fragment that ends inside take part, and only
+    the texts of the fragments to join are moved.  What opens and never closes is left as it is: later records of the file survive.
+    ``scan`` is a staged :func:`light_scan`, so that nothing is read to find that nothing is to be done.
+    """
+    light = fragments.select("source_file", _open_after(F.col("value")).alias("open")) if scan is None else scan
+    odd = staged(light.where(F.col("open") != _TEXT).select("source_file").distinct(), "open-files")
+    if not odd.take(1):
+        return fragments
+    columns = fragments.columns
+    mine = fragments.join(odd, "source_file", "left_semi")
+    maps = staged(mine.select("source_file", "block", "pos", *_state_map()), "open-states")
+    # numbers only: a split has as many rows as record ends
+    splits = maps.groupBy("source_file", "block").applyInPandas(_composed, "source_file string, block long, states array<int>, heads array<long>")
+    begins = staged(splits.groupBy("source_file").applyInPandas(_followed, "source_file string, block long, state int, head long, stop long"), "open-splits")
+    states = maps.join(begins, ["source_file", "block"])
+    members = staged(states.groupBy("source_file", "block").applyInPandas(_chained, "source_file string, pos long, head long"), "open-chains")
+    parts = F.sort_array(F.collect_list(F.struct("pos", "value", "ending")))
+    chains = mine.join(members, ["source_file", "pos"]).groupBy("source_file", "head").agg(
+        parts.alias("parts"), F.min("block").alias("block"), F.max("file_size").alias("file_size"), F.sum("n_bytes").cast(fragments.schema["n_bytes"].dataType).alias("n_bytes")
     )
+    last = F.element_at("parts", -1)
+    text = F.array_join(F.transform("parts", lambda p: F.concat(p["value"], F.when(p["pos"] == last["pos"], "").otherwise(p["ending"]))), "")
+    joined = staged(chains.select(text.alias("value"), "source_file", "file_size", "block", last["ending"].alias("ending"), "n_bytes", last["pos"].alias("pos")), "open-joined")
+    left = fragments.join(members.select("source_file", "pos"), ["source_file", "pos"], "left_anti")
+    return left.select(*columns).unionByName(_with_record(joined, record_tag, id_tag).select(*columns))
+
+
+def _steps(pdf: pd.DataFrame):
+    ordered = pdf.sort_values("pos")
+    return zip(ordered["pos"].tolist(), ordered[["from_text", "from_cdata", "from_comment"]].values.tolist())
+
+
+def _composed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one split: the final state by first state, and the last fragment that begins as text (-1: none)."""
+    states, heads = [_TEXT, _CDATA, _COMMENT], [-1, -1, -1]
+    for pos, step in _steps(pdf):
+        heads = [pos if s == _TEXT else h for s, h in zip(states, heads)]
+        states = [step[s] for s in states]
+    return pd.DataFrame({"source_file": pdf["source_file"].iloc[:1], "block": pdf["block"].iloc[:1], "states": [states], "heads": [heads]})
+
+
+def _followed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of one file: state and open fragment at each split's begin; ``stop`` is the fragment after which nothing closes any more (-1: none)."""
+    ordered = pdf.sort_values("block")
+    state, head, out = _TEXT, -1, []
+    for states, heads in zip(ordered["states"], ordered["heads"]):
+        out.append((state, head))
+        head = head if heads[state] < 0 else heads[state]
+        state = states[state]
+    stop = head if state != _TEXT else -1
+    return pd.DataFrame({"source_file": ordered["source_file"].values, "block": ordered["block"].values, "state": [s for s, _ in out], "head": [h for _, h in out], "stop": stop})
+
+
+def _chained(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The fragments of a split that begin or end inside, with the fragment that their chain begins with."""
+    state, head, stop = (int(pdf[c].iloc[0]) for c in ("state", "head", "stop"))
+    out = []
+    for pos, step in _steps(pdf):
+        after = step[state]
+        head = pos if state == _TEXT else head
+        if (state != _TEXT or after != _TEXT) and not (stop >= 0 and head >= stop):
+            out.append((pos, head))
+        state = after
+    return pd.DataFrame({"source_file": pdf["source_file"].iloc[0], "pos": [p for p, _ in out], "head": [h for _, h in out]})
 
 
 def without_comments(col: Column) -> Column:
@@ -134,6 +299,20 @@ def read_records(
     return split_records(read_fragments(spark, paths, record_tag, id_tag, recursive, glob))
 
 
+def read_any(spark: SparkSession, paths, record_tag: str = "REC", id_tag: str = "UID", recursive: bool = False, glob: str = "*.xml") -> DataFrame:
+    """Records of files as they come: each file's declared encoding and own closing tag, closing tags in CDATA and comments.
+
+    One scan more than :func:`read_records` to find out.  An unknown encoding is an error here; a run sends such files to the dead letters.
+    """
+    fragments, refused = read_profiled(spark, profiled(spark, paths, glob, recursive, record_tag), record_tag, id_tag)
+    first = refused.first()
+    if first:
+        raise ValueError(f"{first['source_file']}: {first['error']}")
+    if fragments is None:
+        return spark.createDataFrame([], "uid string, xml string, record_hash string, source_file string, pos long")
+    return split_records(mended(fragments, record_tag, id_tag))
+
+
 def light_scan(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
     """What a run needs to know about every fragment, without the record texts.
 
@@ -147,6 +326,7 @@ def light_scan(fragments: DataFrame, record_tag: str = "REC") -> DataFrame:
         F.col("value").rlike(rf"<{_PREFIX}{_name(record_tag)}[\s>]").alias("starts"),
         F.when(F.col("uid").isNull(), F.col("xml")).alias("xml"),
         _hollow(record_tag).alias("hollow"),
+        _open_after(F.col("value")).alias("open"),
     )
 
 
