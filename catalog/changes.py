@@ -232,7 +232,7 @@ def _version(spark, sf, second: bool) -> str:
 
 
 def _job(spark) -> Job:
-    return Job(M.LINES, M.LINES_CONTRACTS, Store(spark, fresh_folder(spark, "store"), buckets=8))
+    return Job(M.LINES, M.LINES_CONTRACTS, Store(spark, fresh_folder(spark, "store")))
 
 
 AFTER = f"""after AS (

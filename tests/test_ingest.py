@@ -34,7 +34,7 @@ def rec(uid, year="2000", words="<w>x</w>", more=""):
 
 @pytest.fixture
 def job(spark, tmp_path):
-    return Job(MAPPING, CONTRACTS, Store(spark, f"file://{tmp_path}/store", 4), dead_letters=f"file://{tmp_path}/dead")
+    return Job(MAPPING, CONTRACTS, Store(spark, f"file://{tmp_path}/store"), dead_letters=f"file://{tmp_path}/dead")
 
 
 def write(folder, name, *recs, tail="</records>"):
@@ -117,6 +117,11 @@ def test_stream_reads_each_file_once(spark, tmp_path, job, collect):
     write(src, "b", rec("2", words="<w>new</w>"), rec("3"))
     ingest_stream(spark, src, job, ck, "2024-02-01 00:00:00")
     assert collect(job.store.read("word"), "id", "text") == [("1", "x"), ("2", "new"), ("3", "x")]
+    assert ingest(spark, src, job).skipped  # the stream's files are in the file registry
+    version = job.store.version()
+    assert job.store.last_batch(ck) == 1
+    assert ingest(spark, src, job, force=True, batch=(ck, 1)).skipped and job.store.version() == version  # a repeated batch
+    assert not ingest(spark, src, job, force=True, batch=(ck, 2)).skipped and job.store.last_batch(ck) == 2
 
 
 def test_fingerprints_of_any_size_and_split(spark, tmp_path):
@@ -186,7 +191,7 @@ def test_refused_roots_have_no_children_and_return_after_a_repair(spark, tmp_pat
     assert collect(job.store.read("word"), "id") == [("ok",)]
     assert [r.uid for r in job.store.read("record_registry").collect()] == ["ok"]
     job.contracts = Contracts.from_dict({t: [f for f in fs if f["name"] != "year"] for t, fs in RAW.items()}).augmented("doc")
-    job.store = Store(spark, f"file://{tmp_path}/store", 4)
+    job.store = Store(spark, f"file://{tmp_path}/store")
     assert ingest(spark, src, job).skipped
     again = ingest(spark, src, job, "2024-02-01 00:00:00", force=True)
     assert again.counts == {"new": 1, "unchanged": 1}

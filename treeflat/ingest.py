@@ -59,13 +59,18 @@ def now_utc() -> str:
 
 
 def ingest(
-    spark: SparkSession, paths, job: Job, run_ts: str | None = None, recursive: bool = False, glob: str = "*.xml", force: bool = False
+    spark: SparkSession, paths, job: Job, run_ts: str | None = None, recursive: bool = False, glob: str = "*.xml", force: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> Report:
     """Process the files not yet seen with this content, record by record.
 
+    ``batch`` is a stream's name and the number of its batch: published with the tables, and nothing is done for a number that was.
+
     ``force`` reads all files again: records in the dead letters are in no registry, so after a repair of mapping,
     contract or parser they are new, and all others are unchanged.
     """
+    if batch is not None and job.store.last_batch(batch[0]) >= batch[1]:
+        return Report(skipped=True)
     stamp = run_ts or now_utc()
     prints, profiled = profile(spark, paths, job, recursive, glob, force)
     known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
@@ -82,7 +87,7 @@ def ingest(
     if fragments is None:
         nothing = spark.createDataFrame([], "value string, source_file string, file_size long, block long")
         fragments = source.cut_fragments(nothing, job.record_tag, job.id_tag)
-    return ingest_fragments(fragments, job, stamp, prints, profiled, refused)
+    return ingest_fragments(fragments, job, stamp, prints, profiled, refused, batch)
 
 
 def profile(spark: SparkSession, paths, job: Job, recursive: bool, glob: str, force: bool) -> tuple[DataFrame, DataFrame | None]:
@@ -113,14 +118,20 @@ def keep_profiles(change, made: DataFrame) -> None:
 
 
 def ingest_fragments(
-    fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None, profiled: DataFrame | None = None, refused_files: DataFrame | None = None
+    fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None, profiled: DataFrame | None = None,
+    refused_files: DataFrame | None = None, batch: tuple[str, int] | None = None,
 ) -> Report:
     """One run over fragments (see :func:`treeflat.sources.records.read_fragments`)."""
     with exact_names(fragments.sparkSession):
-        return _run(fragments, job, run_ts, prints, profiled, refused_files)
+        report = _run(fragments, job, run_ts, prints, profiled, refused_files, batch)
+        job.store.fold()
+        return report
 
 
-def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None, profiled: DataFrame | None, refused_files: DataFrame | None) -> Report:
+def _run(
+    fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None, profiled: DataFrame | None, refused_files: DataFrame | None,
+    batch: tuple[str, int] | None,
+) -> Report:
     m = job.mapping
     stamp = F.lit(run_ts).cast("timestamp")
 
@@ -149,13 +160,13 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None,
     refused_ids = refused_roots(parsed, walked, job, stamp)
     change = job.store.begin()
     ids = wanted.select("uid")
-    touched = change.touched(ids, "uid")
+    replaced = change.replaced(ids)
 
     def write(table: str):
         rows = kept_rows(parsed, walked, job, table, stamp, refused_ids)
         contract = job.contracts[table]
         checked = validate.checked(rows, contract)
-        change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", touched)
+        change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", replaced)
         # Tables that cannot refuse a row are not read a second time.
         if not validate.may_refuse(contract, m, table) or not validate.failed(checked).take(1):
             return None
@@ -181,7 +192,7 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None,
         done = done.join(walked.where("error is not null").select("uid"), "uid", "left_anti")
     if refused_ids is not None:
         done = done.join(refused_ids.select(F.col("id").alias("uid")), "uid", "left_anti")
-    change.upsert(RECORD_REGISTRY, classify.registry_rows(done, run_ts), ids, "uid", touched)
+    change.upsert(RECORD_REGISTRY, classify.registry_rows(done, run_ts), ids, "uid", replaced)
     if prints is not None:
         # Only the files this run has read; the per-file counts come from the light keys.
         counted = keys.groupBy(F.col("source_file").alias("file_path")).agg(F.count(F.lit(1)).alias("record_count"))
@@ -192,7 +203,7 @@ def _run(fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None,
         change.upsert(FILE_REGISTRY, rows, rows.select("file_path"), "file_path")
     if profiled is not None:
         keep_profiles(change, profiled)
-    return Report(version=change.publish(), counts=counts, dead_letters=n_dead)
+    return Report(version=change.publish(*(batch or ())), counts=counts, dead_letters=n_dead)
 
 
 def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame, everything: bool = True) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from treeflat.ingest import Job, ingest_fragments, now_utc
-from treeflat.sources import records as source
+from treeflat.ingest import Job, ingest
+from treeflat.sources.files import as_pattern, plain_path
 
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
-def arriving(spark: SparkSession, path: str, record_tag: str = "REC", glob: str = "*.xml", files_per_batch: int | None = None) -> DataFrame:
-    """Fragments of files as they arrive; the stream's checkpoint remembers the files."""
-    reader = spark.readStream.option("lineSep", f"</{record_tag}>").option("pathGlobFilter", glob)
+
+def arriving(spark: SparkSession, path: str, glob: str = "*.xml", files_per_batch: int | None = None) -> DataFrame:
+    """``file_path`` of files as they arrive; the contents are not read, the stream's checkpoint remembers the files."""
+    reader = spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return source.with_origin(reader.text(path))
+    return reader.load(path).select(plain_path(F.col("_metadata.file_path")).alias("file_path"))
 
 
 def ingest_stream(
@@ -22,19 +24,16 @@ def ingest_stream(
 ):
     """Process everything that is there and stop.  Returns the finished query.
 
-    A batch that is repeated after a failure changes nothing: its records are classified
-    against the registry, and tables and registries are published together.
+    Each batch is a run over its files, with profiles, encodings and the file registry, so a later batch run skips them.
+    Its number is published together with its tables: a batch that is repeated after a failure does nothing if they are visible.
     """
 
-    def batch(df: DataFrame, _: int):
-        if df.isEmpty():
-            return
-        fragments = source.cut_fragments(df, job.record_tag, job.id_tag, job.encoding)
-        ingest_fragments(fragments, job, run_ts or now_utc())
+    def batch(df: DataFrame, number: int):
+        paths = [as_pattern(r[0]) for r in df.orderBy("file_path").collect()]  # a scan needs the list of paths on the driver
+        if paths:
+            ingest(spark, paths, job, run_ts, glob=glob, batch=(checkpoint, number))
 
-    stream = arriving(spark, path, job.record_tag, glob, files_per_batch)
-    query = (
-        stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    stream = arriving(spark, path, glob, files_per_batch)
+    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
