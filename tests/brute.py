@@ -14,8 +14,8 @@ def shred(xml: str, uid: str, mapping) -> dict[str, list[dict]]:
                 return
 
     def visit(node, path, at):
-        element = at.children.get(node.tag) if at is not None else None
-        return walk(node, f"{path}/{node.tag}", element)
+        name = node.tag.rsplit("}", 1)[-1]  # without its name space
+        return walk(node, f"{path}/{name}", at.children.get(name) if at is not None else None)
 
     def walk(node, path, element):
         opened = None

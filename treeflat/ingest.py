@@ -252,7 +252,7 @@ def table_rows(parsed: DataFrame, walked: DataFrame | None, job: Job, table: str
         parts.append(shred.rows_of(parsed, m, table, at))
     if walked is not None:
         mine = walked.where(shred.routed_to_nodes(at))
-        parts.append(nodes.assemble(mine, m, table, job.file_number))
+        parts.append(nodes.assemble(mine, m, table, job.tables, job.file_number))
     if not parts:
         schema = ", ".join(["id string"] + [f"`{n}` {k}" for n, k in shred.row_fields(m, table)])
         return parsed.sparkSession.createDataFrame([], schema)

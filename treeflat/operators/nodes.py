@@ -1,9 +1,9 @@
-"""The general path: elements as rows in document order, tables by windows over them.
+"""The general path: elements in document order.
 
-Used where the order between differently named elements matters (shared counters, columns
-fed from several places) or text stands next to child elements.  A small Python walker per
-record emits the nodes; matching, numbering, key inheritance and row assembly are joins,
-windows and aggregates, all on one exchange by record.
+Used where the order between differently named elements matters (columns
+fed from several places) or text stands next to child elements.  A small Python walker reads
+a record's nodes; numbering, key inheritance and assembly go over them once, within the
+record, so nothing is shuffled.  The nodes themselves are available as rows, too.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from xml.parsers import expat
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from treeflat.plans.mapping import Element, Mapping
 from treeflat.session import BROADCAST_ROWS, ship_with_tasks
@@ -82,32 +82,13 @@ def walk_records(records: DataFrame, root_path: str, wanted: list[str] | None =
     node_types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()]
     node_names = ["seq", "parent_seq", "path", "text", "attrs", "error"]
 
-    def run(batches):
-        for batch in batches:
-            kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            rows, source = [[] for _ in node_types], []
-
-            def flush():
-                taken = [k.take(pa.array(source, pa.int64())) for k in kept]
-                made = [pa.array(v, t) for v, t in zip(rows, node_types)]
-                return pa.RecordBatch.from_arrays(taken + made, keep + node_names)
-
-            for i, xml in enumerate(batch.column(batch.schema.get_field_index("xml")).to_pylist()):
-                try:
-                    got = [(*n, None) for n in _walk(xml, root_path, chosen)]
-                except (expat.ExpatError, ValueError, TypeError, AttributeError) as e:
-                    got = [(None, None, None, None, None, str(e))]
-                for node in got:
-                    source.append(i)
-                    for column, value in zip(rows, node):
-                        column.append(value)
-                    if len(source) >= _FLUSH:
-                        yield flush()
-                        rows, source = [[] for _ in node_types], []
-            if source:
-                yield flush()
+    def made_of(xml: str):
+        try:
+            return [(*n, None) for n in _walk(xml, root_path, chosen)]
+        except (expat.ExpatError, ValueError, TypeError, AttributeError) as e:
+            return [(None, None, None, None, None, str(e))]
 
-    return records.select(*keep, "xml").mapInArrow(run, schema)
+    return records.select(*keep, "xml").mapInArrow(_exploded(made_of, keep, node_types, node_names), schema)
 
 
 def cells(nodes: DataFrame, mapping: Mapping) -> DataFrame:
@@ -124,41 +105,6 @@ def cells(nodes: DataFrame, mapping: Mapping) -> DataFrame:
     return joined.select(*keep, "path", "target_table", "target_col", value.alias("value")).where("value is not null")
 
 
-def _record_key(nodes: DataFrame) -> list[str]:
-    """Records are told apart by origin and position, so copies of one id stay separate groups."""
-    return [c for c in ("source_file", "pos") if c in nodes.columns] or ["uid"]
-
-
-def _at(elements: list[Element]) -> Column:
-    return F.col("path").isin([e.path for e in elements])
-
-
-def sibling_order(xml: Column, mapping: Mapping, groups: list[list[Element]]) -> Column:
-    """For each group of openings that share a counter: their member numbers in document order.
-
-    A small Arrow function over the text of the row; nothing is shuffled.  NULL if the record
-    cannot be read.
-    """
-    root = mapping.record.path
-    member = {e.path: (g, i) for g, group in enumerate(groups) for i, e in enumerate(group)}
-    wanted, width = frozenset(member), len(groups)
-
-    def order(text: pa.Array) -> pa.Array:
-        out = []
-        for xml_text in text.to_pylist():
-            try:
-                found = [[] for _ in range(width)]
-                for node in _walk(xml_text, root, wanted):
-                    g, i = member[node[2]]
-                    found[g].append(i)
-                out.append(found)
-            except (expat.ExpatError, ValueError, TypeError, AttributeError):
-                out.append(None)
-        return pa.array(out, pa.list_(pa.list_(pa.int32())))
-
-    return F.arrow_udf(order, "array<array<int>>")(xml)
-
-
 def wanted_paths(mapping: Mapping, tables: list[str]) -> list[str]:
     """The element paths that take part in the assembly of these tables."""
     from treeflat.operators.shred import uncounted
@@ -173,109 +119,149 @@ def wanted_paths(mapping: Mapping, tables: list[str]) -> list[str]:
     return sorted(wanted)
 
 
+#: What :func:`walk_tables` adds to the record's columns.
+ROW_COLUMNS = "opening int, keys array<bigint>, cells array<string>, error string"
+
+
+def _opened(mapping: Mapping, tables: list[str]) -> list[Element]:
+    return [o for t in tables for o in mapping.openings(t)]
+
+
+def _cells(mapping: Mapping, opening: Element) -> dict[str, list]:
+    """The writes into a row of this opening, by column."""
+    out: dict[str, list] = {}
+    for w in mapping.writes(opening):
+        out.setdefault(w.column, []).append(w)
+    return out
+
+
+class _Rows:
+    """Numbering, key inheritance and assembly of one record's rows from its nodes in document order."""
+
+    def __init__(self, mapping: Mapping, tables: list[str]):
+        from treeflat.operators.shred import uncounted
+
+        self.broken = {e.path for e in uncounted(mapping)}
+        self.chains: dict[str, list[str]] = {}
+        self.numbers: dict[str, int] = {}  # the opening's place in the list of all
+        self.width: dict[str, int] = {}
+        self.writes: dict[str, list[tuple]] = {}
+        self.group: dict[str, int] = {}  # openings that draw from one counter
+        self.starts: dict[str, list[int]] = {}  # counters that begin anew with a row
+        groups: dict[tuple, int] = {}
+        for number, opening in enumerate(_opened(mapping, tables)):
+            chain = mapping.chain(opening)
+            self.chains[opening.path], self.numbers[opening.path] = [e.path for e in chain[1:]], number
+            for parent, e in zip(chain, chain[1:]):
+                key = (parent.path, e.counter)
+                if key not in groups:
+                    groups[key] = len(groups)
+                    self.starts.setdefault(parent.path, []).append(groups[key])
+                    self.group |= {x.path: groups[key] for x in mapping.sharing(e)}
+            columns = _cells(mapping, opening)
+            self.width[opening.path] = len(columns)
+            for at, sources in enumerate(columns.values()):
+                # of one element's writes the text goes last, so it stays
+                for w in reversed(sorted(sources, key=lambda w: w.attr is not None)):
+                    self.writes.setdefault(w.source.path, []).append((opening.path, at, w.attr, w.default))
+
+    def __call__(self, nodes: list) -> list[tuple]:
+        """(opening, keys, cells) of every row; none if an element that opens a row has no counter."""
+        counts, now, rows, open_rows = {}, {}, [], {}
+        for _, _, path, text, attrs in nodes:
+            if path in self.broken:
+                return []
+            for g in self.starts.get(path, ()):
+                counts[g] = 0
+            if path in self.group:
+                g = self.group[path]
+                counts[g] = now[path] = counts[g] + 1
+            if path in self.numbers:
+                open_rows[path] = cells = [None] * self.width[path]
+                rows.append((self.numbers[path], [now[p] for p in self.chains[path]], cells))
+            for opening, at, attr, default in self.writes.get(path, ()):
+                value = (text or None) if attr is None else dict(attrs).get(attr, default)
+                if value is not None:
+                    open_rows[opening][at] = value
+        return rows
+
+
 def walk_tables(records: DataFrame, mapping: Mapping, tables: list[str]) -> DataFrame:
-    """The nodes these tables need, with as few record columns as possible.  One walk serves all."""
-    slim = [c for c in ("source_file", "pos", "uid", "file_number", "routes") if c in records.columns]
+    """The rows of these tables, with as few record columns as possible: one walk serves all, and nothing is shuffled.
+
+    A record that cannot be read yields a single row with ``error`` set.
+    """
+    keep = [c for c in ("source_file", "pos", "uid", "file_number", "routes") if c in records.columns]
     if mapping.root_table in tables and "record_hash" in records.columns:
-        slim.append("record_hash")
-    return walk_records(records.select(*slim, "xml"), mapping.record.path, wanted_paths(mapping, tables))
+        keep.append("record_hash")
+    types = {f.name: f.dataType.simpleString() for f in records.schema.fields}
+    wanted, root, rows_of = frozenset(wanted_paths(mapping, tables)), mapping.record.path, _Rows(mapping, tables)
 
+    def rows(xml: str):
+        try:
+            return [(*row, None) for row in rows_of(_walk(xml, root, wanted))]
+        except (expat.ExpatError, ValueError, TypeError, AttributeError) as e:
+            return [(None, None, None, str(e))]
 
-def node_table(records: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
-    """Rows of one table from the node walk (same columns as the native path)."""
-    return assemble(walk_tables(records, mapping, [table]), mapping, table, file_number)
+    row_types = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.string()]
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keep), ROW_COLUMNS])
+    return records.select(*keep, "xml").mapInArrow(_exploded(rows, keep, row_types, ["opening", "keys", "cells", "error"]), schema)
 
 
-def assemble(walked: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
-    """Rows of one table from walked nodes (which may hold more than this table needs)."""
-    from treeflat.operators import shred
+def _exploded(made_of, keep: list[str], types: list, names: list[str]):
+    """A function of Arrow batches: for each ``xml`` the rows that ``made_of`` gives, with the columns ``keep``."""
 
-    nodes = walked.where(F.col("path").isin(wanted_paths(mapping, [table])))
-    parts = [_opening_rows(nodes, mapping, table, o, file_number) for o in mapping.openings(table)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    keep = ["record_hash"] if table == mapping.root_table and "record_hash" in walked.columns else []
-    names = [
-        (F.col(n) if n in out.columns else F.lit(None)).cast(k).alias(n) for n, k in shred.row_fields(mapping, table)
-    ]
-    return out.select("id", *names, *keep)
+    def run(batches):
+        for batch in batches:
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            rows, source = [[] for _ in types], []
 
+            def flush():
+                taken = [k.take(pa.array(source, pa.int64())) for k in kept]
+                return pa.RecordBatch.from_arrays(taken + [pa.array(v, t) for v, t in zip(rows, types)], keep + names)
+
+            for i, xml in enumerate(batch.column(batch.schema.get_field_index("xml")).to_pylist()):
+                for row in made_of(xml):
+                    source.append(i)
+                    for column, value in zip(rows, row):
+                        column.append(value)
+                    if len(source) >= _FLUSH:
+                        yield flush()
+                        rows, source = [[] for _ in types], []
+            if source:
+                yield flush()
+
+    return run
 
-def _opening_rows(nodes: DataFrame, mapping: Mapping, table: str, opening: Element, file_number: int) -> DataFrame:
-    from treeflat.operators.shred import uncounted
 
-    chain = mapping.chain(opening)
-    writes = mapping.writes(opening)
-    broken = uncounted(mapping)
-    rec = _record_key(nodes)
-    root = table == mapping.root_table
-    carried = [c for c in ("uid", "file_number", "record_hash") if c in nodes.columns and c not in rec]
-    carried = [c for c in carried if root or c == "uid"]
-    nodes = nodes.select(*rec, *carried, "seq", "path", "text", "attrs")
-    nodes = nodes.repartition(*rec)  # the one exchange; windows and the aggregate reuse it
-    so_far = Window.partitionBy(*rec).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    if broken:
-        nodes = nodes.withColumn("#broken", F.max(_at(broken)).over(Window.partitionBy(*rec))).where("not `#broken`")
-
-    # 1. running number of openings per shared counter
-    counts = {f"#c{i}": F.sum(_at(mapping.sharing(e)).cast("bigint")).over(so_far) for i, e in enumerate(chain) if i}
-    # 2. the count reached when the current parent row was opened
-    bases = {
-        f"#b{i}": F.last(F.when(F.col("path") == chain[i - 1].path, F.col(f"#c{i}")), ignorenulls=True).over(so_far)
-        for i in range(1, len(chain))
-    }
-    # 3. the counter value of the row that is open here, and the row itself
-    keys = {
-        e.counter: F.last(
-            F.when(F.col("path") == e.path, F.col(f"#c{i}") - F.col(f"#b{i}")), ignorenulls=True
-        ).over(so_far)
-        for i, e in enumerate(chain)
-        if i
-    }
-    owner = F.last(F.when(F.col("path") == opening.path, F.col("seq")), ignorenulls=True).over(so_far)
-    for step in (counts, bases, {**keys, "#row": owner}):
-        nodes = nodes.withColumns(step)
-
-    # Only nodes inside an opened row of this element take part in its assembly.
-    inside = {opening.path} | {w.source.path for w in writes}
-    nodes = nodes.where(F.col("path").isin(sorted(inside)))
-
-    by_column: dict[str, list] = {}
-    for w in writes:
-        by_column.setdefault(w.column, []).append(w)
-    sums = []
-    for i, (column, sources) in enumerate(by_column.items()):
-        value = F.lit(None).cast("string")
-        # Later writes win within an element: attributes first, text last.
-        for w in sorted(sources, key=lambda w: w.attr is not None):
-            if w.attr is None:
-                got = F.nullif("text", F.lit(""))
-            else:
-                got = F.try_element_at("attrs", F.lit(w.attr))
-                if w.default is not None:
-                    got = F.coalesce(got, F.lit(w.default))
-            value = F.coalesce(value, F.when(F.col("path") == w.source.path, got))
-        sums.append(F.max_by(value, F.when(value.isNotNull(), F.col("seq"))).alias(f"#v{i}"))
+def node_table(records: DataFrame, mapping: Mapping, table: str, file_number: int = -1) -> DataFrame:
+    """Rows of one table from the node walk (same columns as the native path)."""
+    return assemble(walk_tables(records, mapping, [table]), mapping, table, [table], file_number)
+
+
+def assemble(walked: DataFrame, mapping: Mapping, table: str, tables: list[str], file_number: int = -1) -> DataFrame:
+    """Rows of one table from the walked rows of ``tables``, with the table's own columns."""
+    from treeflat.operators import shred
+
     number = mapping.record.file_number
-    sums += [F.first(c).alias(c) for c in carried]
-    key_names = list(keys)
-    if not sums:
-        sums = [F.count(F.lit(1)).alias("#none")]
-    rows = nodes.groupBy(*rec, "#row", *key_names).agg(*sums)
-
-    out = [F.col("uid").alias("id")]
-    for k in key_names:
-        i = list(by_column).index(k) if k in by_column else None
-        out.append((F.col(k) if i is None else F.coalesce(F.col(f"#v{i}").try_cast("bigint"), F.col(k))).alias(k))
-    out += [F.col(f"#v{i}").alias(c) for i, c in enumerate(by_column) if c not in key_names and c != "id"]
-    if number and number.table == table and opening is mapping.record and number.column not in by_column:
-        given = F.col("file_number").cast("bigint") if "file_number" in rows.columns else F.lit(None).cast("bigint")
-        out.append(F.coalesce(given, F.lit(file_number).cast("bigint")).alias(number.column))
-    if table == mapping.root_table and "record_hash" in rows.columns:
-        out.append(F.col("record_hash"))
-    return rows.select(*out)
+    own = [(i, o) for i, o in enumerate(_opened(mapping, tables)) if o.table == table]
+    fields = shred.row_fields(mapping, table)
+    values: dict[str, list[Column]] = {name: [] for name, _ in fields}
+    for i, opening in own:
+        keys, cells = mapping.keys(opening)[1:], list(_cells(mapping, opening))
+        for name, kind in fields:
+            value = F.get("cells", F.lit(cells.index(name))) if name in cells else None
+            if name in keys:
+                key = F.get("keys", F.lit(keys.index(name)))
+                value = key if value is None else F.coalesce(value.try_cast("bigint"), key)
+            elif value is None and number and number.table == table and opening is mapping.record and number.column == name:
+                given = F.col("file_number").cast("bigint") if "file_number" in walked.columns else F.lit(None).cast("bigint")
+                value = F.coalesce(given, F.lit(file_number).cast("bigint"))
+            if value is not None:
+                values[name].append(F.when(F.col("opening") == i, value.cast(kind)))
+    keep = ["record_hash"] if table == mapping.root_table and "record_hash" in walked.columns else []
+    names = [(F.coalesce(*values[n]) if values[n] else F.lit(None).cast(k)).alias(n) for n, k in fields]
+    return walked.where(F.col("opening").isin([i for i, _ in own])).select(F.col("uid").alias("id"), *names, *keep)
 
 
 def walk_failures(records: DataFrame, mapping: Mapping) -> DataFrame:

@@ -19,6 +19,8 @@ from treeflat.operators import nodes
 from treeflat.plans.mapping import Element, Mapping
 
 ATTR, TEXT, BAD = "@", "#text", "#bad"
+#: An attribute that numbers the openings that share a counter, see :func:`numbered`.
+PLACE = "treeflat.place"
 DOC = "`#doc`"
 
 #: The parser must keep white space, ignore name space prefixes and isolate bad records.
@@ -41,6 +43,7 @@ class _Needs:
         self.attrs: dict[Element, set[str]] = {}
         self.text: set[Element] = set()
         self.present: set[Element] = {mapping.record}
+        self.ordered: set[Element] = set()
         for table in tables:
             for opening in mapping.openings(table):
                 self._reach(opening)
@@ -52,6 +55,10 @@ class _Needs:
                         self.attrs.setdefault(w.source, set()).add(w.attr)
         for e in uncounted(mapping):
             self._reach(e)
+        for group in _shared(mapping, tables):
+            for e in group:
+                self._reach(e)
+                self.ordered.add(e)
 
     def _reach(self, element: Element | None):
         while element is not None and element not in self.present:
@@ -62,10 +69,12 @@ class _Needs:
         return [c for c in e.children.values() if c in self.present]
 
     def is_plain(self, e: Element) -> bool:
-        return e is not self.record and not self.attrs.get(e) and not self.children(e)
+        return e is not self.record and e not in self.ordered and not self.attrs.get(e) and not self.children(e)
 
     def struct(self, e: Element) -> T.StructType:
         fields = [T.StructField(ATTR + a, T.StringType()) for a in e.attrs if a in self.attrs.get(e, ())]
+        if e in self.ordered:
+            fields.append(T.StructField(ATTR + PLACE, T.StringType()))
         if e in self.text:
             fields.append(T.StructField(TEXT, T.StringType()))
         for c in self.children(e):
@@ -230,6 +239,32 @@ def arrays_type(mapping: Mapping, table: str) -> str:
     return "array<struct<" + ",".join(f"`{n}`:{k}" for n, k in fields) + ">>"
 
 
+def numbered(xml: Column, names: set[str]) -> Column:
+    """The record with a running number, as an attribute, at every opening tag with one of these names (outside CDATA).
+
+    So the parser reports with each element where it stood among the differently named ones.
+    """
+    name = rf"<(?:[\w.-]++:)?+(?:{_names(names)})(?=[\s/>])"
+    start = "<![CDATA["
+    sections = F.regexp_extract_all(xml, F.lit(r"(?s)<!\[CDATA\[.*?\]\]>|.+?(?=<!\[CDATA\[|\z)"), F.lit(0))
+    sections = F.when(F.contains(xml, F.lit(start)), sections).otherwise(F.array(xml))
+    cut = F.transform(sections, lambda s: F.when(F.startswith(s, F.lit(start)), F.array(s)).otherwise(F.split(s, f"(?={name})", -1)))
+    marked = F.transform(F.flatten(cut), lambda p, i: F.regexp_replace(p, F.lit(f"^({name})"), F.concat(F.lit(f'$1 {PLACE}="'), i.cast("string"), F.lit('"'))))
+    return F.array_join(marked, "")
+
+
+def _orders(groups: list[list[Element]], record: Element, stems: dict) -> str:
+    """For each group of openings that share a counter: their member numbers in document order."""
+    out = []
+    for group in groups:
+        members = []
+        for i, e in enumerate(group):
+            places = f"{_occurrences(DOC, e.below(record), stems)}.{_q(ATTR + PLACE)}"
+            members.append(f"coalesce(transform({places}, p -> named_struct('p', cast(p as int), 'm', {i})), cast(array() as array<struct<p:int,m:int>>))")
+        out.append(f"transform(array_sort(concat({', '.join(members)})), x -> x.m)")
+    return f"array({', '.join(out)})"
+
+
 def parse(xml: Column, needs: _Needs) -> Column:
     return F.from_xml(xml, needs.schema(), PARSER_OPTIONS)
 
@@ -303,9 +338,8 @@ def _parsed(records: DataFrame, mapping: Mapping, tables: list[str], file_number
     needs = _Needs(mapping, tables)
     groups = _shared(mapping, tables)
     out = records.withColumn("#n", _file_number(records, file_number))
-    if groups:
-        out = out.withColumn("#order", nodes.sibling_order(F.col("xml"), mapping, groups))
-    out = out.withColumn("#doc", parse(F.col("xml"), needs))
+    xml = numbered(F.col("xml"), {e.name for group in groups for e in group}) if groups else F.col("xml")
+    out = out.withColumn("#doc", parse(xml, needs))
     orders, stems = _shared_values(groups), {}
     by_depth: dict[int, dict[str, Column]] = {}
     for names, column, expression in _stems(needs):
@@ -313,6 +347,8 @@ def _parsed(records: DataFrame, mapping: Mapping, tables: list[str], file_number
         stems[names] = column
     for depth in sorted(by_depth):  # one projection per level, as each may read the one above
         out = out.withColumns(by_depth[depth])
+    if groups:
+        out = out.withColumn("#order", F.expr(_orders(groups, mapping.record, stems)))
     return out, {t: table_array(mapping, t, needs, orders, stems) for t in tables}
 
 

@@ -119,8 +119,8 @@ def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID",
     Records that end with another spelling of the closing tag than ``closing`` (a prefix, white space before ``>``) are cut
     here.  ``n_bytes`` counts a line with its separator, at the line's first piece; ``ending`` is the closing tag of a piece.
 
-    The rest sits in one projection.  The position is not deterministic for Catalyst, so later
-    filters stay above it and the text is searched once per fragment.
+    The position is not deterministic for Catalyst, so later
+    filters stay above the last projection and the text is searched once per fragment.
     """
     separator = closing or f"</{record_tag}>"
     n_separator = len(separator.encode(encoding if charset_kind(encoding) == "utf-16" else "utf-8"))
@@ -138,14 +138,16 @@ def cut_fragments(raw: DataFrame, record_tag: str = "REC", id_tag: str = "UID",
     # the line's separator counts unless its last piece ends otherwise
     size = F.when(F.col("#at") == 0, F.col("#size")).otherwise(0) + F.when((F.col("#at") == F.col("#count") - 1) & ~ended, n_separator).otherwise(0)
     fragments = cut.select(
-        text.alias("value"), *rest, F.when(ended, F.col("#own")).otherwise(F.lit(separator)).alias("ending"), size.alias("n_bytes"), F.monotonically_increasing_id().alias("pos")
+        text.alias("value"), *rest, F.when(ended, F.col("#own")).otherwise(F.lit(separator)).alias("ending"), size.alias("n_bytes")
     )
-    return _with_record(fragments, record_tag, id_tag)
+    return _with_record(fragments, record_tag, id_tag, F.monotonically_increasing_id())
 
 
-def _with_record(fragments: DataFrame, record_tag: str, id_tag: str) -> DataFrame:
+def _with_record(fragments: DataFrame, record_tag: str, id_tag: str, pos: Column) -> DataFrame:
+    """The text of the record in a projection of its own, which the id's searches read: it is worked out once."""
     xml = _record_text(F.col("value"), record_tag)
-    return fragments.select(*fragments.columns, xml.alias("xml"), record_id(xml, record_tag, id_tag).alias("uid"))
+    texts = fragments.select(*fragments.columns, xml.alias("xml"))
+    return texts.select(*[c for c in fragments.columns if c != "pos"], pos.alias("pos"), "xml", record_id(F.col("xml"), record_tag, id_tag).alias("uid"))
 
 
 def _open_after(text: Column) -> Column:
@@ -195,7 +197,7 @@ def mended(fragments: DataFrame, record_tag: str = "REC", id_tag: str = "UID", s
     text = F.array_join(F.transform("parts", lambda p: F.concat(p["value"], F.when(p["pos"] == last["pos"], "").otherwise(p["ending"]))), "")
     joined = staged(chains.select(text.alias("value"), "source_file", "file_size", "block", last["ending"].alias("ending"), "n_bytes", last["pos"].alias("pos")), "open-joined")
     left = fragments.join(members.select("source_file", "pos"), ["source_file", "pos"], "left_anti")
-    return left.select(*columns).unionByName(_with_record(joined, record_tag, id_tag).select(*columns))
+    return left.select(*columns).unionByName(_with_record(joined, record_tag, id_tag, F.col("pos")).select(*columns))
 
 
 def _steps(pdf: pd.DataFrame):
