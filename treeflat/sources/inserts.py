@@ -2,8 +2,8 @@
 
 A statement ends at the first ``;`` outside quotes; the rest of that line is ignored; lines
 are trimmed and joined by one blank.  Whether a line starts inside a literal depends on all
-lines before it, so the quote state is a prefix scan: per split in a grouped function (a
-split is bounded by ``maxPartitionBytes``), across the splits of a file on one row each.
+lines before it, so the quote state is a prefix scan: per split over its lines as they are
+read, for each state in which it may begin; across the splits of a file on one row each.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treeflat.functions.text import split_quoted, strip_space
 from treeflat.session import ship_with_tasks, staged
@@ -42,29 +42,49 @@ def _scan(line: str, state: int) -> tuple[int, int]:
         state = _QUOTES[stop[0]]
 
 
-def _scan_split(rows: pd.DataFrame) -> pd.DataFrame:
-    """For each possible state at the start of the split: the state before every line and its end."""
-    rows = rows.sort_values("pos")
-    out = rows[["source_file", "block", "pos", "line"]].copy()
-    for first in range(3):
-        state, before, kept = first, [], []
-        for line in rows["line"]:
-            before.append(state)
-            state, end = _scan(line, state)
-            kept.append(end)
-        out[f"end{first}"] = pd.array(kept, dtype="int32")
-        out[f"out{first}"] = pd.array([state] * len(rows), dtype="int32")
-    return out
-
+def _scan_splits(batches):
+    """Over a split's lines in their order: for each state in which the split may begin, what happens at every line.
 
-_SCANNED = (
-    "source_file string, block bigint, pos bigint, line string, "
-    "end0 int, out0 int, end1 int, out1 int, end2 int, out2 int"
-)
+    Per line and first state: ``end`` (as :func:`_scan`), ``stmt`` (statements that the split ended before), ``solo`` (a whole statement stands
+    on the line).  After each split one row without a line: the states in which it ends, and how many statements it ended.
+    """
+    import pyarrow as pa
+
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.bool_())]
+    names = ["source_file", "block", "pos", "line", "end", "stmt", "state", "solo"]
+
+    def made(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    split, states, counts, fresh = None, [], [], []
+    for batch in batches:
+        rows = []
+        for file, block, pos, line in zip(*(c.to_pylist() for c in batch.columns)):
+            if (file, block) != split:
+                if split:
+                    rows.append((*split, None, None, None, counts, states, None))
+                split, states, counts, fresh = (file, block), [0, 1, 2], [0, 0, 0], [True, True, True]
+            scans = [_scan(line, state) for state in states] if _STOP.search(line) else [(state, -1) for state in states]
+            ends = [end for _, end in scans]
+            rows.append((file, block, pos, line, ends, list(counts), None, [f and end >= 0 for f, end in zip(fresh, ends)]))
+            states = [state for state, _ in scans]
+            counts = [n + (end >= 0) for n, end in zip(counts, ends)]
+            # a split may begin within a statement, so its first line is no whole one: the fold tells
+            fresh = [end >= 0 for end in ends]
+        if rows:
+            yield made(rows)
+    if split:
+        yield made([(*split, None, None, None, counts, states, None)])
+
+
+_SCANNED = "source_file string, block bigint, pos bigint, line string, end array<bigint>, stmt array<bigint>, state array<bigint>, solo array<boolean>"
 
 
 def read_statements(spark: SparkSession, paths, glob: str = "*.sql") -> DataFrame:
-    """``source_file, stmt, statement`` in file order.  Text after the last end is no statement."""
+    """``source_file, stmt, statement`` in file order.  Text after the last end is no statement.
+
+    The scan runs over the text source's own partitions; only the lines of statements over several lines are shuffled.
+    """
     lines = spark.read.option("pathGlobFilter", glob).text(paths).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -72,39 +92,34 @@ def read_statements(spark: SparkSession, paths, glob: str = "*.sql") -> DataFram
         strip_space("value").alias("line"),
     ).where("pos >= 0 and line <> ''")
     # Read twice below; staged, so that the scan runs once.
-    scanned = staged(lines.groupBy("source_file", "block").applyInPandas(_scan_split, _SCANNED), "script")
-
-    # One row per split: state at its end for each state at its start, folded along the file.
-    per_split = scanned.groupBy("source_file", "block").agg(
-        *[F.max(f"out{s}").alias(f"out{s}") for s in range(3)],
-        *[F.sum(F.when(F.col(f"end{s}") >= 0, 1).otherwise(0)).alias(f"n{s}") for s in range(3)],
-    )
-    carried = per_split.groupBy("source_file").applyInPandas(
-        _carry, "source_file string, block bigint, state int, stmts bigint, total bigint"
-    )
-    placed = scanned.join(carried, ["source_file", "block"])
-    end = F.when(F.col("state") == 0, F.col("end0")).when(F.col("state") == 1, F.col("end1")).otherwise(F.col("end2"))
-    before = (
-        Window.partitionBy("source_file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = placed.withColumn("end", end).withColumn(
-        "stmt", F.col("stmts") + F.coalesce(F.sum(F.when(F.col("end") >= 0, 1).otherwise(0)).over(before), F.lit(0))
+    scanned = staged(lines.mapInArrow(_scan_splits, _SCANNED), "script")
+
+    # One row per split, folded along the file; written, so that the join below can be a broadcast if they are few.
+    splits = scanned.where("line is null").select("source_file", "block", "state", "stmt")
+    carried = staged(splits.groupBy("source_file").applyInPandas(_carry, "source_file string, block bigint, first int, stmts bigint, open boolean, total bigint"), "script-splits")
+    placed = scanned.where("line is not null").join(carried, ["source_file", "block"]).select(
+        "source_file", "pos", "line", F.get("end", "first").alias("end"), (F.col("stmts") + F.get("stmt", "first")).alias("stmt"),
+        # the first line of a split goes on with an open statement of the split before
+        (F.get("solo", "first") & ~(F.col("open") & (F.get("stmt", "first") == 0))).alias("solo"), "total",
     )
+    part = F.when(F.col("end") >= 0, F.substring("line", F.lit(1), F.col("end").cast("int"))).otherwise(F.col("line"))
+    solo = placed.where("solo").select("source_file", "stmt", part.alias("statement"))
     # What follows the last complete statement is dropped before anything is gathered.
-    whole = placed.where("stmt < total")
-    part = F.when(F.col("end") >= 0, F.substring("line", F.lit(1), F.col("end"))).otherwise(F.col("line"))
     pieces = F.sort_array(F.collect_list(F.struct("pos", part.alias("t"))))
-    return whole.groupBy("source_file", "stmt").agg(F.array_join(F.transform(pieces, lambda p: p.t), " ").alias("statement"))
+    parts = placed.where("not solo and stmt < total").groupBy("source_file", "stmt")
+    return solo.unionByName(parts.agg(F.array_join(F.transform(pieces, lambda p: p.t), " ").alias("statement")))
 
 
 def _carry(splits: pd.DataFrame) -> pd.DataFrame:
+    """Of one file: each split's first state, the statements ended before it, and whether one is open there."""
     splits = splits.sort_values("block")
-    state, stmts, rows = 0, 0, []
+    state, stmts, rows, open_ = 0, 0, [], False
     for r in splits.itertuples():
-        rows.append((r.source_file, r.block, state, stmts))
-        stmts += int(getattr(r, f"n{state}"))
-        state = int(getattr(r, f"out{state}"))
-    out = pd.DataFrame(rows, columns=["source_file", "block", "state", "stmts"])
+        rows.append((r.source_file, r.block, state, stmts, open_))
+        stmts += int(r.stmt[state])
+        # whether the split ends within a statement is not known from its states: its first line is then gathered with that, if any
+        open_, state = True, int(r.state[state])
+    out = pd.DataFrame(rows, columns=["source_file", "block", "first", "stmts", "open"])
     out["total"] = stmts
     return out
 
