@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["shredding", "changes", "checks", "outputs"]
+MODULES = ["shredding", "changes", "checks", "outputs", "runs"]
 
 
 def _merged(attribute: str) -> dict:

@@ -1,9 +1,10 @@
 import os
 
+from pyspark.sql import functions as F
 import pytest
 
 from treeflat import Contracts, Mapping
-from treeflat.ingest import Job, bulk_load, ingest
+from treeflat.ingest import Job, bulk_load, ingest, replay
 from treeflat.operators import deadletter
 from treeflat.sinks import tables as sinks
 from treeflat.sinks.store import Store
@@ -235,6 +236,35 @@ def test_unchanged_files_are_not_read(spark, tmp_path, job, monkeypatch):
     assert ingest(spark, src, job, "2024-04-01 00:00:00", force=True).counts == {"unchanged": 2}
 
 
+def test_run_with_a_container(spark, tmp_path, job, collect):
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("1"), tail="</records><drafts>" + rec("2") + "<REC><v>no id, and no letter: a draft</v></REC></drafts><records>" + rec("3") + "<REC/></records>")
+    job.container = "records"
+    report = ingest(spark, src, job, "2024-01-01 00:00:00")
+    assert collect(job.store.read("doc"), "id") == [("1",), ("3",)] and report.counts == {"new": 2}
+    assert report.dead_letters <= 1
+
+
+def test_replay(spark, tmp_path, job, collect):
+    """Letters only; what was tried is not tried again, newer versions stay, cut-off records need a repair."""
+    src = f"{tmp_path}/in"
+    write(src, "a", rec("ok"), rec("bad", words="<w>x</v>"), rec("worse", words="<w>x</u>"), "<REC><w>nameless</w></REC>", tail="<REC><UID>cut</UID><w>y</w>")
+    assert ingest(spark, src, job, "2024-01-01 00:00:00").dead_letters == 4
+    assert replay(spark, job, run_ts="2024-01-02 00:00:00").counts == {"new": 2}  # the malformed two are tried, and fail again
+    assert replay(spark, job).skipped
+    assert collect(job.store.read("doc"), "id") == [("ok",)]
+    repair = lambda xml: F.replace(F.replace(xml, F.lit("</v>"), F.lit("</w>")), F.lit("<REC><w>"), F.lit("<REC><UID>named</UID><w>"))
+    replay(spark, job, repair, "2024-01-03 00:00:00")
+    assert collect(job.store.read("doc"), "id") == [("bad",), ("named",), ("ok",)]
+    assert replay(spark, job, repair).skipped
+    assert sorted(r.attempts for r in job.store.read("replays").collect())[-1] == 2
+    # a newer good version of a letter's record stays
+    write(src, "b", rec("worse", words="<w>newer</w>"))
+    ingest(spark, src, job, "2024-02-01 00:00:00")
+    replay(spark, job, lambda xml: F.replace(xml, F.lit("</u>"), F.lit("</w>")), "2024-03-01 00:00:00", force=True)
+    assert collect(job.store.read("word").where("id = 'worse'"), "text") == [("newer",)]
+
+
 def test_run_over_odd_files(spark, tmp_path, job, collect):
     """Hidden closing tags, a declared encoding, an own closing tag; a file in an unknown encoding goes to the dead letters."""
     src = f"{tmp_path}/in"

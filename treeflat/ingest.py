@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from treeflat.functions.text import parse_iso
 from treeflat.operators import classify, deadletter, nodes, shred, upkeep, validate
 from treeflat.plans.contracts import Contracts
 from treeflat.plans.mapping import Mapping
@@ -16,7 +18,9 @@ from treeflat.sinks import tables as sinks
 from treeflat.sinks.store import Store
 from treeflat.sources import files, records as source
 
-RECORD_REGISTRY, FILE_REGISTRY, FILE_PROFILES = "record_registry", "file_registry", "file_profiles"
+RECORD_REGISTRY, FILE_REGISTRY, FILE_PROFILES, REPLAYS = "record_registry", "file_registry", "file_profiles", "replays"
+#: One row per letter that was replayed: its record's hash as it lay there, the hash after the last repair, how often.
+REPLAY_SCHEMA = "letter string, repaired string, attempts int, replayed_at timestamp"
 PROFILE_SCHEMA = "file_path string, length bigint, modified timestamp, file_md5 string, charset string, closing string"
 #: A file changed less than this before it was read may change again within the same time stamp: its profile is not kept.
 SETTLED = "INTERVAL 2 SECONDS"
@@ -34,6 +38,7 @@ class Job:
     file_number: int = -1
     file_numbers: DataFrame | None = None
     dead_letters: str | None = None
+    container: str | None = None  # take only records with exactly these ancestors
     writers: int = 4
     encoding: str | None = None  # of files that declare another, or none, than they are in
 
@@ -119,18 +124,21 @@ def keep_profiles(change, made: DataFrame) -> None:
 
 def ingest_fragments(
     fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None = None, profiled: DataFrame | None = None,
-    refused_files: DataFrame | None = None, batch: tuple[str, int] | None = None,
+    refused_files: DataFrame | None = None, batch: tuple[str, int] | None = None, also: Callable | None = None,
 ) -> Report:
-    """One run over fragments (see :func:`treeflat.sources.records.read_fragments`)."""
+    """One run over fragments (see :func:`treeflat.sources.records.read_fragments`).
+
+    ``also`` may add to the run's change; what it adds is published with the tables.
+    """
     with exact_names(fragments.sparkSession):
-        report = _run(fragments, job, run_ts, prints, profiled, refused_files, batch)
+        report = _run(fragments, job, run_ts, prints, profiled, refused_files, batch, also)
         job.store.fold()
         return report
 
 
 def _run(
     fragments: DataFrame, job: Job, run_ts: str, prints: DataFrame | None, profiled: DataFrame | None, refused_files: DataFrame | None,
-    batch: tuple[str, int] | None,
+    batch: tuple[str, int] | None, also: Callable | None,
 ) -> Report:
     m = job.mapping
     stamp = F.lit(run_ts).cast("timestamp")
@@ -145,13 +153,16 @@ def _run(
     keys = scan.where("uid is not null").select("uid", "record_hash", "source_file", "pos")
     if cut_off:
         keys = keys.join(tails.select("source_file", "pos"), ["source_file", "pos"], "left_anti")
+    if job.container:
+        gate = source.inside(fragments, job.container, job.record_tag)
+        keys, scan = (df.join(gate, ["source_file", "pos"], "left_semi") for df in (keys, scan))
     registry = job.store.read(RECORD_REGISTRY, classify.REGISTRY_SCHEMA)
     routed = staged(classify.classify(source.latest_record(keys), registry, unique=True), "routed")
     counts = {r["status"]: r["records"] for r in classify.route_counts(routed).collect()}
     wanted = classify.to_process(routed)
 
     # Pass 2 reads the text of the records to process.
-    picked = pick(source.split_records(fragments), keys, wanted, everything=not cut_off)
+    picked = pick(source.split_records(fragments), keys, wanted, everything=not cut_off and not job.container)
     if job.file_numbers is not None:
         picked = files.with_file_number(picked, job.file_numbers)
     parsed = stage_parsed(picked, job)
@@ -203,9 +214,51 @@ def _run(
         change.upsert(FILE_REGISTRY, rows, rows.select("file_path"), "file_path")
     if profiled is not None:
         keep_profiles(change, profiled)
+    if also is not None:
+        also(change)
     return Report(version=change.publish(*(batch or ())), counts=counts, dead_letters=n_dead)
 
 
+def replay(
+    spark: SparkSession, job: Job, repair: Callable[[Column], Column] | None = None, run_ts: str | None = None, force: bool = False
+) -> Report:
+    """Process the records among the dead letters again, after a repair of mapping, contract or of the texts.
+
+    The letters are the only source.  ``repair`` makes a record's text from that of its letter.  A letter is tried only
+    if its repaired text never was: a replay that is repeated does nothing.  ``force`` tries all, as after a repair of mapping or contract.  Attempts are counted and published with the tables.  Left out are letters whose record has a newer version
+    in the registry, and records cut off by the end of their file unless they are repaired.  Letters of single rows hold no record.
+    """
+    stamp = run_ts or now_utc()
+    if job.dead_letters is None:
+        raise ValueError("the job has no dead letters")
+    letters = deadletter.replayable(deadletter.read_letters(spark, job.dead_letters), with_origin=True)
+    text = F.col("xml") if repair is None else repair(F.col("xml"))
+    tries = letters.select(F.sha2("xml", 256).alias("letter"), "xml", text.alias("text"), "error", "timestamp")
+    tries = tries.where((F.col("error") != source.CUT_OFF) | (F.col("text") != F.col("xml"))).withColumn("repaired", F.sha2("text", 256))
+    # a record that failed more than once has many letters: one try
+    tries = tries.groupBy("letter", "repaired").agg(F.max("timestamp").alias("timestamp"), F.any_value("text").alias("text"))
+    if not force:
+        tries = tries.join(job.store.read(REPLAYS, REPLAY_SCHEMA).select("repaired"), "repaired", "left_anti")
+    tries = tries.withColumn("uid", source.record_id(F.col("text"), job.record_tag, job.id_tag))
+    newer = job.store.read(RECORD_REGISTRY, classify.REGISTRY_SCHEMA).groupBy("uid").agg(F.max("ingested_at").alias("ingested_at"))
+    # a letter's time has the precision of its text
+    later = tries.join(newer, "uid", "left").where(F.col("ingested_at").isNull() | (F.col("ingested_at") <= parse_iso(F.col("timestamp"))))
+    tries = staged(later.select("letter", "repaired", "text", tries["timestamp"]), "replay")
+    if tries.isEmpty():
+        return Report(skipped=True)
+    closing = f"</{job.record_tag}>"
+    lines = tries.select(
+        F.regexp_replace("text", rf"{closing}\s*$", "").alias("value"), F.concat_ws(":", F.lit("letter"), "timestamp", "letter").alias("source_file"),
+        F.lit(2**62).alias("file_size"), F.lit(0).cast("long").alias("block"),  # no file that could be cut off
+    )
+    before = job.store.read(REPLAYS, REPLAY_SCHEMA).groupBy("letter").agg(F.max("attempts").alias("before"))
+    done = tries.join(before, "letter", "left").groupBy("letter").agg(
+        F.max("repaired").alias("repaired"), F.max(F.coalesce("before", F.lit(0)) + 1).cast("int").alias("attempts")
+    ).withColumn("replayed_at", F.lit(stamp).cast("timestamp"))
+    fragments = source.cut_fragments(lines, job.record_tag, job.id_tag)
+    return ingest_fragments(fragments, job, stamp, also=lambda change: change.upsert(REPLAYS, done, done.select("letter"), "letter"))
+
+
 def pick(found: DataFrame, keys: DataFrame, wanted: DataFrame, everything: bool = True) -> DataFrame:
     """The full records behind ``wanted`` (uid, record_hash, source_file), each once.
 

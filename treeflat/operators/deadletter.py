@@ -77,9 +77,9 @@ def write_jsonl(letters: DataFrame, path: str, shards: int | None = None) -> Non
 
 
 def write_by_day(letters: DataFrame, path: str) -> None:
-    """One folder per day.  The rebalance keeps files large and splits a heavy day."""
+    """One folder per day; runs add to what is there.  The rebalance keeps files large and splits a heavy day."""
     dated = with_partition(letters).hint("rebalance", "year", "month", "day")
-    dated.write.partitionBy("year", "month", "day").json(path)
+    dated.write.mode("append").partitionBy("year", "month", "day").json(path)
 
 
 def read_letters(spark: SparkSession, path: str) -> DataFrame:
@@ -89,6 +89,6 @@ def read_letters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
 
 
-def replayable(letters: DataFrame) -> DataFrame:
+def replayable(letters: DataFrame, with_origin: bool = False) -> DataFrame:
     """The record texts among the letters, to be split and shredded again after a repair."""
-    return letters.where("xml is not null").select("record_id", "xml")
+    return letters.where("xml is not null").select("record_id", "xml", *(["error", "timestamp"] if with_origin else []))

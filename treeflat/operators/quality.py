@@ -67,28 +67,49 @@ def lineage_counts(tables: dict[str, DataFrame], mapping: Mapping) -> DataFrame:
     )
 
 
-def quality_report(tables: dict[str, DataFrame], mapping: Mapping, contracts: Contracts) -> DataFrame:
-    """One row per table and check with the number of failures (0 = passed)."""
+def quality_report(
+    tables: dict[str, DataFrame], mapping: Mapping, contracts: Contracts, ranges: dict[str, dict[str, tuple]] | None = None
+) -> DataFrame:
+    """One row per table and check with the number of failures (0 = passed).
+
+    One aggregate over a table answers whether it is populated, how many rows break its contract, and how many values lie
+    outside ``ranges`` (table -> column -> (low, high), closed; NULL passes); one over its keys tells repeated keys and, where it
+    has a parent, keys without one: the keys of both go through one grouping, in which each side is first added up per task.
+    """
     found = []
-
-    def add(table: str, check: str, failures: DataFrame):
-        found.append(failures.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(table).alias("table_name"), F.lit(check).alias("check"), "failures"))
-
     for name, rows in tables.items():
-        found.append(rows.agg(F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("failures")).select(
-            F.lit(name).alias("table_name"), F.lit("populated").alias("check"), "failures"))
+        one = F.lit(1)
+        checks = {"populated": F.when(F.count(one) == 0, 1).otherwise(0)}
+        judged = rows
+        if name in contracts:
+            judged = validate.checked(rows, contracts[name])
+            checks["types"] = F.count(F.when(F.col("error").isNotNull(), one))
+        for column, (low, high) in (ranges or {}).get(name, {}).items():
+            checks[f"range of {column}"] = F.count(F.when(~F.col(f"`{column}`").between(low, high), one))
+        sums = judged.agg(*[c.cast("bigint").alias(f"c{i}") for i, c in enumerate(checks.values())])
+        cells = F.array(*[F.struct(F.lit(check).alias("check"), F.col(f"c{i}").alias("failures")) for i, check in enumerate(checks)])
+        found.append(sums.select(F.explode(cells).alias("cell")).select(F.lit(name).alias("table_name"), "cell.check", "cell.failures"))
         opening = mapping.openings(name)[0]
-        keys = mapping.keys(opening)
-        add(name, "unique key", duplicate_keys(rows, keys))
+        found.append(_failures(name, "unique key", duplicate_keys(rows, mapping.keys(opening)).agg(F.count(one).alias("failures"))))
         parent = opening.parent_row()
         if parent is not None and parent.table in tables:
-            add(name, "foreign key", orphans(rows, tables[parent.table], mapping.keys(parent)))
-        if name in contracts:
-            add(name, "types", validate.failed(validate.checked(rows, contracts[name])))
+            found.append(_failures(name, "foreign key", _without_parent(rows, tables[parent.table], mapping.keys(parent))))
     return reduce(DataFrame.unionByName, found)
 
 
+def _failures(table: str, check: str, counted: DataFrame) -> DataFrame:
+    return counted.select(F.lit(table).alias("table_name"), F.lit(check).alias("check"), F.col("failures").cast("bigint").alias("failures"))
+
+
+def _without_parent(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
+    """How many child rows have a complete key that no parent has: one grouping of both, no join."""
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    sides = child.where(complete).select(*keys, F.lit(1).alias("#child"), F.lit(0).alias("#parent"))
+    sides = sides.unionByName(parent.where(complete).select(*keys, F.lit(0).alias("#child"), F.lit(1).alias("#parent")))
+    groups = sides.groupBy(*keys).agg(F.sum("#child").alias("#child"), F.max("#parent").alias("#parent"))
+    return groups.where(F.col("#parent") == 0).agg(F.coalesce(F.sum("#child"), F.lit(0)).alias("failures"))
+
+
 def in_range(table: DataFrame, column: str, low, high) -> DataFrame:
     """Rows whose value lies outside the closed range."""
     return table.where(~F.col(column).between(low, high))

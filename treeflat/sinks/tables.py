@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -78,8 +79,17 @@ def write_csv(rows: DataFrame, path: str, names: list[str]) -> None:
     padded(rows, names).write.mode("append").option("header", True).option("emptyValue", "").csv(path)
 
 
-def insert_statements(rows: DataFrame, table: str, names: list[str] | None = None) -> DataFrame:
-    """One INSERT per row; only the columns that have a value are listed."""
+#: How names are quoted, by kind of database.
+NAME_QUOTES = {None: "", "mysql": "`", "postgresql": '"'}
+
+
+def insert_statements(rows: DataFrame, table: str, names: list[str] | None = None, quoting: str | None = None) -> DataFrame:
+    """One INSERT per row; only the columns that have a value are listed.
+
+    ``quoting`` (``mysql`` or ``postgresql``) quotes the names as that database does.
+    """
+    mark = NAME_QUOTES[quoting]
+    quoted = lambda n: mark + n.replace(mark, 2 * mark) + mark if mark else n
     names = names or rows.columns
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     plain = ("int", "bigint", "double", "float", "smallint")
@@ -88,16 +98,16 @@ def insert_statements(rows: DataFrame, table: str, names: list[str] | None = Non
         c = F.col(f"`{n}`")
         return c.cast("string") if kinds[n] in plain else sql_literal(c.cast("string"))
 
-    used = [F.when(F.col(f"`{n}`").isNotNull(), F.lit(n)) for n in names]
+    used = [F.when(F.col(f"`{n}`").isNotNull(), F.lit(quoted(n))) for n in names]
     values = [F.when(F.col(f"`{n}`").isNotNull(), literal(n)) for n in names]
     text = F.concat(
-        F.lit(f"INSERT INTO {table} ("), F.concat_ws(", ", *used), F.lit(") VALUES ("), F.concat_ws(", ", *values),
+        F.lit(f"INSERT INTO {quoted(table)} ("), F.concat_ws(", ", *used), F.lit(") VALUES ("), F.concat_ws(", ", *values),
         F.lit(");"),
     )
     return rows.select(*rows.columns, text.alias("statement"))
 
 
-def insert_script(tables: dict[str, DataFrame], mapping: Mapping) -> DataFrame:
+def insert_script(tables: dict[str, DataFrame], mapping: Mapping, quoting: str | None = None) -> DataFrame:
     """All statements of all tables, parents before their children within an id.
 
     Ordered by range partitioning on (id, depth, keys): an id with very many rows spreads
@@ -108,7 +118,7 @@ def insert_script(tables: dict[str, DataFrame], mapping: Mapping) -> DataFrame:
         opening = mapping.openings(name)[0]
         chain = mapping.chain(opening)
         counters = [F.col(k).cast("bigint") for k in mapping.keys(opening)[1:]]
-        made = insert_statements(rows, name)
+        made = insert_statements(rows, name, quoting=quoting)
         parts.append(
             made.select(
                 F.col("id").cast("string").alias("id"),
@@ -121,11 +131,15 @@ def insert_script(tables: dict[str, DataFrame], mapping: Mapping) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).orderBy("id", "depth", "table_name", "keys")
 
 
-def write_script(script: DataFrame, path: str, template: str = "$data") -> None:
+def write_script(script: DataFrame, path: str, template: str = "$data", file_number: int = -1) -> None:
     """Write statements as text lines through a line template.
 
-    ``$data`` is the statement, ``$id`` the record id; the global order of
+    ``$data`` is the statement, ``$id`` the record id, ``$file_number`` the run's file number (a column of the script of that name
+    goes first); ``$$`` is a dollar sign.  What the values hold is not read as a template.  The global order of
     :func:`insert_script` is kept over the numbered files.
     """
-    line = F.replace(F.replace(F.lit(template), F.lit("$id"), F.col("id")), F.lit("$data"), F.col("statement"))
+    number = F.col("file_number").cast("string") if "file_number" in script.columns else F.lit(str(file_number))
+    values = {"$data": F.col("statement"), "$id": F.col("id"), "$file_number": number, "$$": F.lit("$")}
+    parts = re.split(r"(\$\$|\$data\b|\$id\b|\$file_number\b)", template)
+    line = F.concat(*[values.get(p, F.lit(p)) for p in parts])
     script.select(line.alias("value")).write.text(path)

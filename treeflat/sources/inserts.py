@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treeflat.functions.text import split_quoted, strip_space
 from treeflat.session import ship_with_tasks, staged
@@ -124,6 +124,14 @@ def _carry(splits: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _bare(name: Column) -> Column:
+    """A name without the quotes of MySQL or PostgreSQL."""
+    for mark in ("`", '"'):
+        inner = F.replace(F.regexp_extract(name, f"(?s)^{mark}(.*){mark}$", 1), F.lit(2 * mark), F.lit(mark))
+        name = F.when(name.rlike(f"(?s)^{mark}.*{mark}$"), inner).otherwise(name)
+    return name
+
+
 def parse_statements(statements: DataFrame) -> DataFrame:
     """``table_name, cols, vals, mismatch``; statements of another form are left out."""
     form = r"(?s)^INSERT INTO (.+?) \((.+?)\) VALUES \((.+)\);$"
@@ -133,8 +141,8 @@ def parse_statements(statements: DataFrame) -> DataFrame:
 
     named = statements.where(F.col("statement").rlike(form)).select(
         *statements.columns,
-        part(1).alias("table_name"),
-        F.transform(F.split(part(2), ","), lambda c: F.trim(c)).alias("cols"),
+        _bare(part(1)).alias("table_name"),
+        F.transform(F.split(part(2), ","), lambda c: _bare(F.trim(c))).alias("cols"),
         split_quoted(part(3)).alias("vals"),
     )
     return named.withColumn("mismatch", F.size("cols") != F.size("vals"))

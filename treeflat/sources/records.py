@@ -16,6 +16,8 @@ ship_with_tasks(__name__)
 
 #: The fallback looks for this descendant in any name space.
 FALLBACK_ID = "UID"
+#: The error of a record that its file's end cuts off.
+CUT_OFF = "record is cut off by the end of the file"
 _PREFIX = r"(?:[^\s<>:/]++:)?"
 
 
@@ -368,7 +370,7 @@ def split_failures(
     """
     light = light_scan(fragments, record_tag) if scan is None else scan
     no_id = F.lit(f"Could not extract ID from record (tag: {id_tag})")
-    off = F.lit("record is cut off by the end of the file")
+    off = F.lit(CUT_OFF)
     value_error, syntax = F.lit("ValueError").alias("error_type"), F.lit("XMLSyntaxError").alias("error_type")
     parts = []
     lost = light.where("pos >= 0 and xml is not null")
@@ -399,10 +401,15 @@ def latest_record(records: DataFrame) -> DataFrame:
 
 
 def gated_records(fragments: DataFrame, container: str, record_tag: str = "REC") -> DataFrame:
-    """Records whose ancestors are exactly ``container`` (a path such as ``export/records``).
+    """Records whose ancestors are exactly ``container`` (a path such as ``export/records``)."""
+    return split_records(fragments.join(inside(fragments, container, record_tag), ["source_file", "pos"], "left_semi"))
+
+
+def inside(fragments: DataFrame, container: str, record_tag: str = "REC") -> DataFrame:
+    """``source_file, pos`` of the fragments whose record has exactly these ancestors.
 
     The path at a record is the running sum of the tags between records.  It is computed as
-    a prefix scan: within a split by windows (a split is bounded by ``maxPartitionBytes``),
+    a prefix scan over those tags, without any record text: within a split by windows (a split is bounded by ``maxPartitionBytes``),
     across the splits of a file on one small row per split.
     """
     levels = container.split("/")
@@ -411,50 +418,42 @@ def gated_records(fragments: DataFrame, container: str, record_tag: str = "REC")
     gap = F.regexp_extract(value, rf"(?s)^(.*?)(?:<{_PREFIX}{name}[\s>]|\z)", 1)
     outer = F.regexp_replace(gap, r"(?s)<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![^>]*>", "")
     tags = F.regexp_extract_all(outer, F.lit(r"<(/?[\w:.-]+)(?:\s[^<>]*)?(?<!/)>"), F.lit(1))
-    marks = F.transform(
-        tags,
-        lambda t: F.struct(
-            F.when(F.startswith(t, F.lit("/")), F.lit(-1)).otherwise(F.lit(1)).alias("step"),
-            F.regexp_replace(t, r"^/?(?:.*:)?", "").alias("tag"),
-            F.lit(None).cast("string").alias("uid"),
-            F.lit(None).cast("string").alias("xml"),
-        ),
-    )
-    itself = F.struct(F.lit(0).alias("step"), F.lit(None).cast("string").alias("tag"), F.col("uid"), F.col("xml"))
-    events = fragments.select(
-        "source_file", "block", "pos", marks.alias("marks"), "uid", "xml"
-    ).select("source_file", "block", "pos", F.posexplode(F.concat("marks", F.array(itself))).alias("at", "e"))
-    events = events.select("source_file", "block", "pos", "at", "e.*")
+    light = staged(fragments.select("source_file", "block", "pos", tags.alias("tags")), "gate-tags")
 
     split = Window.partitionBy("source_file", "block").orderBy("pos", "at")
     until = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-
-    depth_before = events.groupBy("source_file", "block").agg(F.sum("step").alias("net")).select(
-        "source_file", "block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("start")
+    # most fragments have no tags before their record: only those that have take part in the windows over tags
+    events = light.where(F.size("tags") > 0).select("source_file", "block", "pos", F.posexplode("tags").alias("at", "t")).select(
+        "source_file", "block", "pos", "at",
+        F.when(F.startswith("t", F.lit("/")), -1).otherwise(1).alias("step"), F.regexp_replace("t", r"^/?(?:.*:)?", "").alias("tag"),
+    )
+    nets = light.groupBy("source_file", "block").agg(
+        F.sum(F.aggregate("tags", F.lit(0), lambda n, t: n + F.when(F.startswith(t, F.lit("/")), -1).otherwise(1))).alias("net")
     )
-    tags_only = events.where("step <> 0").drop("xml", "uid").join(depth_before, ["source_file", "block"])
-    tags_only = tags_only.withColumn("depth", F.col("start") + F.sum("step").over(until))
+    depth_before = staged(nets.select("source_file", "block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("start")), "gate-splits")
+    depth = F.col("start") + F.sum("step").over(until)
+    placed = events.join(depth_before, ["source_file", "block"]).withColumn("depth", depth)
 
     def opened(level):  # the name opened at this depth, at the tag itself
         return F.when((F.col("step") == 1) & (F.col("depth") == level), F.col("tag"))
 
-    last_in_split = tags_only.groupBy("source_file", "block").agg(
-        *[F.max_by(opened(i), F.when(opened(i).isNotNull(), F.struct("pos", "at"))).alias(f"l{i}")
-          for i in range(1, len(levels) + 1)]
-    )
-    carried = depth_before.join(last_in_split, ["source_file", "block"], "left").select(
-        "source_file", "block", "start",
-        *[F.last(f"l{i}", ignorenulls=True).over(earlier).alias(f"p{i}") for i in range(1, len(levels) + 1)],
-    )
-    placed = events.join(carried, ["source_file", "block"]).withColumn("depth", F.col("start") + F.sum("step").over(until))
-    placed = placed.withColumns(
-        {f"n{i}": F.coalesce(F.last(opened(i), ignorenulls=True).over(until), F.col(f"p{i}"))
-         for i in range(1, len(levels) + 1)}
-    )
-    inside = F.col("depth") == len(levels)
-    for i, wanted in enumerate(levels, 1):
-        inside = inside & (F.col(f"n{i}") == wanted)
-    return placed.where(F.col("uid").isNotNull() & inside).select(
-        "uid", "xml", sha256_hex("xml").alias("record_hash"), "source_file", "pos"
+    numbers = range(1, len(levels) + 1)
+    # after its last tag, each fragment with tags has a depth and the names opened last in its split
+    named = placed.withColumns({f"n{i}": F.last(opened(i), ignorenulls=True).over(until) for i in numbers})
+    at_record = staged(named.groupBy("source_file", "block", "pos").agg(
+        F.max_by("depth", "at").alias("depth"), *[F.max_by(f"n{i}", "at").alias(f"n{i}") for i in numbers]
+    ), "gate-places")
+    last = at_record.groupBy("source_file", "block").agg(*[F.max_by(f"n{i}", "pos").alias(f"n{i}") for i in numbers])
+    carried = depth_before.join(last, ["source_file", "block"], "left").select(
+        "source_file", "block", "start", *[F.last(f"n{i}", ignorenulls=True).over(earlier).alias(f"p{i}") for i in numbers]
     )
+    # fragments without tags stand where the one before stands
+    before = Window.partitionBy("source_file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = light.select("source_file", "block", "pos").join(at_record, ["source_file", "block", "pos"], "left")
+    here = marked.withColumns({c: F.last(c, ignorenulls=True).over(before) for c in ["depth", *[f"n{i}" for i in numbers]]})
+    here = here.join(carried, ["source_file", "block"])
+    found = F.coalesce("depth", "start") == len(levels)
+    for i, wanted in zip(numbers, levels):
+        found = found & (F.coalesce(f"n{i}", f"p{i}") == wanted)
+    return staged(here.where(found).select("source_file", "pos"), "gate")
