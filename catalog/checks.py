@@ -291,7 +291,7 @@ def value_range(spark, sf):
 def _line_tables(spark, sf):
     """The finished tables the checks run on, stored as Parquet."""
     rec = R.read_records(spark, C.lines_corpus(spark, sf))
-    return {t: staged(shred.shred_table(rec, M.LINES, t), t) for t in M.LINES.tables()}
+    return {t: staged(rows, t) for t, rows in shred.shred_tables(rec, M.LINES, M.LINES.tables()).items()}
 
 
 @query("quality_report", """SELECT * FROM (VALUES ('doc', 'populated', 0::BIGINT), ('doc', 'unique key', 0), ('doc', 'types', 0),

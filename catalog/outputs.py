@@ -42,7 +42,7 @@ def _script(spark, sf):
     def write(path):
         rec = R.read_records(spark, C.lines_corpus(spark, sf))
         # Finished tables, stored: the global sort samples its input before it sorts it.
-        tables = {t: staged(shred.shred_table(rec, M.LINES, t).drop("record_hash"), t) for t in M.LINES.tables()}
+        tables = {t: staged(rows.drop("record_hash"), t) for t, rows in shred.shred_tables(rec, M.LINES, M.LINES.tables()).items()}
         sinks.write_script(sinks.insert_script(tables, M.LINES), path)
 
     return C.once(spark, sf, "script", write)

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from catalog import corpora as C
 from catalog import mappings as M
-from catalog.changes import RUN1, RUN2
+from catalog.changes import RUN1, RUN2, SECOND, _job, _version
 from catalog.shredding import DOCS, LINES
 from treeflat import Contracts, Mapping
 from treeflat.ingest import Job, bulk_load, ingest, replay
@@ -94,6 +94,23 @@ def undeclared_tables(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query("run_metrics", f"""WITH {LINES}, first AS (SELECT * FROM lines WHERE doc_id % 7 <> 0)
+SELECT 1 AS run, 'route new' AS metric, (SELECT count(*) FROM docs WHERE doc_id % 7 <> 0) AS n
+UNION ALL SELECT 1, 'rows doc', (SELECT count(*) FROM docs WHERE doc_id % 7 <> 0) UNION ALL SELECT 1, 'rows line', (SELECT count(*) FROM first)
+UNION ALL SELECT 2, 'route new', (SELECT count(*) FROM docs WHERE doc_id % 7 = 0)
+UNION ALL SELECT 2, 'route changed', (SELECT count(*) FROM docs WHERE doc_id % 7 <> 0 AND doc_id % 5 = 0)
+UNION ALL SELECT 2, 'route unchanged', (SELECT count(*) FROM docs WHERE doc_id % 7 <> 0 AND doc_id % 5 <> 0)
+UNION ALL SELECT 2, 'rows doc', (SELECT count(*) FROM docs WHERE doc_id % 7 = 0 OR doc_id % 5 = 0)
+UNION ALL SELECT 2, 'rows line', (SELECT sum(len(string_split({SECOND}, chr(10))))::BIGINT FROM documents WHERE doc_id % 7 = 0 OR doc_id % 5 = 0)""")
+def run_metrics(spark, sf):
+    """Route counts and rows per table of two deliveries, observed while they were written."""
+    job, rows = _job(spark), []
+    for run, stamp in ((1, RUN1), (2, RUN2)):
+        report = ingest(spark, _version(spark, sf, run == 2), job, stamp)
+        rows += [(run, f"route {s}", n) for s, n in report.counts.items()] + [(run, f"rows {t}", n) for t, n in report.rows.items()]
+    return spark.createDataFrame(rows, "run int, metric string, n long")
+
+
 #: Long lines open rows but have no counter.
 UNCOUNTED = Mapping.from_xml(
     """<records><REC table="doc"><UID/><short><l table="short_line" ctr_id="short_line:line_id">short_line:text</l></short>

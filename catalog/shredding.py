@@ -85,9 +85,7 @@ SELECT id, n AS line_id, nullif(line, '') AS text, CASE WHEN is_long THEN 'long_
 FROM placed""")
 def shred_shared_counter(spark, sf):
     rec = R.read_records(spark, C.lists_corpus(spark, sf))
-    parts = [
-        shred.shred_table(rec, M.LISTS, t).withColumn("source_table", F.lit(t)) for t in ("short_line", "long_line")
-    ]
+    parts = [rows.withColumn("source_table", F.lit(t)) for t, rows in shred.shred_tables(rec, M.LISTS, ["short_line", "long_line"]).items()]
     return parts[0].unionByName(parts[1])
 
 
@@ -96,7 +94,7 @@ SELECT id, line_id AS item_id, nullif(line, '') AS text, CASE WHEN line_id % 3 =
 FROM lines""")
 def shred_interleaved(spark, sf):
     rec = R.read_records(spark, C.lists_corpus(spark, sf))
-    parts = [shred.shred_table(rec, M.LISTS, t).withColumn("source_table", F.lit(t)) for t in ("a_item", "b_item")]
+    parts = [rows.withColumn("source_table", F.lit(t)) for t, rows in shred.shred_tables(rec, M.LISTS, ["a_item", "b_item"]).items()]
     return parts[0].unionByName(parts[1])
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from treeflat.functions.text import parse_iso
 from treeflat.operators import classify, deadletter, nodes, shred, upkeep, validate
@@ -57,6 +57,8 @@ class Report:
     version: int | None = None
     counts: dict[str, int] = field(default_factory=dict)
     dead_letters: int = 0
+    rows: dict[str, int] = field(default_factory=dict)  # written to each table
+    refused: dict[str, int] = field(default_factory=dict)  # by each table's contract, where there are any
 
 
 def now_utc() -> str:
@@ -78,16 +80,17 @@ def ingest(
         return Report(skipped=True)
     stamp = run_ts or now_utc()
     prints, profiled = profile(spark, paths, job, recursive, glob, force)
+    if profiled is None:  # kept profiles are published with the file registry
+        return Report(skipped=True)
     known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
     todo = prints if force else prints.join(upkeep.missing_files(prints, known).select("file_path"), "file_path", "left_semi")
     if job.encoding:
         todo = todo.withColumn("charset", F.lit(job.encoding))
     fragments, refused = source.read_profiled(spark, todo, job.record_tag, job.id_tag)
     if fragments is None and refused.isEmpty():
-        if profiled is not None:  # other time stamps, the same contents
-            change = job.store.begin()
-            keep_profiles(change, profiled)
-            change.publish()
+        change = job.store.begin()  # other time stamps, the same contents
+        keep_profiles(change, profiled)
+        change.publish()
         return Report(skipped=True)
     if fragments is None:
         nothing = spark.createDataFrame([], "value string, source_file string, file_size long, block long")
@@ -117,6 +120,16 @@ def profile(spark: SparkSession, paths, job: Job, recursive: bool, glob: str, fo
     return (prints if same is None else prints.unionByName(same)), made
 
 
+def keep_files(job: Job, change, prints: DataFrame, keys: DataFrame, stamp: Column) -> None:
+    """File registry rows of the files this run has read; the per-file counts come from the light keys."""
+    counted = keys.groupBy(F.col("source_file").alias("file_path")).agg(F.count(F.lit(1)).alias("record_count"))
+    known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
+    rows = upkeep.missing_files(prints, known).join(counted, "file_path", "left").select(
+        "file_path", "file_md5", stamp.alias("processed_at"), F.coalesce("record_count", F.lit(0)).alias("record_count")
+    )
+    change.upsert(FILE_REGISTRY, rows, rows.select("file_path"), "file_path")
+
+
 def keep_profiles(change, made: DataFrame) -> None:
     settled = made.where(F.col("modified") < F.col("read_at") - F.expr(SETTLED)).drop("read_at")
     change.upsert(FILE_PROFILES, settled, made.select("file_path"), "file_path")
@@ -154,11 +167,14 @@ def _run(
     if cut_off:
         keys = keys.join(tails.select("source_file", "pos"), ["source_file", "pos"], "left_anti")
     if job.container:
-        gate = source.inside(fragments, job.container, job.record_tag)
+        gate = staged(source.inside(fragments, job.container, job.record_tag), "gate")
         keys, scan = (df.join(gate, ["source_file", "pos"], "left_semi") for df in (keys, scan))
     registry = job.store.read(RECORD_REGISTRY, classify.REGISTRY_SCHEMA)
-    routed = staged(classify.classify(source.latest_record(keys), registry, unique=True), "routed")
-    counts = {r["status"]: r["records"] for r in classify.route_counts(routed).collect()}
+    classified = classify.classify(source.latest_record(keys), registry, unique=True)
+    # counted as they are written, here and below: nothing is read for a figure
+    routes = Observation("routes")
+    routed = staged(classified.observe(routes, *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in classify.STATUSES]), "routed")
+    counts = {s: n for s, n in routes.get.items() if n}
     wanted = classify.to_process(routed)
 
     # Pass 2 reads the text of the records to process.
@@ -176,15 +192,39 @@ def _run(
     def write(table: str):
         rows = kept_rows(parsed, walked, job, table, stamp, refused_ids)
         contract = job.contracts[table]
-        checked = validate.checked(rows, contract)
+        if not change.writes(table, replaced):
+            return None
+        seen = Observation(f"rows of {table}")
+        error = F.count("error").alias("refused")
+        checked = validate.checked(rows, contract).observe(seen, F.count(F.lit(1)).alias("rows"), error)
         change.upsert(table, validate.project(validate.accepted(checked), contract), ids, "id", replaced)
-        # Tables that cannot refuse a row are not read a second time.
-        if not validate.may_refuse(contract, m, table) or not validate.failed(checked).take(1):
+        got = seen.get
+        report.rows[table] = got["rows"] - got["refused"]
+        if not got["refused"]:
             return None
+        report.refused[table] = got["refused"]
         return validate.refused_rows(rows, contract, table)
 
+    report = Report(counts=counts)
+    # Records in the dead letters are not registered, so a forced run after a repair sees them again.
+    done = wanted.join(parsed.where("not unusable").select("uid"), "uid", "left_semi")
+    if walked is not None:
+        done = done.join(walked.where("error is not null").select("uid"), "uid", "left_anti")
+    if refused_ids is not None:
+        done = done.join(refused_ids.select(F.col("id").alias("uid")), "uid", "left_anti")
+    registries = [lambda: change.upsert(RECORD_REGISTRY, classify.registry_rows(done, run_ts), ids, "uid", replaced)]
+    if prints is not None:
+        registries.append(lambda: keep_files(job, change, prints, keys, stamp))
+    if profiled is not None:
+        registries.append(lambda: keep_profiles(change, profiled))
+
+    # Tables and registries are written side by side and become visible together.
     with ThreadPoolExecutor(max(1, job.writers)) as pool:
-        refused = [r for r in pool.map(write, job.tables) if r is not None]
+        written = [pool.submit(write, t) for t in job.tables]
+        noted = [pool.submit(r) for r in registries]
+        refused = [r for r in (w.result() for w in written) if r is not None]
+        for n in noted:
+            n.result()
 
     lost = source.split_failures(fragments, job.record_tag, job.id_tag, tails if cut_off else None, scan)
     letters = [lost.withColumn("pipeline_step", F.lit("SplitXMLRecords")), *unreadable(parsed, walked, job), *refused]
@@ -196,27 +236,10 @@ def _run(
     if n_dead and job.dead_letters:
         deadletter.write_by_day(dead, job.dead_letters)
 
-    # Registries come last and become visible together with the tables.  Records in the dead
-    # letters are not registered, so a forced run after a repair sees them again.
-    done = wanted.join(parsed.where("not unusable").select("uid"), "uid", "left_semi")
-    if walked is not None:
-        done = done.join(walked.where("error is not null").select("uid"), "uid", "left_anti")
-    if refused_ids is not None:
-        done = done.join(refused_ids.select(F.col("id").alias("uid")), "uid", "left_anti")
-    change.upsert(RECORD_REGISTRY, classify.registry_rows(done, run_ts), ids, "uid", replaced)
-    if prints is not None:
-        # Only the files this run has read; the per-file counts come from the light keys.
-        counted = keys.groupBy(F.col("source_file").alias("file_path")).agg(F.count(F.lit(1)).alias("record_count"))
-        known = job.store.read(FILE_REGISTRY, files.FILE_REGISTRY_SCHEMA)
-        rows = upkeep.missing_files(prints, known).join(counted, "file_path", "left").select(
-            "file_path", "file_md5", stamp.alias("processed_at"), F.coalesce("record_count", F.lit(0)).alias("record_count")
-        )
-        change.upsert(FILE_REGISTRY, rows, rows.select("file_path"), "file_path")
-    if profiled is not None:
-        keep_profiles(change, profiled)
     if also is not None:
         also(change)
-    return Report(version=change.publish(*(batch or ())), counts=counts, dead_letters=n_dead)
+    report.version, report.dead_letters = change.publish(*(batch or ())), n_dead
+    return report
 
 
 def replay(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+STATUSES = ("new", "changed", "unchanged")
 REGISTRY_SCHEMA = "uid string, record_hash string, source_file string, ingested_at timestamp"
 
 

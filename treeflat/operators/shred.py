@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from treeflat.operators import nodes
 from treeflat.plans.mapping import Element, Mapping
+from treeflat.session import staged
 
 ATTR, TEXT, BAD = "@", "#text", "#bad"
 #: An attribute that numbers the openings that share a counter, see :func:`numbered`.
@@ -427,6 +428,19 @@ def staged_arrays(records: DataFrame, mapping: Mapping, tables: list[str], file_
     )
 
 
+def shred_tables(records: DataFrame, mapping: Mapping, tables: list[str], file_number: int = -1) -> dict[str, DataFrame]:
+    """Rows of several tables from one parse, staged: as :func:`shred_table` gives them one by one."""
+    arrays = staged_arrays(records, mapping, tables, file_number)
+    again = F.col("routes").isNotNull()
+    parsed = staged(arrays.withColumn("xml", F.when(again, F.col("xml"))), "parsed")
+    walked = nodes.walk_tables(parsed.where(again & ~F.col("unusable")), mapping, tables)
+    out = {}
+    for at, table in enumerate(tables):
+        rows = nodes.assemble(walked.where(routed_to_nodes(at)), mapping, table, tables, file_number)
+        out[table] = rows if mapping.needs_document_order(table) else rows_of(parsed, mapping, table, at).unionByName(rows)
+    return out
+
+
 def routed_to_nodes(table_at: int) -> Column:
     """Whether a staged record's rows of the table come from the node walk."""
     return F.coalesce(F.array_contains("routes", F.lit(table_at)), F.lit(False))

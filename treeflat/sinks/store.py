@@ -206,6 +206,10 @@ class Change:
         layer = self._write(rows, table, key)
         self.manifest["tables"][table] = {"schema": _nullable(rows.schema).jsonValue(), "key": key, "layers": [layer]}
 
+    def writes(self, table: str, replaced: str) -> bool:
+        """Whether an upsert for these ids (see :meth:`replaced`) writes anything."""
+        return bool(replaced) or not self._layers(table)
+
     def upsert(self, table: str, rows: DataFrame, routed_ids: DataFrame, key: str, replaced: str | None = None) -> None:
         """Replace everything stored for the routed ids by ``rows``.
 

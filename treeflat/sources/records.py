@@ -180,9 +180,10 @@ def mended(fragments: DataFrame, record_tag: str = "REC", id_tag: str = "UID", s
     ``scan`` is a staged :func:`light_scan`, so that nothing is read to find that nothing is to be done.
     """
     light = fragments.select("source_file", _open_after(F.col("value")).alias("open")) if scan is None else scan
-    odd = staged(light.where(F.col("open") != _TEXT).select("source_file").distinct(), "open-files")
-    if not odd.take(1):
+    opened = light.where(F.col("open") != _TEXT).select("source_file")
+    if opened.isEmpty():
         return fragments
+    odd = staged(opened.distinct(), "open-files")
     columns = fragments.columns
     mine = fragments.join(odd, "source_file", "left_semi")
     maps = staged(mine.select("source_file", "block", "pos", *_state_map()), "open-states")
@@ -431,7 +432,7 @@ def inside(fragments: DataFrame, container: str, record_tag: str = "REC") -> Dat
     nets = light.groupBy("source_file", "block").agg(
         F.sum(F.aggregate("tags", F.lit(0), lambda n, t: n + F.when(F.startswith(t, F.lit("/")), -1).otherwise(1))).alias("net")
     )
-    depth_before = staged(nets.select("source_file", "block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("start")), "gate-splits")
+    depth_before = nets.select("source_file", "block", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("start"))
     depth = F.col("start") + F.sum("step").over(until)
     placed = events.join(depth_before, ["source_file", "block"]).withColumn("depth", depth)
 
@@ -441,9 +442,9 @@ def inside(fragments: DataFrame, container: str, record_tag: str = "REC") -> Dat
     numbers = range(1, len(levels) + 1)
     # after its last tag, each fragment with tags has a depth and the names opened last in its split
     named = placed.withColumns({f"n{i}": F.last(opened(i), ignorenulls=True).over(until) for i in numbers})
-    at_record = staged(named.groupBy("source_file", "block", "pos").agg(
+    at_record = named.groupBy("source_file", "block", "pos").agg(
         F.max_by("depth", "at").alias("depth"), *[F.max_by(f"n{i}", "at").alias(f"n{i}") for i in numbers]
-    ), "gate-places")
+    )
     last = at_record.groupBy("source_file", "block").agg(*[F.max_by(f"n{i}", "pos").alias(f"n{i}") for i in numbers])
     carried = depth_before.join(last, ["source_file", "block"], "left").select(
         "source_file", "block", "start", *[F.last(f"n{i}", ignorenulls=True).over(earlier).alias(f"p{i}") for i in numbers]
@@ -456,4 +457,4 @@ def inside(fragments: DataFrame, container: str, record_tag: str = "REC") -> Dat
     found = F.coalesce("depth", "start") == len(levels)
     for i, wanted in zip(numbers, levels):
         found = found & (F.coalesce(f"n{i}", f"p{i}") == wanted)
-    return staged(here.where(found).select("source_file", "pos"), "gate")
+    return here.where(found).select("source_file", "pos")
