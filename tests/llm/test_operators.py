@@ -462,3 +462,38 @@ def test_quality(spark, docs, empty):
 
 def test_base_text_is_not_trivial():
     assert len(BASE.split()) == 60
+
+
+def test_quality_units_of_a_long_text_are_those_of_one_piece(monkeypatch):
+    """A text that is the same half twice: repeats, contexts and pooled vectors do not depend on where it is cut."""
+    half = " ".join(f"Word{i % 4001}x{i % 13}, " + "no no " * (i % 3) for i in range(9_000))
+    column = pa.array(["a b", half + " " + half + " " + "y" * 7_000 + " end", None, "c " * 50])
+
+    def read():
+        table = np.zeros(quality.UNITS * quality.DIMENSION, np.int64)
+        repeats, pieces = {}, 0
+        for first, counts, words_, shapes, again, before in quality.units(column):
+            quality.add_contexts(table, counts, words_, shapes, again, before)
+            row = np.repeat(np.arange(len(counts)), counts)
+            for r in range(len(counts)):
+                repeats.setdefault(first + r, []).extend(again[row == r].tolist())
+            pieces += 1
+        return repeats, table, quality.pooled(column, np.random.default_rng(1).normal(size=(quality.UNITS, quality.DIMENSION))), pieces
+
+    whole = read()
+    assert whole[3] == 1
+    monkeypatch.setattr(quality, "PIECE", 1_500)
+    cut = read()
+    assert cut[3] > 50 and cut[0] == whole[0] and (cut[1] == whole[1]).all() and np.allclose(cut[2], whole[2])
+
+
+def test_columns_with_the_operators_own_names(spark, tmp_path):
+    rows = spark.createDataFrame([(1, BASE, 7, 8, 9, "x"), (2, BASE, 7, 8, 9, "x")], "doc_id long, text string, _gone int, _shard int, _slot int, decoded string")
+    kept = jaccard_join.keep_one_of_each(rows)
+    assert kept.columns == rows.columns and [r.doc_id for r in kept.collect()] == [1]
+    sharding.write_shards(rows, 2, f"file://{tmp_path}/s")
+    back = spark.read.parquet(f"file://{tmp_path}/s")
+    assert set(back.columns) == {*rows.columns, "_shard_", "_slot_"} and {(r._shard, r._slot) for r in back.collect()} == {(8, 9)}
+    ids = sps.sample(rows, k=1).select("doc_id", "ids", F.lit("kept").alias("decoded"))
+    got = sps.decode(ids)
+    assert got.columns == ["doc_id", "ids", "decoded", "decoded_"] and {(r.decoded, r.decoded_) for r in got.collect()} == {("kept", BASE)}

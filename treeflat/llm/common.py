@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treeflat.session import fresh_folder, shared_folder, staged
 
-__all__ = ["crc32_of_id", "fresh_folder", "keyed", "released", "shared_folder", "ship", "staged", "table"]
+__all__ = ["crc32_of_id", "free_name", "fresh_folder", "keyed", "released", "shared_folder", "ship", "staged", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,14 @@ def ship(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def released(run):
     """``run``, a function of batches, that gives freed memory back to the system after each batch: idle workers stay small."""
 

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from treeflat.llm.common import keyed, released, ship, staged
+from treeflat.llm.common import free_name, keyed, released, ship, staged
 from treeflat.llm.components import components
 from treeflat.llm.exact_dedup import bit_at
 from treeflat.llm.words import mix, slices, windows, word_hashes
@@ -398,5 +398,6 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     The rows to drop are found by id, so ids should be unique; of rows with the same id in one class all are kept or none.
     """
     classes = similar_classes(docs, key, text)
-    gone = staged(classes.filter((F.col("doc_id") != F.col("component_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_gone")).distinct(), "join-gone")
-    return docs.join(_small(gone), F.col(f"`{key}`").cast("long") == F.col("_gone"), "left_anti")
+    name = free_name(docs.columns, "_gone")
+    gone = staged(classes.filter((F.col("doc_id") != F.col("component_id")) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(name)).distinct(), "join-gone")
+    return docs.join(_small(gone), F.col(f"`{key}`").cast("long") == F.col(name), "left_anti")

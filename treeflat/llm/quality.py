@@ -45,7 +45,7 @@ SIGNS = np.stack([1 - 2 * ((_UNIT_HASH >> np.uint64(40 + k)) & np.uint64(1)).ast
 
 
 def _pieces(column: pa.Array):
-    """(row, bytes) of texts, long ones cut at white space into pieces of about ``PIECE`` bytes; short ones together."""
+    """(first row, bounds, bytes, whether the row goes on) of texts, long ones cut at white space into pieces of about ``PIECE`` bytes; short ones together."""
     data, at = raw(column)
     n, first = len(at) - 1, 0
     while first < n:
@@ -55,8 +55,12 @@ def _pieces(column: pa.Array):
             end = min(high, low + 2 * PIECE)
             if end < high:
                 space = np.flatnonzero(SPACE[data[low:end]])
-                end = low + int(space[-1]) + 1 if len(space) else end
-            yield first, np.clip(at[first : last + 1] - low, 0, end - low), data[low:end]
+                if len(space):
+                    end = low + int(space[-1]) + 1
+                else:  # a very long word
+                    further = np.flatnonzero(SPACE[data[end:high]])
+                    end = end + int(further[0]) + 1 if len(further) else high
+            yield first, np.clip(at[first : last + 1] - low, 0, end - low), data[low:end], end < high
             low = end
             if low >= high:
                 break
@@ -64,8 +68,14 @@ def _pieces(column: pa.Array):
 
 
 def units(column: pa.Array):
-    """(first row, words per row, word units, shape units, repeat units) for runs of rows."""
-    for first, bounds, data in _pieces(column):
+    """(first row, words per row, word units, shape units, repeat units, units of the word before) for runs of rows.
+
+    A long text comes in several pieces; the pairs of words that it had already, its last two words and the units of the last one go on
+    from piece to piece (at most 8 bytes a distinct pair), so the units are those of the text read in one.
+    """
+    none = np.zeros(0, np.uint64)
+    had, last_words, last_units = none, none, None
+    for first, bounds, data, more in _pieces(column):
         starts, ends = split(data, bounds, SPACE)
         counts = np.diff(np.searchsorted(starts, bounds))
         lower = hashes(LOWER[data], starts, ends)
@@ -81,18 +91,31 @@ def units(column: pa.Array):
         n = len(lower)
         repeats = np.zeros(n, np.int64)
         if n:
-            repeats[1:] += (lower[1:] == lower[:-1]) & (row[1:] == row[:-1])
-            repeats[2:] += 2 * ((lower[2:] == lower[:-2]) & (row[2:] == row[:-2]))
-            pair = mix(lower[1:] + np.uint64(3) * lower[:-1]) ^ (row[1:].astype(np.uint64) << np.uint64(44))
+            # the last words of the piece before stand in front, for what is compared with the word before
+            back = len(last_words)
+            line, whose = np.concatenate([last_words, lower]), np.concatenate([np.zeros(back, row.dtype), row])
+            seen = np.zeros(back + n, np.int64)
+            seen[1:] += (line[1:] == line[:-1]) & (whose[1:] == whose[:-1])
+            seen[2:] += 2 * ((line[2:] == line[:-2]) & (whose[2:] == whose[:-2]))
+            pair = (mix(line[1:] + np.uint64(3) * line[:-1]) ^ (whose[1:].astype(np.uint64) << np.uint64(44)))[max(back - 1, 0) :]
             order = np.argsort(pair, kind="stable")
-            again = np.zeros(n - 1, bool)
-            again[order[1:]] = pair[order[1:]] == pair[order[:-1]]
-            repeats[1:] += 4 * (again & (row[1:] == row[:-1]))
-        yield first, counts, (lower % np.uint64(WORDS)).astype(np.int64), WORDS + (shape % np.uint64(SHAPES)).astype(np.int64), WORDS + SHAPES + repeats
-
-
-def add_contexts(table: np.ndarray, counts: np.ndarray, words: np.ndarray, shapes: np.ndarray, repeats: np.ndarray) -> None:
-    """Add to each unit's row of ``table`` (flat) the index vectors of the units around it."""
+            again = np.isin(pair, had) if len(had) else np.zeros(len(pair), bool)
+            again[order[1:]] |= pair[order[1:]] == pair[order[:-1]]
+            at = max(back, 1)
+            seen[at:] += 4 * (again & (whose[at:] == whose[at - 1 : -1]))
+            repeats = seen[back:]
+            if more:
+                had, last_words = np.union1d(had, pair), line[-2:]
+        kinds = (lower % np.uint64(WORDS)).astype(np.int64), WORDS + (shape % np.uint64(SHAPES)).astype(np.int64), WORDS + SHAPES + repeats
+        yield first, counts, *kinds, last_units
+        if not more:
+            had, last_words, last_units = none, none, None
+        elif n:
+            last_units = [int(k[-1]) for k in kinds]
+
+
+def add_contexts(table: np.ndarray, counts: np.ndarray, words: np.ndarray, shapes: np.ndarray, repeats: np.ndarray, before: list[int] | None = None) -> None:
+    """Add to each unit's row of ``table`` (flat) the index vectors of the units around it; ``before``: units of the word before the first."""
     row = np.repeat(np.arange(len(counts)), counts)
     same = row[1:] == row[:-1]
     of, context = [words, shapes, repeats, shapes], [shapes, repeats, shapes, words]
@@ -100,6 +123,10 @@ def add_contexts(table: np.ndarray, counts: np.ndarray, words: np.ndarray, shape
         a, b = kind[:-1][same], kind[1:][same]
         of += [a, b]
         context += [b, a]
+    if before is not None and len(words):
+        for unit, kind in zip(before, (words, shapes, repeats)):
+            of += [np.array([unit]), kind[:1]]
+            context += [kind[:1], np.array([unit])]
     of, context = np.concatenate(of), np.concatenate(context)
     for k in range(NONZERO):
         table += np.bincount(of * DIMENSION + PLACES[context, k], SIGNS[context, k], len(table)).astype(np.int64)
@@ -130,7 +157,7 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     """A row per text: the means of its units' vectors, kind by kind."""
     out = np.zeros((len(column), 3 * DIMENSION), np.float64)
     words_of = np.zeros(len(column))
-    for first, counts, *kinds in units(column):
+    for first, counts, *kinds, _ in units(column):
         rows = np.flatnonzero(counts)
         if not len(rows):
             continue

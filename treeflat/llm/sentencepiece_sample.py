@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from treeflat.llm.common import keyed, released, ship
+from treeflat.llm.common import free_name, keyed, released, ship
 from treeflat.llm.words import _powers_to, mix, slices
 
 ship(__name__)
@@ -346,8 +346,8 @@ def segmentations(vocabulary: Vocabulary, keys: np.ndarray, texts: list[str], k:
 _SCHEMA = "doc_id long, rank int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
 
 
-def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Up to k distinct segmentations of every row: doc_id, rank (by perturbed value), ids, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the text)."""
+def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key: str = "doc_id", text: str = "text", run_size: int = RUN) -> DataFrame:
+    """``run_size`` characters are worked on together: fewer take less memory and a little more time.  Up to k distinct segmentations of every row: doc_id, rank (by perturbed value), ids, log_prob, perturbed, log_inclusion, round_trip (the ids decode to the text)."""
     with open(model, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -373,7 +373,7 @@ def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key:
                 ids.append(i)
                 texts.append(t)
                 size += len(t)
-                if size >= RUN:
+                if size >= run_size:
                     yield rows(vocabulary, ids, texts)
                     ids, texts, size = [], [], 0
             if ids:
@@ -383,18 +383,19 @@ def sample(docs: DataFrame, k: int = 2, seed: int = 0, model: str = MODEL, key:
 
 
 def decode(rows: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
-    """``rows`` with the column ``decoded``: the text that the pieces of ``ids`` spell (null for null)."""
+    """``rows`` with the column ``decoded``: the text that the pieces of ``ids`` spell (null for null); underscores are added where ``rows`` has such a column."""
     from pyspark.sql import types as T
 
     with open(model, "rb") as f:
         sent = rows.sparkSession.sparkContext.broadcast(f.read())
     at = rows.columns.index(ids)
-    schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
+    name = free_name(rows.columns, "decoded")
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches):
         vocabulary = Vocabulary(sent.value)
         for b in batches:
             texts = [None if x is None else vocabulary.decode(x) for x in (v.values.to_numpy() if v.is_valid else None for v in b.column(at))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, name])
 
     return rows.mapInArrow(released(run), schema)

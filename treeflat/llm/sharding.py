@@ -21,7 +21,7 @@ from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from treeflat.llm.common import keyed, staged
+from treeflat.llm.common import free_name, keyed, staged
 
 #: Fixed cost of a record in bytes.
 OVERHEAD = 16
@@ -133,7 +133,11 @@ def shards(docs: DataFrame, count: int, key: str = "doc_id", text: str = "text")
 
 
 def write_shards(docs: DataFrame, count: int, path: str, key: str = "doc_id", text: str = "text") -> None:
-    """Write ``docs`` (unique ids) as Parquet, a folder per shard, cut into files by AQE and sorted by slot inside a file."""
-    placed = shards(docs, count, key, text).select(F.col("doc_id").alias("_shard_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(placed, F.col(f"`{key}`").cast("long") == F.col("_shard_id")).drop("_shard_id")
-    joined.hint("rebalance", "_shard").sortWithinPartitions("_shard", "_slot").write.partitionBy("_shard").parquet(path)
+    """Write ``docs`` (unique ids) as Parquet, a folder per shard, cut into files by AQE and sorted by slot inside a file.
+
+    Shard and slot are the columns ``_shard`` and ``_slot``, with underscores added where ``docs`` has such columns.
+    """
+    own, shard, slot = (free_name(docs.columns, n) for n in ("_shard_id", "_shard", "_slot"))
+    placed = shards(docs, count, key, text).select(F.col("doc_id").alias(own), F.col("shard").alias(shard), F.col("slot").alias(slot))
+    joined = docs.join(placed, F.col(f"`{key}`").cast("long") == F.col(own)).drop(own)
+    joined.hint("rebalance", F.col(shard)).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
