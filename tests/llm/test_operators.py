@@ -443,6 +443,20 @@ def test_extraction_keeps_formulas_and_text_after_unclosed_media():
         assert html_extract.main_text(f"<body><p>One, two.</p><{name}>no</{name}><p>Three, four.</p></body>") == "One, two.\n\nThree, four."
 
 
+def test_extraction_of_deep_pages():
+    """Elements that are never closed lie ever deeper: the page is still read in one go, every block in page order."""
+    n = 20_000
+    for opened in ("<div>", "<div class=a>", "<li><ul><b>", "<x-a>"):
+        page = "".join(f"{opened}word {k}, text. " for k in range(n))
+        found = html_extract.blocks(page).blocks
+        assert len(found) == n and found[-1][3] == f"word {n - 1}, text."
+        assert len({b[0] for b in found}) == n
+        assert html_extract.main_text(page)
+    assert html_extract.main_text("<p>" + "<b>x</i>" * n) == "x" * n
+    whole = "<div>" * n + "<p>One, two.</p><p>Three, four; five.</p>" + "</div>" * n
+    assert html_extract.main_text(f"<body>{whole}<div class=menu><p>Home, away.</p></div></body>") == "One, two.\n\nThree, four; five."
+
+
 def test_quality(spark, docs, empty):
     good, bad = "Plain words follow each other in a sentence about number", "&&& $$$ word### word### !!! *** %%%"
     rows = [(i, f"{good} {i} and so on." if i % 3 else f"{bad} {i} &&&") for i in range(400)]

@@ -14,6 +14,7 @@ they hold most of the page's text (``MOST``) and its article: a name such as ``c
 Defined results: null and empty pages, and pages without text, give the empty text.  Tags that are never closed, quotes that never
 end and comments that never end are read as browsers read them; drawings, media and objects that are never closed are read as ordinary elements.
 Formulas are text; their annotations (the same formula in another notation) are not.  Work is row by row; nothing is shuffled, capped or cut.
+A page costs time and memory in proportion to its length, however deep its elements lie: paths are numbers, and sums go up the tree once.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections import defaultdict
 import html
 import math
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -91,8 +93,18 @@ def _attributes(text: str) -> tuple[str, bool, bool, bool]:
     return suffix, boiler or not names.isdisjoint(BOILERPLATE), not names.isdisjoint(REMARKS), hidden
 
 
-def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
-    """(path, elements from the root, whether it is a heading, text, characters inside links) of every visible block in page order."""
+class Page(NamedTuple):
+    """The elements of a page by number in page order (0 stands for the page itself), and its visible blocks."""
+
+    parent: list[int]  # the block-level element around it
+    depth: list[int]
+    tag: list[str]
+    last: list[int]  # the largest number inside an element
+    blocks: list[tuple[int, int, bool, str, int]]  # path, innermost element, whether it is a heading, text, characters inside links
+
+
+def blocks(page: str) -> Page:
+    """The elements and visible blocks of a page."""
     found, named, text, core = _read(page, frozenset())
     spared = set()
     for number, remarks, own_text, own_core in named:
@@ -101,17 +113,21 @@ def blocks(page: str) -> list[tuple[str, tuple[int, ...], bool, str, int]]:
     return _read(page, spared)[0] if spared else found
 
 
-def _read(page: str, spared: frozenset | set) -> tuple[list, list, int, int]:
+def _read(page: str, spared: frozenset | set) -> tuple[Page, list, int, int]:
     """The blocks; (number, whether it names remarks, characters, characters in articles and first headings) of every form and element
     named as boilerplate; the page's characters and those in articles and first headings.  Elements in ``spared`` are read."""
-    out: list = []
+    out = Page([0], [-1], [""], [0], [])
     named: list[tuple[int, bool, int, int]] = []
     # name, number, whether it is skipped, whether it is a block, whether it never counts, whether it is an article, the counts before it where it is named
     stack: list[tuple] = []
+    places: dict[str, list[int]] = defaultdict(list)  # where on the stack a name is open
+    scopes: list[int] = []  # where elements of ``_SCOPE`` are
     endless: set[str] = set()  # names without a further end tag
-    labels: list[str] = []  # of the blocks on the stack
+    owners = [0]  # blocks on the stack
+    trail = [0]  # their paths: numbers, as found in ``paths`` by the path around them and the own label
+    paths: dict[tuple[int, str], int] = {}
     parts: list[str] = []
-    linked = numbers = at = skipped = links = never = cores = total = core = 0
+    linked = at = skipped = links = never = cores = total = core = 0
 
     def flush() -> None:
         nonlocal linked
@@ -119,14 +135,16 @@ def _read(page: str, spared: frozenset | set) -> tuple[list, list, int, int]:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                owners = [s for s in stack if s[3]]
-                heading = bool(owners) and owners[-1][0] in HEADINGS
-                out.append(("/".join(labels), tuple(s[1] for s in owners), heading, text, linked))
+                out.blocks.append((trail[-1], owners[-1], out.tag[owners[-1]] in HEADINGS, text, linked))
         linked = 0
 
     def pop() -> None:
         nonlocal skipped, links, never, cores
         name, number, skip, block, hard, article, before = stack.pop()
+        places[name].pop()
+        if name in _SCOPE:
+            scopes.pop()
+        out.last[number] = len(out.tag) - 1
         skipped -= skip
         never -= hard
         cores -= article
@@ -134,19 +152,18 @@ def _read(page: str, spared: frozenset | set) -> tuple[list, list, int, int]:
             named.append((number, before[0], total - before[1], core - before[2]))
         links -= name == "a"
         if block:
-            labels.pop()
-
-    def close(names: frozenset | set, scope: frozenset = frozenset()) -> None:
-        """Pop through the innermost open element of ``names``; elements of ``scope`` shield what is above them."""
-        for depth in range(len(stack) - 1, -1, -1):
-            if stack[depth][0] in names:
-                if any(s[3] for s in stack[depth:]):
-                    flush()
-                while len(stack) > depth:
-                    pop()
-                return
-            if stack[depth][0] in scope:
-                return
+            owners.pop()
+            trail.pop()
+
+    def close(names: frozenset | set, scoped: bool = False) -> None:
+        """Pop through the innermost open element of ``names``; if ``scoped``, elements of ``_SCOPE`` shield what is above them."""
+        depth = max((places[n][-1] for n in names if places.get(n)), default=-1)
+        if depth < 0 or (scoped and scopes and depth < scopes[-1]):
+            return
+        if any(stack[k][3] for k in range(depth, len(stack))):
+            flush()
+        while len(stack) > depth:
+            pop()
 
     def word(text: str) -> None:
         nonlocal linked, total, core
@@ -201,34 +218,42 @@ def _read(page: str, spared: frozenset | set) -> tuple[list, list, int, int]:
         block = name not in INLINE
         if block:
             flush()
-            close({"p"}, _SCOPE)
+            close({"p"}, True)
             if name in _CLOSES:
-                close(set(_CLOSES[name].split()), _SCOPE)
+                close(set(_CLOSES[name].split()), True)
             if name in HEADINGS:
-                close(HEADINGS, _SCOPE)
-        inside = any(s[0] in ("article", "main") for s in stack)
+                close(HEADINGS, True)
+        inside = places.get("article") or places.get("main")
         hard = hidden or name in SKIPPED or (name == "header" and not inside)
         if name in ("article", "main"):
             soft = remarks
         else:
             soft = name in FORMS or (boiler and name not in ("html", "body"))
-        numbers += 1
-        skip = hard or (soft and numbers not in spared)
+        number = len(out.tag)
+        skip = hard or (soft and number not in spared)
         article = name == "h1" or (name in ("article", "main") and not remarks)
-        stack.append((name, numbers, skip, block, hard, article, (remarks, total, core) if soft and not hard else None))
+        out.parent.append(owners[-1])
+        out.depth.append(out.depth[owners[-1]] + 1)
+        out.tag.append(name)
+        out.last.append(number)
+        places[name].append(len(stack))
+        if name in _SCOPE:
+            scopes.append(len(stack))
+        stack.append((name, number, skip, block, hard, article, (remarks, total, core) if soft and not hard else None))
         skipped += skip
         never += hard
         cores += article
         links += name == "a"
         if block:
-            labels.append(name + suffix)
+            owners.append(number)
+            trail.append(paths.setdefault((trail[-1], name + suffix), len(paths) + 1))
     flush()
     while stack:
         pop()
     return out, named, total, core
 
 
-def _path_scores(found: list) -> dict[str, float]:
+def _path_scores(found: list) -> dict[int, float]:
     """Per path, the mean over its blocks of the smoothed and fused ratios."""
     chars, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for path, _, _, text, linked in found:
@@ -247,34 +272,27 @@ def _path_scores(found: list) -> dict[str, float]:
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by a blank line."""
-    found = blocks(page or "")
+    parent, depth, tag, last, found = blocks(page or "")
     if not found:
         return ""
     scores = _path_scores(found)
     size = sum(len(b[3]) for b in found)
     threshold = SHARE * sum(scores[b[0]] * len(b[3]) for b in found) / size
     content = [scores[b[0]] >= threshold for b in found]
-    inside = defaultdict(int)
+    inside = [0] * len(tag)
     for b, chosen in zip(found, content):
         if chosen:
-            for depth, element in enumerate(b[1]):
-                inside[depth, element] += len(b[3])
-    whole = sum(len(b[3]) for b, chosen in zip(found, content) if chosen)
-    best = max((key for key, n in inside.items() if n >= CORE * whole), default=None)
-    owners = {element: b[1][: depth + 1] for b in found for depth, element in enumerate(b[1])}
-    paths = {b[1]: b[0] for b in found}
+            inside[b[1]] += len(b[3])
+    for element in range(len(tag) - 1, 0, -1):  # what lies inside an element has a larger number
+        inside[parent[element]] += inside[element]
+    whole = inside[0]
+    best = max((element for element in range(1, len(tag)) if 0 < inside[element] >= CORE * whole), key=lambda e: (depth[e], e), default=0)
+    # a single paragraph is no article: go up to the element around it
+    while depth[best] > 0 and (tag[best] in HEADINGS or tag[best] in ("p", "li", "td", "th", "tr", "dd", "dt", "blockquote", "pre")):
+        best = parent[best]
     taken = []
-    if best is not None:
-        chain = owners[best[1]]
-        names = next(paths[b[1]] for b in found if b[1][: len(chain)] == chain).split("/")
-        tag = [n.split(".")[0] for n in names]
-        depth = best[0]
-        # a single paragraph is no article: go up to the element around it
-        while depth > 0 and (tag[depth] in HEADINGS or tag[depth] in ("p", "li", "td", "th", "tr", "dd", "dt", "blockquote", "pre")):
-            depth -= 1
-        if tag[depth] not in ("html", "body"):
-            chain = chain[: depth + 1]
-            taken = [b[3] for b in found if b[1][: depth + 1] == chain]
+    if best and tag[best] not in ("html", "body"):
+        taken = [b[3] for b in found if best <= b[1] <= last[best]]
     if not taken:
         taken = [b[3] for k, b in enumerate(found) if content[k] or (b[2] and any(content[k + 1 : k + 2]))]
     return "\n\n".join(taken)
