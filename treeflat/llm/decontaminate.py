@@ -5,7 +5,9 @@ format characters do not hide a passage; letters of scripts that are written wit
 ``MIN_MATCH`` words in a row that a document shares with a benchmark item.  Seeds in a row on one diagonal are a common
 run; the longest run whose words are all unmarked becomes a tile and its words are marked in both texts, a run that is partly
 marked is cut down and goes back, until no run of ``MIN_MATCH`` words is left.  The share of the item's words under
-tiles is its coverage: the order of the tiles does not matter, so reordered passages count in full.
+tiles is its coverage: the order of the tiles does not matter, so reordered passages count in full.  An item's words under any
+shared seed bound its coverage; only items whose bound suffices are tiled, so a stem that many items share costs once each, however
+often a document repeats it.
 
 The benchmark is worked through in blocks of about ``BLOCK_BYTES`` (each broadcast, one pass over the documents per block), so
 what is broadcast is bounded whatever its size.  Documents are not shuffled.
@@ -116,6 +118,11 @@ def tiles(i: np.ndarray, j: np.ndarray, n: int) -> tuple[int, int, int]:
     return int(in_item.sum()), count, longest
 
 
+def _spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` numbers in a row from each ``first`` on."""
+    return np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def matches(column: pa.Array, block: Block, coverage: float) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item, covered words, tiles, longest tile) for every pair that reaches ``coverage``."""
     if not len(block.seeds):
@@ -129,21 +136,30 @@ def matches(column: pa.Array, block: Block, coverage: float) -> Iterator[tuple[i
         starts = slices(have)
         row = np.searchsorted(starts, hit, "right") - 1
         low, high = at[hit], np.searchsorted(block.seeds, seeds[hit], "right")
-        for r in np.unique(row):
-            mine = row == r
-            n = (high - low)[mine]
-            where = np.repeat(low[mine], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            i = np.repeat(hit[mine] - starts[r], n)
-            items, j = block.item[where], block.place[where]
-            for item in np.unique(items):
-                length = int(block.lengths[item])
-                own = items == item
-                # each seed covers at most MIN_MATCH words: too few different seeds cannot reach the coverage
-                if len(np.unique(j[own])) * MIN_MATCH < coverage * length:
-                    continue
-                covered, count, longest = tiles(i[own], j[own], length)
-                if covered >= coverage * length:
-                    yield first + int(r), int(item), covered, count, longest
+        edges = np.flatnonzero(np.r_[True, np.diff(row) != 0, True])
+        for a, b in zip(edges[:-1], edges[1:]):
+            r = row[a]
+            by_seed = np.argsort(low[a:b], kind="stable")
+            seed, place_of, often = np.unique(low[a:b][by_seed], return_index=True, return_counts=True)
+            text_at = (hit[a:b] - starts[r])[by_seed]
+            # every seed once, with the items that hold it: where a seed stands in the text does not matter yet
+            n = high[a:b][by_seed][place_of] - seed
+            held, entry = np.repeat(np.arange(len(seed)), n), _spread(seed, n)
+            order = np.lexsort((block.place[entry], block.item[entry]))
+            held, items, place = held[order], block.item[entry[order]], block.place[entry[order]]
+            new = np.flatnonzero(np.r_[True, np.diff(items) != 0])
+            ends = np.r_[new[1:], len(items)]
+            step = np.r_[np.diff(place), MIN_MATCH]
+            step[ends - 1] = MIN_MATCH
+            most = np.add.reduceat(np.minimum(step, MIN_MATCH), new)  # words under any shared seed: no tiling covers more
+            lengths = block.lengths[items[new]]
+            for k in np.flatnonzero(most >= coverage * lengths):
+                own = slice(new[k], ends[k])
+                times = often[held[own]]
+                i = text_at[_spread(place_of[held[own]], times)]
+                covered, count, longest = tiles(i, np.repeat(place[own], times), int(lengths[k]))
+                if covered >= coverage * lengths[k]:
+                    yield first + int(r), int(items[new[k]]), covered, count, longest
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[Block]:
