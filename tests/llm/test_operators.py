@@ -4,6 +4,7 @@ import base64
 from collections import Counter
 import hashlib
 import math
+from pathlib import Path
 import re
 import unicodedata
 import zlib
@@ -211,6 +212,16 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.contaminated(empty, bench).count() == decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_with_a_stem_that_all_items_share():
+    """A document that repeats the stem holds no item; an item after its stem, however often that stands before it, is found."""
+    stem = " ".join(f"s{i}" for i in range(8))
+    items = [(k, stem + " " + " ".join(f"x{k}y{i}" for i in range(12))) for k in range(3000)] + [(5000, stem)]
+    block = decontaminate.Block(items)
+    texts = [" ".join([stem] * 400), " ".join([stem] * 300) + " " + items[7][1], " ".join(items[9][1].split()[:15]), None, "s0 " * 50]
+    got = list(decontaminate.matches(pa.array(texts, pa.large_string()), block, 0.8))
+    assert got == [(0, 3000, 8, 1, 8), (1, 7, 20, 1, 20), (1, 3000, 8, 1, 8), (2, 3000, 8, 1, 8)]
+
+
 def test_decontamination_in_other_scripts(spark):
     """Case, punctuation and scripts without blanks do not hide a copy."""
     fr = "les élèves français étaient déjà là où l’été s’achève à Évian près du lac gelé"
@@ -334,6 +345,20 @@ def test_language_model(spark, docs, empty, order):
         assert none.train_tokens == 0 and none.score == 0
 
 
+def test_language_model_keeps_counts_of_any_size(spark, docs, monkeypatch, tmp_path):
+    """Counts that do not fit stand beside, whole; few files are mapped at a time."""
+    counts = np.array([1, 2**32 - 2, 2**32 - 1, 7, 2**40, 2**32], np.uint64)
+    lm._write_counts(str(tmp_path), "c", counts)
+    files = lm.Model({"folder": str(tmp_path), "parts": 1})
+    assert (files._counts("c", np.array([5, 0, 4, 2, 2, 1, 3])) == counts[[5, 0, 4, 2, 2, 1, 3]]).all()
+    want = sorted(map(tuple, lm.score(docs, lm.train(docs, 3)).collect()), key=key)
+    monkeypatch.setattr(lm, "LARGE", np.uint64(2))
+    monkeypatch.setattr(lm, "MAPS", 2)
+    model = lm.train(docs, 3)
+    assert any(p.name.endswith("-large") for p in Path(model["folder"]).iterdir())
+    assert sorted(map(tuple, lm.score(docs, model).collect()), key=key) == want
+
+
 def test_packed_blocks_are_whole():
     rng = np.random.default_rng(2)
     pool = np.r_[rng.integers(0, 2**64, 50, np.uint64), np.uint64(0), np.uint64(2**64 - 1)]

@@ -9,7 +9,9 @@ orders.  The number of ranges follows from the bytes of the texts and the order,
 Model.  p_k(w|h) = max(c - D(c), 0) / total(h) + gamma(h) p_(k-1)(w|h'), down to the uniform 1/(V+1); c is the count for the highest
 order and the number of different words before the n-gram below it; the three discounts of an order come from its counts of counts.
 
-Scoring.  Workers map the files of the shared folder and look up sorted queries; nothing is loaded whole, documents are not
+Files.  Counts take 4 bytes each; larger ones stand, whole, in a file of their own.  Contexts that were seen once are keys alone.
+
+Scoring.  Workers map the files of the shared folder, at most ``MAPS`` at a time, and look up sorted queries; nothing is loaded whole, documents are not
 shuffled.  The shared folder must be a mounted path (``file:``), since memory maps need one.
 
 Tokens.  A-Z is lower-cased; words are runs without white space; one end token closes a text.  Defined results: null and empty texts are
@@ -38,6 +40,10 @@ ship(__name__)
 RANGE_BYTES = 24 * 1024 * 1024
 #: Tokens that are looked up together, and that are counted before a task sends them on.
 LOOK_UP, COUNT_UP = 1_000_000, 3_000_000
+#: Files that a worker keeps mapped.
+MAPS = 256
+#: Counts from here on do not fit into 4 bytes.
+LARGE = np.uint64(2**32 - 1)
 BEGIN, END = np.uint64(0x6A09E667F3BCC909), np.uint64(0xBB67AE8584CAA73B)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _GRAMS, _CONTEXTS, _STATS = 0, 1, 2
@@ -150,6 +156,14 @@ def _write(folder: str, name: str, array: np.ndarray) -> None:
     os.replace(draft, f"{folder}/{name}")
 
 
+def _write_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """4 bytes each; from ``LARGE`` on, place and count stand in a file beside."""
+    _write(folder, name, np.minimum(counts, LARGE).astype(np.uint32))
+    large = np.flatnonzero(counts >= LARGE)
+    if len(large):
+        _write(folder, f"{name}-large", np.stack([large.astype(np.uint64), counts[large]]))
+
+
 def _count(order: int, parts: int):
     def run(batches):
         def send(held):
@@ -187,13 +201,17 @@ def _reduce(parts: int, folder: str):
         sums = [np.concatenate([s[k] for _, s in pieces]) for k in range(len(pieces[0][1]))]
         if kind == _CONTEXTS:
             keys, _, sums = _merge(words[0], [], sums)
-            _write(folder, f"context-{level}-{part}", np.stack([keys, *sums]))
+            once = sums[0] == 1
+            _write(folder, f"once-{level}-{part}", keys[once])
+            _write(folder, f"contexts-{level}-{part}", keys[~once])
+            for k, column in enumerate(sums):
+                _write_counts(folder, f"context{k}-{level}-{part}", column[~once])
             return
         keys, words, (counts, raw) = _merge(gram_hash(words), words, sums)
         _write(folder, f"keys-{level}-{part}", keys)
-        _write(folder, f"counts-{level}-{part}", np.minimum(counts, np.uint64(2**32 - 1)).astype(np.uint32))
+        _write_counts(folder, f"counts-{level}-{part}", counts)
         if level == 1:
-            _write(folder, f"raw-{part}", raw)
+            _write_counts(folder, f"raw-{part}", raw)
         yield _STATS, level, part, _statistics(level, counts, raw)
         if level == 1:
             return
@@ -271,43 +289,55 @@ class Model:
         self.edges = _edges(model["parts"])
         self.maps: dict[str, np.ndarray | None] = {}
 
-    def _file(self, name: str, kind) -> np.ndarray | None:
-        if name not in self.maps:
+    def _file(self, name: str, kind=np.uint64) -> np.ndarray | None:
+        if name in self.maps:
+            self.maps[name] = self.maps.pop(name)  # the last one used stands last
+        else:
             path = f"{self.model['folder']}/{name}"
             self.maps[name] = np.memmap(path, kind, "r") if os.path.exists(path) and os.path.getsize(path) else None
+            if len(self.maps) > MAPS:
+                del self.maps[next(iter(self.maps))]
         return self.maps[name]
 
-    def _find(self, wanted: np.ndarray, keys, columns, width: int) -> np.ndarray:
-        """Values of ``wanted`` (any order), a column each; zeros where a key is unknown.  ``keys`` and ``columns`` give the arrays of a range."""
+    def _counts(self, name: str, at: np.ndarray) -> np.ndarray:
+        """The counts at these places of a file."""
+        out = self._file(name, np.uint32)[at].astype(np.float64)
+        large = np.flatnonzero(out == LARGE)
+        if len(large):
+            places, counts = self._file(f"{name}-large").reshape(2, -1)
+            out[large] = counts[np.searchsorted(places, at[large].astype(np.uint64))]
+        return out
+
+    def _find(self, wanted: np.ndarray, width: int, *kinds) -> np.ndarray:
+        """Values of ``wanted`` (any order), a column each; zeros where a key is unknown.  ``kinds`` are a name of files of keys, and what gives
+        the columns of a range for places in its file; a key is in one of them at most."""
         unique, back = np.unique(wanted, return_inverse=True)
         out = np.zeros((width, len(unique)), np.float64)
         cuts = np.r_[np.searchsorted(unique, self.edges), len(unique)]
         for p in np.flatnonzero(np.diff(cuts)):
             a, b = cuts[p], cuts[p + 1]
-            known = keys(p)
-            if known is None:
-                continue
-            at = np.minimum(np.searchsorted(known, unique[a:b]), len(known) - 1)
-            hit = np.flatnonzero(known[at] == unique[a:b])
-            for k, column in enumerate(columns(p)):
-                out[k, a + hit] = column[at[hit]]
+            for name, columns in kinds:
+                known = self._file(f"{name}-{p}")
+                if known is None:
+                    continue
+                at = np.minimum(np.searchsorted(known, unique[a:b]), len(known) - 1)
+                hit = np.flatnonzero(known[at] == unique[a:b])
+                for k, column in enumerate(columns(p, at[hit])):
+                    out[k, a + hit] = column
         return out[:, back]
 
     def counts(self, level: int, keys: np.ndarray) -> np.ndarray:
-        return self._find(keys, lambda p: self._file(f"keys-{level}-{p}", np.uint64), lambda p: [self._file(f"counts-{level}-{p}", np.uint32)], 1)[0]
+        return self._find(keys, 1, (f"keys-{level}", lambda p, at: [self._counts(f"counts-{level}-{p}", at)]))[0]
 
     def words(self, keys: np.ndarray) -> np.ndarray:
         """Continuation counts (counts, for order 1) and counts of words."""
-        return self._find(keys, lambda p: self._file(f"keys-1-{p}", np.uint64), lambda p: [self._file(f"counts-1-{p}", np.uint32), self._file(f"raw-{p}", np.uint64)], 2)
+        return self._find(keys, 2, ("keys-1", lambda p, at: [self._counts(f"counts-1-{p}", at), self._counts(f"raw-{p}", at)]))
 
     def contexts(self, level: int, keys: np.ndarray) -> np.ndarray:
         """Total, followers with count 1, 2, 3 or more."""
-
-        def rows(p):
-            got = self._file(f"context-{level}-{p}", np.uint64)
-            return None if got is None else got.reshape(5, -1)
-
-        return self._find(keys, lambda p: None if rows(p) is None else rows(p)[0], lambda p: list(rows(p)[1:]), 4)
+        often = lambda p, at: [self._counts(f"context{k}-{level}-{p}", at) for k in range(4)]
+        once = lambda p, at: [1.0, 1.0, 0.0, 0.0]
+        return self._find(keys, 4, (f"contexts-{level}", often), (f"once-{level}", once))
 
     def _step(self, level: int, counts: np.ndarray, total, ones, twos, more, lower: np.ndarray) -> np.ndarray:
         d1, d2, d3 = self.model["discounts"][level]
