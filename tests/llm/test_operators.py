@@ -156,10 +156,10 @@ def test_jaccard_join(spark, docs, empty):
 
 @pytest.mark.parametrize("few", [False, True])
 def test_jaccard_join_on_random_copies(spark, monkeypatch, few):
-    """With one pivot and one central member less is found early, and more is left to the later steps."""
+    """With one pivot and narrow groups less is found early, and more is left to the later steps."""
     if few:
         monkeypatch.setattr(jaccard_join, "TURNS", 1)
-        monkeypatch.setattr(jaccard_join, "CENTRES", 1)
+        monkeypatch.setattr(jaccard_join, "FAMILY", 75)
     rng = np.random.default_rng(5)
     rows, base = [], [" ".join(f"v{x}" for x in rng.integers(0, 400, n)) for n in (6, 12, 40, 90)]
     for i in range(160):
@@ -172,9 +172,9 @@ def test_jaccard_join_on_random_copies(spark, monkeypatch, few):
 
 
 def test_jaccard_join_opens_groups_in_full(spark, monkeypatch):
-    """Askers that link with one member only, which is not the central one."""
+    """Members and askers of a wide group that link with one member only, which is not the pivot."""
     monkeypatch.setattr(jaccard_join, "TURNS", 1)
-    monkeypatch.setattr(jaccard_join, "CENTRES", 1)
+    monkeypatch.setattr(jaccard_join, "FAMILY", 20)
     seen, staged = [], jaccard_join.staged
     monkeypatch.setattr(jaccard_join, "staged", lambda df, label: seen.append(label) or staged(df, label))
     rng = np.random.default_rng(3)

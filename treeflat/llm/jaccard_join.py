@@ -4,16 +4,19 @@ A document is its set of 5-word shingles (64-bit hashes).  Equal sets are one *n
 100 * intersection >= 80 * union.  Asked for are the classes that links connect, so a link between two nodes known to be connected need not be
 found again; no link that would connect two classes is missed.
 
-1. Groups.  Nodes that agree in two of eight minimum hashes are compared with a few pivots (one per shared key and turn, so the
-   work is linear in the group); connected components of the verified links are the groups.  Any other node is a group of its own.
+1. Groups.  Nodes that agree in two of eight minimum hashes are compared with the pivots of their keys (one per shared key and turn, so the
+   work is linear in the key's nodes).  Links found so make first classes.  A node joins the group of a first pivot to which it is similar at all (``FAMILY``),
+   linked or not; of several, that of the most frequent key.  So the near copies of one text are one group, whatever their classes.  Any other
+   node is a group of its own.
 2. Matrix.  Tokens have one global order: by hash, with tokens that tasks saw again and again put last.  A node's
    first ``n - ceil(0.8 n) + DEPTH`` tokens are its prefix; two linked nodes share at least ``DEPTH`` tokens of their prefixes (all, if they have
    fewer).  A group's row of the matrix is the union of its members' prefixes, kept by token; tokens of one group only are dropped at once.
-3. Bound.  A node's overlap with a group's union is counted through the matrix.  Sizes say how much of a link's overlap must lie in the
+3. Bound.  A node's overlap with another group's union is counted through the matrix.  Sizes say how much of a link's overlap must lie in the
    prefixes; below that no member can link with it.  For groups of several the whole set is then counted against the union of whole sets.
-4. Open.  A qualifying group of one is compared exactly if enough prefix tokens are shared.  Of a group of several the most central members (those
-   whose tokens most others hold) are compared first; where asker and group are still in two classes, every member is a candidate that fits in
-   size and holds one of the asker's prefix tokens, taken rarest first and without as many as a linked member cannot all miss.
+4. Open.  A qualifying group of one is compared exactly if enough prefix tokens are shared.  In a group of several, and in a node's own, sets are told by
+   their differences from the group's pivot: the tokens that one of the two holds alone.  With differences X and Y of sets of n and m tokens, a
+   link needs ``|X| + |Y| - 2 |X and Y| <= (n + m) / 9``.  Sets that both link with the pivot are in its class; otherwise that forces a shared
+   token of the differences, and as it forces many where differences are large, only the rarest are met (the more are needed, the fewer).
 
 Everything between the steps is a written table.  The order of tokens and the choice of pivots decide the work, not the result.
 Broadcast are bit tables of 4 and at most 64 MB, and tables that were counted first (``BROADCAST_ROWS``; beyond it the join is a shuffle).
@@ -46,8 +49,8 @@ BITS = 1 << 25
 BROADCAST_ROWS = 500_000
 #: Pivots per key; the first decides most, the others are asked for what is still apart.
 TURNS = 8
-#: Members of a group of several that its askers meet first.
-CENTRES = 16
+#: Similarity to its pivot, per cent, from which on a node is in a group.
+FAMILY = 50
 #: Tokens that a task counts together.
 COUNTED = 1_000_000
 _BINS, _KEYS = 8, 4
@@ -211,10 +214,49 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep[k] = 100 * common >= SIMILAR * (len(p) + len(q) - common)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
 
+    return _both_sets(pairs.select("a", "b"), sets).select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
+
+
+def _both_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the whole sets ``x`` of ``a`` and ``y`` of ``b``."""
     sets = sets.join(_small(staged(_ends(pairs), "join-ends")), "node", "left_semi")  # pushed below the removal of repeats
     first = sets.select(F.col("node").alias("a"), F.col("whole").alias("x"))
     second = sets.select(F.col("node").alias("b"), F.col("whole").alias("y"))
-    return pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
+    return pairs.join(first, "a").join(second, "b")
+
+
+def _differences(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """(node, root, size, n, m, linked, diff) of the ``pairs`` (a, b, size) that are similar by ``least`` per cent: the sizes of both sets, whether
+    they link, and the tokens that one of them holds alone."""
+
+    def run(batches):
+        for b in batches:
+            x, y = b.column(3), b.column(4)
+            xo, yo = x.offsets.to_numpy(), y.offsets.to_numpy()
+            xv, yv = x.values.to_numpy(), y.values.to_numpy()
+            keep, n, m, linked, diffs = [], [], [], [], []
+            for k in range(len(x)):
+                p, q = xv[xo[k] : xo[k + 1]], yv[yo[k] : yo[k + 1]]
+                diff = np.setxor1d(p, q, assume_unique=True)
+                union = (len(p) + len(q) + len(diff)) // 2
+                if 100 * (union - len(diff)) < least * union:
+                    continue
+                keep.append(k)
+                n.append(len(p))
+                m.append(len(q))
+                linked.append(100 * (union - len(diff)) >= SIMILAR * union)
+                diffs.append(diff)
+            at = pa.array(keep, pa.int64())
+            columns = [*(b.column(k).take(at) for k in range(3)), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(linked, pa.bool_()), _lists(diffs)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "root", "size", "n", "m", "linked", "diff"])
+
+    schema = "node long, root long, size long, n long, m long, linked boolean, diff array<long>"
+    return _both_sets(pairs.select("a", "b", "size"), sets).select("a", "b", "size", "x", "y").mapInArrow(released(run), schema)
+
+
+def _met(n: Column, m: Column, x: Column | int, y: Column | int) -> Column:
+    """Tokens that differences of ``x`` and ``y`` tokens must share for sets of ``n`` and ``m`` tokens to link (1, if links need none)."""
+    return F.greatest(F.ceil(((100 + SIMILAR) * (x + y) - (100 - SIMILAR) * (n + m)) / (2 * (100 + SIMILAR))), F.lit(1))
 
 
 def _fit(n: Column, m: Column) -> Column:
@@ -264,30 +306,37 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     pivots = keyed_nodes.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), *[F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("h"), "node", "n")).alias(f"p{t}") for t in turns]
     )
-    shared = staged(pivots.filter("size > 1").drop("size"), "join-pivots")
+    shared = staged(pivots.filter("size > 1"), "join-pivots")
     meeting = keyed_nodes.join(shared, "key")
     near = staged(
-        meeting.select("node", "n", F.explode(F.array(*[F.struct(F.lit(t).alias("turn"), F.col(f"p{t}.node").alias("pivot"), F.col(f"p{t}.n").alias("m")) for t in turns])).alias("p"))
-        .select(F.least("node", "p.pivot").alias("a"), F.greatest("node", "p.pivot").alias("b"), "n", "p.m", "p.turn")
+        meeting.select("node", "n", F.explode(F.array(*[F.struct(F.col(f"p{t}.node").alias("pivot"), F.col(f"p{t}.n").alias("m")) for t in turns[1:]])).alias("p"))
+        .select(F.least("node", "p.pivot").alias("a"), F.greatest("node", "p.pivot").alias("b"), "n", "p.m")
         .filter((F.col("a") != F.col("b")) & _fit(F.col("n"), F.col("m")))
-        .groupBy("a", "b")
-        .agg(F.min("turn").alias("turn")),
+        .select("a", "b")
+        .distinct(),
         "join-near",
     )
-    wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    first = staged(
+        meeting.select(F.col("node").alias("a"), F.col("p0.node").alias("b"), "n", F.col("p0.n").alias("m"), "size")
+        .filter(100 * F.least("n", "m") >= FAMILY * F.greatest("n", "m"))
+        .groupBy("a", "b")
+        .agg(F.max("size").alias("size")),
+        "join-first",
+    )
+    wanted = _ends(near.unionByName(first.select("a", "b")))
     sets = staged(_sets(docs, common, _bit_table(wanted, "node")), "join-sets")
     whole = sets.filter("whole IS NOT NULL").select("node", "whole").dropDuplicates(["node"])
-    links = staged(_verified(near.filter("turn = 0"), whole), "join-links")
-    root = staged(components(links), "join-roots")
-    later = staged(_apart(near.filter("turn > 0"), "a", "b", root), "join-later")
+    alike = staged(_differences(first, whole, FAMILY), "join-alike")
+    root = staged(components(_linked(alike)), "join-roots")
+    later = staged(_apart(near, "a", "b", root), "join-later")
     links = _stars(root).unionByName(staged(_verified(later, whole), "join-links"))
     root = staged(components(links), "join-roots")
     links = _stars(root)
 
     # matrix: prefix tokens by group (with its members' number and sizes), those of one group only dropped
-    sized = root.join(nodes.select("node", "n").distinct(), "node")
-    sizes = sized.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
-    grouped = staged(root.join(sizes, "root"), "join-groups")
+    family = staged(alike.groupBy("node").agg(F.max_by(F.struct("root", "n", "m", "diff"), F.struct("size", "root")).alias("f")).select("node", "f.*"), "join-families")
+    sizes = family.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("low"), F.max("n").alias("high"))
+    grouped = staged(family.select("node", "root").join(sizes, "root"), "join-groups")
     parts = {"members": F.coalesce("members", F.lit(1).cast("long")), "root": F.coalesce("root", "node"), "low": F.coalesce("low", "n"), "high": F.coalesce("high", "n")}
     group = F.named_struct(*[x for name, c in parts.items() for x in (F.lit(name), c)])
     tokens = sets.select("node", "n", "prefix").join(_small(grouped), "node", "left").select("node", "n", group.alias("group"), F.explode("prefix").alias("token"))
@@ -311,7 +360,7 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     inside = several.join(whole, "node").select("node", "n", "other", F.col("other.root").alias("root"), F.explode("whole").alias("token")).join(union, ["root", "token"])
     reached = staged(inside.groupBy("node", "n", "other", "root").agg(F.count(F.lit(1)).alias("overlap")).filter(F.col("overlap") >= _overlap(n, least)).drop("overlap"), "join-reached")
 
-    # open: groups of one by the prefix; of groups of several the most central members first
+    # open: groups of one by the prefix, the others by differences from their pivots
     single = rows.filter("group.members = 1").select("token", F.col("group").alias("other"), F.col("node").alias("b"), F.col("n").alias("m"))
     alone = (
         rows.drop("group")
@@ -323,33 +372,40 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
         .filter(F.col("common") >= _shared(n, F.col("m")))
         .select("a", "b")
     )
-    central = members.join(union, ["root", "token"]).groupBy("root", F.col("node").alias("b"), "m").agg((F.sum("often") / F.col("m")).alias("score"))
-    centres = central.groupBy("root", F.pmod(F.xxhash64("b"), F.lit(CENTRES)).alias("slot")).agg(F.max(F.struct("score", "b", "m")).alias("c")).select("root", "c.b", "c.m")
-    asking = reached.join(_small(staged(centres, "join-centres")), "root").filter(_fit(n, F.col("m"))).select(F.col("node").alias("a"), "b")
-    pairs = staged(alone.unionByName(asking), "join-pairs")
-    if not pairs.isEmpty():
-        whole = _with_sets(docs, _ends(pairs), whole)
-        links = links.unionByName(staged(_verified(pairs, whole), "join-links"))
-
-    # what is still apart is opened in full: linked sets share ``fewest`` prefix tokens, so one of all but ``fewest - 1`` of those that the group holds, rarest first
-    if reached.isEmpty():
-        return links
-    root = staged(components(links), "join-roots")
-    links = _stars(root)
-    rest = staged(_apart(reached, "node", "root", root), "join-rest")
-    if rest.isEmpty():
-        return links
-    held = rows.select("token", F.col("group.root").alias("root"), F.col("node").alias("b"), F.col("n").alias("m")).join(_small(staged(rest.select("root").distinct(), "join-asked")), "root", "left_semi")
-    often = staged(held.groupBy("root", "token").agg(F.count(F.lit(1)).alias("often")), "join-often")
-    mine = rows.select("token", "node").join(_small(rest), "node").join(often, ["root", "token"])
-    asked = Window.partitionBy("node", "root")
-    rare = mine.withColumn("held", F.count(F.lit(1)).over(asked)).withColumn("at", F.row_number().over(asked.orderBy("often", "token"))).filter(F.col("at") <= F.col("held") - fewest + 1)
-    pairs = staged(rare.select("root", "token", "node", "n").join(held, ["root", "token"]).filter(_fit(n, F.col("m"))).select(F.col("node").alias("a"), "b").distinct(), "join-pairs")
+    asked = staged(_differences(reached.select(F.col("node").alias("a"), F.col("root").alias("b"), F.lit(0).cast("long").alias("size")), whole, 0), "join-asked")
+    pairs = staged(alone.unionByName(_inside(family, asked, root)).distinct(), "join-pairs")
+    links = links.unionByName(_linked(asked))
     if pairs.isEmpty():
         return links
     return links.unionByName(staged(_verified(pairs, _with_sets(docs, _ends(pairs), whole)), "join-links"))
 
 
+def _inside(family: DataFrame, asked: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a group's members, and of askers and members, that are in two classes so far and may link, by their differences from the pivot."""
+    columns = ["node", "root", "n", "m", "diff"]
+    both = family.select(*columns, F.lit(True).alias("member")).unionByName(asked.select(*columns, F.lit(False).alias("member")))
+    classes = _small(root).select("node", F.col("root").alias("class"))
+    both = both.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    apart = staged(both.groupBy("root").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low != high").select("root"), "join-apart")
+    d = F.size("diff").cast("long")
+    held = both.join(_small(apart), "root", "left_semi").select("node", "root", "n", "m", "class", "member", d.alias("d"), F.explode("diff").alias("token"))
+    often = staged(held.filter("member").groupBy("root", "token").agg(F.count(F.lit(1)).alias("often")), "join-often")
+    # tokens that no member holds come first: they count as places, but nothing is met at them
+    order = Window.partitionBy("node", "root").orderBy(F.coalesce("often", F.lit(0)), "token")
+    placed = held.join(often, ["root", "token"], "left").withColumn("at", F.row_number().over(order))
+    # a member's size exceeds the pivot's by its difference at most, which only adds to what must be shared
+    rare = staged(placed.filter("often IS NOT NULL").filter(F.col("at") <= F.col("d") - _met(F.col("n"), F.col("m"), F.col("d"), 0) + 1).drop("m", "often"), "join-rare")
+    other = rare.filter("member").select("root", "token", *(F.col(c).alias(f"_{c}") for c in ("node", "n", "class", "d", "at")))
+    needed = _met(F.col("n"), F.col("_n"), F.col("d"), F.col("_d"))
+    may = (F.col("class") != F.col("_class")) & (~F.col("member") | (F.col("node") < F.col("_node"))) & _fit(F.col("n"), F.col("_n"))
+    met = (F.col("at") <= F.col("d") - needed + 1) & (F.col("_at") <= F.col("_d") - needed + 1)
+    return rare.join(other, ["root", "token"]).filter(may & met).select(F.col("node").alias("a"), F.col("_node").alias("b")).distinct()
+
+
+def _linked(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("linked AND node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _stars(root: DataFrame) -> DataFrame:
     """Links that say the same as all found so far: every node with its root."""
     return root.select(F.col("node").alias("a"), F.col("root").alias("b"))
