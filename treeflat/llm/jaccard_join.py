@@ -309,7 +309,8 @@ def _links(docs: DataFrame, signed: DataFrame) -> DataFrame:
     shared = staged(pivots.filter("size > 1"), "join-pivots")
     meeting = keyed_nodes.join(shared, "key")
     near = staged(
-        meeting.select("node", "n", F.explode(F.array(*[F.struct(F.col(f"p{t}.node").alias("pivot"), F.col(f"p{t}.n").alias("m")) for t in turns[1:]])).alias("p"))
+        meeting.select("node", "n", F.explode(F.array(*[F.struct(F.lit(t).alias("turn"), F.col(f"p{t}.node").alias("pivot"), F.col(f"p{t}.n").alias("m")) for t in turns])).alias("p"))
+        .filter("p.turn > 0")
         .select(F.least("node", "p.pivot").alias("a"), F.greatest("node", "p.pivot").alias("b"), "n", "p.m")
         .filter((F.col("a") != F.col("b")) & _fit(F.col("n"), F.col("m")))
         .select("a", "b")
