@@ -7,7 +7,8 @@ Parquet and read again.  All but the last return the columns of ``documents``.
 2. ``exact_dedup``: of equal texts the row with the largest id stays.
 3. ``near_dedup``: of each class of the 5-word shingle Jaccard join (0.8) the smallest id stays.
 4. ``decontaminate``: rows that hold at least 0.8 of a benchmark item in tiles go.
-5. ``encode``: every row with its best sampled SentencePiece segmentation, the inclusion score, and whether it decodes to the text.
+5. ``encode``: every row with its sampled SentencePiece segmentations (``SEGMENTATIONS``, ranked, without replacement), the inclusion score of
+   each, and whether it decodes to the text.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from treeflat.llm import decontaminate, exact_dedup, jaccard_join, langid, sente
 from treeflat.llm.common import staged, table
 
 
+#: Segmentations of a row: with one, nothing would be drawn without replacement.
+SEGMENTATIONS = 2
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_identified(docs, langid.fit(docs))
 
@@ -37,8 +42,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sampled = sentencepiece_sample.sample(docs, k=1, run_size=150_000)  # the executors' heaps have grown by now
-    return sampled.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "log_prob", "log_inclusion", "round_trip")
+    sampled = sentencepiece_sample.sample(docs, k=SEGMENTATIONS, run_size=150_000)  # the executors' heaps have grown by now
+    return sampled.select("doc_id", "rank", "ids", F.size("ids").alias("n_pieces"), "log_prob", "log_inclusion", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

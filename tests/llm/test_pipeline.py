@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from treeflat.llm import decontaminate, langid, queries
+from treeflat.llm import decontaminate, langid, queries, sentencepiece_sample
 from treeflat.llm.words import NOT_WORD  # noqa: F401
 from tests.llm.test_operators import brute_classes
 
@@ -37,6 +37,18 @@ def test_stages_by_brute_force(spark):
     assert all(r.round_trip and r.n_pieces == len(r.ids) for r in got.values())
 
 
+def test_encode_samples_without_replacement(spark):
+    """Every row with all the segmentations that op1_sentencepiece samples for it: distinct, ranked, the best first."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    got = {}
+    for r in corpus_pipeline.encode(spark, docs, SF).collect():
+        got.setdefault(r.doc_id, {})[r.rank] = r
+    sampled = sentencepiece_sample.sample(docs, k=2).collect()
+    assert {(i, k, tuple(r.ids), r.log_prob) for i, rows in got.items() for k, r in rows.items()} == {(r.doc_id, r.rank, tuple(r.ids), r.log_prob) for r in sampled}
+    assert any(len(rows) == 2 for rows in got.values())
+    assert all(len({tuple(r.ids) for r in rows.values()}) == len(rows) for rows in got.values())
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
     for _, stage in corpus_pipeline.STAGES[:-1]:
