@@ -195,3 +195,26 @@ def test_names_are_told_apart_by_case(spark, mapping):
     compare(spark, mapping, '<REC><WS><w>no</w></WS><ws><W t="1">X</W><w T="2">y</w><w t="3">z</w></ws><ws COUNT="4"/></REC>')
     twins = Mapping.from_xml('<records><REC table="doc"><UID/><w>doc:a</w><W>doc:b</W></REC></records>')
     compare(spark, twins, "<REC><W>1</W><w>2</w></REC>", "<REC><w>3</w></REC>", paths=("auto",))
+
+
+def test_records_are_read_once(spark, mapping, tmp_path):
+    """Both paths share one reading of the text; a name in another spelling is found however far its sign of equality is."""
+    from treeflat.sources.records import read_records
+
+    (tmp_path / "a.xml").write_text("<records><REC><UID>1</UID><ws><w t='1'>x</w></ws></REC><REC><UID>2</UID><ws><w t='1'>x<i/></w><w>y</w></ws></REC></records>")
+    got = shred.shred_table(read_records(spark, str(tmp_path)), mapping, "word")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan text") == 1
+    assert sorted((r.id, r.wid, r.text) for r in got.collect()) == [("1", 1, "x"), ("2", 1, "x"), ("2", 2, "y")]
+    for gap in ("", " " * 9, " " * 10, "\n" * 40):
+        compare(spark, mapping, f"<REC><ws><w T{gap}=\"1\" t{gap}={gap}'2'>a = 'b' T= \"c\"</w><w p:t{gap}='3'>z</w></ws></REC>".replace("<REC>", '<REC xmlns:p="u">'))
+
+
+def test_texts_of_a_batch_are_walked_a_few_at_a_time():
+    """What a task of the node walk holds does not grow with the records that come in one batch."""
+    import pyarrow as pa
+
+    texts = ["<REC>" + "x" * 1_500_000 + "</REC>"] * 9
+    batch = pa.RecordBatch.from_pydict({"uid": [str(i) for i in range(9)], "xml": texts})
+    out = list(nodes._exploded(lambda xml: [(xml,)], ["uid"], [pa.string()], ["text"])([batch]))
+    assert [b.num_rows for b in out] == [3, 3, 3]
+    assert [u for b in out for u in b.column(0).to_pylist()] == [str(i) for i in range(9)]
