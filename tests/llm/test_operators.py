@@ -428,6 +428,29 @@ with <b>marks</b>; and&nbsp;some length.<p>Second.<br>Line.<script>if (a < b) "<
 <section class="comments"><p>Nice post, really, I like it; it is a long comment, too.</p></section></div><form><p>Sign up, now.</p></form><footer>&copy; x</footer><!-- end"""
 
 
+def test_single_draws_and_picks_are_those_of_arrays(monkeypatch):
+    """The search draws and picks plain numbers, which cost a small part of arrays of one; places without a choice have no noise."""
+    numbers = [0, 1, 2**63, 2**64 - 1, 0x9E3779B97F4A7C15 * 977]
+    assert [sps._uniform_of(n) for n in numbers] == sps._uniform(np.array([n % 2**64 for n in numbers], np.uint64)).tolist()
+    with open(sps.MODEL, "rb") as f:
+        vocabulary = sps.Vocabulary(f.read())
+    text = "Either the inner words, or others\t\U0001f600 " * 20
+    chars, at = vocabulary.characters([text])
+    lattice = sps.Lattice(vocabulary, chars, at[:1], at[1:])
+    places = np.arange(len(chars))
+    for u in (2.0**-54, 0.3, 0.9, 1 - 2.0**-54):
+        picked = lattice.pick(places, np.full(len(places), u))
+        assert picked.tolist() == [lattice.pick_one(int(p), u) for p in places]
+        assert (lattice.place[picked] == places).all()
+    assert (lattice.alone == (np.bincount(lattice.place)[lattice.place] == 1)).all()
+    sizes, uniform = [], sps._uniform
+    monkeypatch.setattr(sps, "_uniform", lambda x: sizes.append(len(x)) or uniform(x))
+    keys = words.mix(np.arange(40, dtype=np.uint64))
+    with np.errstate(over="ignore", divide="ignore"):
+        assert len(list(sps.segmentations(vocabulary, keys, [text] * 40, 4))) == 160
+    assert sizes.count(1) < 40  # nothing is drawn through an array of one for each row
+
+
 def test_extraction(spark):
     rows = [(1, "u", HTML), (2, None, None), (3, "u", ""), (4, "u", "plain &lt; text"), (5, "u", "<p>" + LONG), (None, "u", "<div>a<p>b</div>"), (4, "u", "plain &lt; text")]
     got = html_extract.extract(spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")).collect()

@@ -40,6 +40,7 @@ ZIPF = 2.7
 #: Characters that are worked on together.
 RUN = 600_000
 NOISE = 37.0
+_MASK = 2**64 - 1
 _LEAF, _PLACE, _REST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95), np.uint64(0xA0761D6478BD642F)
 
 
@@ -145,7 +146,7 @@ class Vocabulary:
         return chars, at
 
     def decode(self, ids) -> str:
-        data = b"".join([self.pieces[i] for i in ids])
+        data = b"".join(map(self.pieces.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
         return data[1:].decode("utf-8", "surrogatepass") if data[:1] == b" " else data.decode("utf-8", "surrogatepass")
 
 
@@ -153,6 +154,14 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return (mix(x) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
+def _uniform_of(x: int) -> float:
+    """:func:`_uniform` of one number."""
+    x &= _MASK
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _MASK
+    return ((x ^ (x >> 31)) >> 11) * 2.0**-53 + 2.0**-54
+
+
 class Lattice:
     """Edges of the distinct units: by place ``first`` to ``last``; per edge its end, piece, log probability and running probability."""
 
@@ -190,7 +199,8 @@ class Lattice:
         # backward sums, the places nearest to the end of their unit first
         score = vocabulary.log_p[self.piece]
         total = np.zeros(len(text))
-        order = place[np.argsort(left[place], kind="stable")]
+        to_end = left[place]
+        order = place[np.argsort(to_end.astype(np.uint16) if len(lengths) and lengths.max() < 2**16 else to_end, kind="stable")]  # short numbers sort in linear time
         cuts = slices(np.bincount(left[order]))
         for d in range(1, len(cuts) - 1):
             mine = order[cuts[d] : cuts[d + 1]]
@@ -205,14 +215,23 @@ class Lattice:
         self.q = np.exp(self.log_q)
         sums = np.cumsum(self.q)
         self.running = sums - (sums - self.q)[self.first[place_of]]
+        self.running[self.last[place]] = np.inf  # whatever rounding leaves falls on the last edge
+        self.alone = (self.first == self.last)[place_of]
 
     def pick(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge at each place that ``u`` falls on."""
-        e, last = self.first[place], self.last[place]
-        on = np.flatnonzero((u > self.running[e]) & (e < last))
+        e = self.first[place]
+        on = np.flatnonzero(u > self.running[e])
         while len(on):
-            e[on] += 1
-            on = on[(u[on] > self.running[e[on]]) & (e[on] < last[on])]
+            after = e[on] + 1
+            e[on] = after
+            on = on[u[on] > self.running[after]]
+        return e
+
+    def pick_one(self, place: int, u: float) -> int:
+        e = int(self.first[place])
+        while u > self.running[e]:
+            e += 1
         return e
 
 
@@ -245,12 +264,12 @@ def _truncated(log_mass, top: float, u):
 
 def _best_first(lattice: Lattice, key: int, fresh: list[tuple[np.ndarray, np.ndarray]], k: int):
     """The k best perturbed paths of one text, best first, and the value of the next.  ``fresh[r]`` is the r-th sample: (edges, where each unit begins)."""
-    draws = 0
+    draws, noise = 0, key * int(_REST)
 
     def draw() -> float:
         nonlocal draws
         draws += 1
-        return float(_uniform(np.array([np.uint64(key) * _REST + np.uint64(draws)]))[0])
+        return _uniform_of(noise + draws)
 
     top = -math.log(-math.log(draw()))
     leaves: list[tuple[np.ndarray, np.ndarray]] = []
@@ -265,15 +284,16 @@ def _best_first(lattice: Lattice, key: int, fresh: list[tuple[np.ndarray, np.nda
         at = since
         while need and at < len(path):
             e = path[at : at + 512]
-            after = np.cumsum(lattice.log_q[e])
-            here = lattice.place[e]
-            more = np.flatnonzero(lattice.first[here] < lattice.last[here])
+            log_q = lattice.log_q[e]
+            after = np.cumsum(log_q)
+            more = np.flatnonzero(~lattice.alone[e])
             if len(more):
-                before = mass + after[more] - lattice.log_q[e[more]]
-                rest = before + np.log(np.maximum(1.0 - lattice.q[e[more]], 1e-300))
+                log_q = log_q[more]
+                before = mass + after[more] - log_q
+                rest = before + np.log(np.maximum(1.0 - np.exp(log_q), 1e-300))
                 u = _uniform(np.uint64(key) * _REST + (np.uint64(len(leaves)) << np.uint64(32)) + (at + more).astype(np.uint64) * _PLACE)
                 values = _truncated(rest, value, u)
-                for i in np.argsort(-values)[:need]:
+                for i in np.argpartition(-values, need - 1)[:need] if len(values) > need else range(len(values)):
                     j = at + int(more[i])
                     heapq.heappush(heap, (-float(values[i]), len(leaves) - 1, j, (int(path[j]),), float(before[i])))
             at, mass = at + len(e), mass + float(after[-1])
@@ -298,7 +318,7 @@ def _best_first(lattice: Lattice, key: int, fresh: list[tuple[np.ndarray, np.nda
         middle = [pick]
         at = int(lattice.end[pick])
         while lattice.last[at] >= lattice.first[at]:  # to the end of the unit
-            e = int(lattice.pick(np.array([at]), np.array([draw()]))[0])
+            e = lattice.pick_one(at, draw())
             middle.append(e)
             at = int(lattice.end[e])
         tail, begins = fresh[len(out)]
