@@ -81,3 +81,27 @@ def test_csv_pads_in_contract_order(spark, tmp_path):
     sinks.write_csv(df, str(tmp_path / "c"), ["b", "id", "c"])
     text = "".join(p.read_text() for p in sorted((tmp_path / "c").glob("*.csv")))
     assert text == "b,id,c\n,1,\n" * 2
+
+
+def test_statements_are_read_by_their_form_without_matching_them_whole(spark, capsys):
+    import re
+
+    rnd = random.Random(7)
+    bits = ["INSERT INTO t (a) VALUES (", "INSERT INTO ", "t", " (", "a", "`b`", '"c"', ") VALUES (", "'it''s'", "1", ");", ",", " "]
+    texts = ["INSERT INTO " + "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 8))) + rnd.choice([");", ";"]) for _ in range(3000)]
+    texts += ["INSERT INTO t (a) VALUES ();", "INSERT INTO t () VALUES (1);", "INSERT INTO  (a) VALUES (1);", "INSERT INTO é (ü) VALUES ('ß', 2);"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "stmt long, statement string")
+    parsed = inserts.parse_statements(rows)
+    got = {r.stmt: (r.table_name, len(r.cols)) for r in parsed.collect()}
+    form = re.compile(r"(?s)^INSERT INTO (.+?) \((.+?)\) VALUES \((.+)\);$")
+    found = {i: form.match(t) for i, t in enumerate(texts)}
+    assert got.keys() == {i for i, m in found.items() if m} and len(got) > 50
+    for i, (name, columns) in got.items():
+        assert columns == len(found[i][2].split(","))
+        if "`" not in found[i][1] and '"' not in found[i][1]:
+            assert name == found[i][1]
+    capsys.readouterr()
+    inserts.rows_for(parsed, "t", ["a", "b"]).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("regexp_extract_all") == 1  # the values are searched once
+    assert "(.+?)" not in plan

@@ -132,20 +132,36 @@ def _bare(name: Column) -> Column:
     return name
 
 
-def parse_statements(statements: DataFrame) -> DataFrame:
-    """``table_name, cols, vals, mismatch``; statements of another form are left out."""
-    form = r"(?s)^INSERT INTO (.+?) \((.+?)\) VALUES \((.+)\);$"
+def _quoted(names: str) -> Column:
+    """Whether any of the names may be quoted: mostly none is, and then no pattern needs to be tried on each."""
+    return F.contains(F.col(names), F.lit("`")) | F.contains(F.col(names), F.lit('"'))
+
 
-    def part(i):
-        return F.regexp_extract("statement", form, i)
+def parse_statements(statements: DataFrame) -> DataFrame:
+    """``table_name, cols, vals, mismatch``; statements of another form are left out.
 
-    named = statements.where(F.col("statement").rlike(form)).select(
+    The form is INSERT INTO name (columns) VALUES (values); where each part ends at the first mark that can end it.  Marks are
+    located, not matched: a statement may be long, and it is gone through once for its end and once for its values.
+    """
+    head, values = "INSERT INTO ", ") VALUES ("
+    s = F.col("statement")
+    # Steps of their own: what is used several times is then worked out once.
+    opened = statements.where(s.startswith(head) & s.endswith(");")).select(
+        *statements.columns, F.expr(f"locate(' (', statement, {len(head) + 2})").alias("_name_end"))
+    closed = opened.select("*", F.expr(f"locate('{values}', statement, _name_end + 3)").alias("_cols_end")).where(
+        f"_name_end > 0 and _cols_end > 0 and char_length(statement) > _cols_end + {len(values) + 1}")
+    named = closed.select(
         *statements.columns,
-        _bare(part(1)).alias("table_name"),
-        F.transform(F.split(part(2), ","), lambda c: _bare(F.trim(c))).alias("cols"),
-        split_quoted(part(3)).alias("vals"),
+        F.expr(f"substring(statement, {len(head) + 1}, _name_end - {len(head) + 1})").alias("table_name"),
+        F.expr("substring(statement, _name_end + 2, _cols_end - _name_end - 2)").alias("cols"),
+        F.expr(f"substring(statement, _cols_end + {len(values)}, char_length(statement) - _cols_end - {len(values) + 1})").alias("vals"),
+    )
+    read = named.select(
+        *statements.columns, F.when(_quoted("table_name"), _bare(F.col("table_name"))).otherwise(F.col("table_name")).alias("table_name"),
+        F.when(_quoted("cols"), F.transform(F.split("cols", ","), lambda c: _bare(F.trim(c)))).otherwise(F.transform(F.split("cols", ","), lambda c: F.trim(c))).alias("cols"),
+        split_quoted(F.col("vals")).alias("vals"),
     )
-    return named.withColumn("mismatch", F.size("cols") != F.size("vals"))
+    return read.withColumn("mismatch", F.size("cols") != F.size("vals"))
 
 
 def rows_for(parsed: DataFrame, table: str, names: list[str], unquote: bool = True) -> DataFrame:
@@ -156,13 +172,12 @@ def rows_for(parsed: DataFrame, table: str, names: list[str], unquote: bool = Tr
     from treeflat.functions.text import sql_unliteral
 
     shorter = F.least(F.size("cols"), F.size("vals"))
-    pairs = F.arrays_zip(
-        F.slice("cols", F.lit(1), shorter).alias("c"), F.slice("vals", F.lit(1), shorter).alias("v")
-    )
-    got = parsed.where(F.col("table_name") == table).select(pairs.alias("m"))
+    # Backwards, so that the first place of a name is its last.
+    got = parsed.where(F.col("table_name") == table).select(
+        F.reverse(F.slice("cols", F.lit(1), shorter)).alias("c"), F.reverse(F.slice("vals", F.lit(1), shorter)).alias("v"))
 
     def cell(n):
-        c = F.try_element_at(F.filter("m", lambda p: p.c == n), F.lit(-1)).v
-        return (sql_unliteral(c) if unquote else c).alias(n)
+        return F.get("v", (F.array_position("c", n) - 1).cast("int")).alias(n)
 
-    return got.select(*[cell(n) for n in names])
+    cells = got.select(*[cell(n) for n in names])
+    return cells.select(*[sql_unliteral(F.col(f"`{n}`")).alias(n) for n in names]) if unquote else cells
