@@ -105,3 +105,4 @@ def test_statements_are_read_by_their_form_without_matching_them_whole(spark, ca
     plan = capsys.readouterr().out
     assert plan.count("regexp_extract_all") == 1  # the values are searched once
     assert "(.+?)" not in plan
+    assert plan.count("upper(") == plan.count("upper(substring(") > 0  # no whole value is made upper case
