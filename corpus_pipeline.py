@@ -24,8 +24,17 @@ from treeflat.llm.common import staged, table
 #: Segmentations of a row: with one, nothing would be drawn without replacement.
 SEGMENTATIONS = 2
 
+#: Bytes that a Python worker is sent at once: batches of 10,000 long texts fill executors whose heaps have grown.
+BATCH_BYTES = "4m"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Stages are run after they return, so the session keeps the setting; no result depends on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return langid.keep_identified(docs, langid.fit(docs))
 
 
@@ -34,14 +43,17 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return jaccard_join.keep_one_of_each(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     sampled = sentencepiece_sample.sample(docs, k=SEGMENTATIONS, run_size=150_000)  # the executors' heaps have grown by now
     return sampled.select("doc_id", "rank", "ids", F.size("ids").alias("n_pieces"), "log_prob", "log_inclusion", "round_trip")
 

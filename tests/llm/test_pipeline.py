@@ -56,6 +56,18 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_decontaminate_takes_texts_in_bounded_batches(spark, monkeypatch):
+    """A worker is sent few megabytes at once; no row is lost by it."""
+
+    def bounded(column, block, coverage, found=decontaminate.matches):
+        assert column.nbytes < 6_000_000
+        return found(column, block, coverage)
+
+    monkeypatch.setattr(decontaminate, "matches", bounded)
+    docs = spark.range(0, 5000, numPartitions=1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 500) AS text")
+    assert corpus_pipeline.benchmark(spark, docs, SF).count() == 5000
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()

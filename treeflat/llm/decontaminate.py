@@ -24,12 +24,11 @@ import heapq
 import unicodedata
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from treeflat.llm.common import keyed, ship
+from treeflat.llm.common import keyed, released, ship
 from treeflat.llm.words import NOT_WORD, raw, slices, windows, word_hashes
 
 ship(__name__)
@@ -202,12 +201,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
 
 
 def _clean(sent, coverage: float):
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        out = np.ones(len(texts), bool)
-        for row, *_ in matches(pa.array(texts, pa.large_string(), from_pandas=True), sent.value, coverage):
-            out[row] = False
-        return pd.Series(out)
+    def run(batches):
+        for texts in batches:
+            out = np.ones(len(texts), bool)
+            for row, *_ in matches(texts, sent.value, coverage):
+                out[row] = False
+            yield pa.array(out)
+
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from released(run)(batches)
 
     return clean
 
