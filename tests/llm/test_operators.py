@@ -359,6 +359,34 @@ def test_language_model_keeps_counts_of_any_size(spark, docs, monkeypatch, tmp_p
     assert sorted(map(tuple, lm.score(docs, model).collect()), key=key) == want
 
 
+def test_language_model_is_small_and_the_same_in_any_number_of_passes(spark, monkeypatch):
+    """Files take few bytes for each token, shuffle files go with their pass; a context with thousands of followers is searched right."""
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 20_000, n)]
+    rows = [(i, " ".join(words(4000))) for i in range(20)]
+    hot = [f"a b w{x} " * n for x, n in zip(range(6000), rng.choice([1, 2, 3, 400], 6000, p=[0.7, 0.2, 0.095, 0.005]))]
+    rows += [(100 + i, "".join(hot[i::4])) for i in range(4)] + [(200, "a b w5999 a b never w17 b w3 a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    training = docs.filter("doc_id < 200")
+    model = lm.train(training, 3)
+    taken = sum(p.stat().st_size for p in Path(model["folder"]).iterdir())
+    assert taken < 36 * model["tokens"]
+    got = sorted(map(tuple, lm.score(docs, model).collect()))
+    for shares in (1, 7):
+        monkeypatch.setattr(lm, "SHARES", shares)
+        assert sorted(map(tuple, lm.score(docs, lm.train(training, 3)).collect())) == got
+    want = Counter(w for text in hot for w in text.split()[2::3])
+    names = [f"w{x}" for x in range(6100)]
+    hashes = next(lm.word_hashes(pa.array([" ".join(["a", "b", *names])])))[2]
+    n = len(names)
+    with np.errstate(over="ignore"):
+        key = lm.gram_hash([hashes[:1], hashes[1:2]])
+    stats, counts = lm.Model(model).contexts(3, np.repeat(key, n), np.repeat(lm._share(hashes[1:2], model["shares"]), n), hashes[2:])
+    assert counts.tolist() == [want[x] for x in names]
+    of = Counter(min(c, 3) for c in want.values())
+    assert stats[:, 0].tolist() == [sum(want.values()), of[1], of[2], of[3]]
+
+
 def test_packed_blocks_are_whole():
     rng = np.random.default_rng(2)
     pool = np.r_[rng.integers(0, 2**64, 50, np.uint64), np.uint64(0), np.uint64(2**64 - 1)]
