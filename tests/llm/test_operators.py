@@ -370,7 +370,7 @@ def test_language_model_is_small_and_the_same_in_any_number_of_passes(spark, mon
     training = docs.filter("doc_id < 200")
     model = lm.train(training, 3)
     taken = sum(p.stat().st_size for p in Path(model["folder"]).iterdir())
-    assert taken < 36 * model["tokens"]
+    assert taken < 18 * model["tokens"]
     got = sorted(map(tuple, lm.score(docs, model).collect()))
     for shares in (1, 7):
         monkeypatch.setattr(lm, "SHARES", shares)
