@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,46 @@ def test_unknown_encoding(spark, tmp_path):
     assert [(r.source_file.rsplit("/")[-1], r.error) for r in refused.collect()] == [("a.xml", "unknown encoding X-NONE")]
     with pytest.raises(ValueError, match="X-NONE"):
         R.read_any(spark, str(tmp_path))
+
+
+def test_lines_are_cut_once(spark, xml_dir):
+    """No filter cuts every line a second time, and fragments that are a record are not searched for its beginning."""
+    fragments = R.read_fragments(spark, xml_dir(a="<r>" + rec("1") + "</r>")).select("pos", "value", "xml")
+    plan = fragments._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan and re.search(r"CASE WHEN #whole#\d+ THEN concat\(#lead", plan)
+
+
+def test_record_text_by_its_beginning(spark):
+    """The record of a fragment is the same whether it is taken as it is or searched for by pattern."""
+    fragments = {
+        "<REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "\r\n\t <REC a='1'><UID>1</UID> x ": "<REC a='1'><UID>1</UID> x </REC>",
+        "\x0b\f<REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "<REC\n><UID>1</UID>": "<REC\n><UID>1</UID></REC>",
+        "<x:REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "<records>\n<REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "<!-- <REC> --><REC><!-- c --><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        " <REC/> <REC a='1'/><REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "<REC ><UID>1</UID><REC>": "<REC ><UID>1</UID><REC></REC>",
+        "<RECORD><REC><UID>1</UID>": "<REC><UID>1</UID></REC>",
+        "<RECORD><UID>1</UID>": None,
+        " \n": None,
+        "": None,
+        "<REC": None,
+    }
+    raw = spark.createDataFrame([(v, "f", 9, 0) for v in fragments], "value string, source_file string, file_size long, block long")
+    got = {r.value: r.xml for r in R.cut_fragments(raw).select("value", "xml").collect()}
+    assert got == fragments
+    pieces = [("a</x:REC>b</REC >", "f", 9, 0)]  # spelled otherwise: cut here, and counted as the line's
+    cut = R.cut_fragments(spark.createDataFrame(pieces, raw.schema)).orderBy("pos").collect()
+    assert [(r.value, r.ending, r.n_bytes) for r in cut] == [("a", "</x:REC>", 17), ("b", "</REC >", 0)]
+
+
+def test_clean_drops_what_xml_cannot_hold(spark):
+    from catalog import corpora as C
+
+    texts = ["", "plain\tand\n\r", "a\x00b\x0b\x0c\x0e\x1f\x08c", "\ufffe\uffff\ufffd\ud7ff\ue000", "\U0001f600\U0010ffff\u0085\x7f", "\x1f" * 3, None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    got = [tuple(r) for r in df.select(C.clean("text"), C.clean(F.col("text")), F.regexp_replace("text", C.FORBIDDEN, "")).collect()]
+    assert all(a == b == c for a, b, c in got)
+    assert [a for a, _, _ in got] == ["", "plain\tand\n\r", "abc", "\ufffd\ud7ff\ue000", "\U0001f600\U0010ffff\u0085\x7f", "", None]
